@@ -1,0 +1,182 @@
+"""Rolling distance correlation of two aligned series (Szekely, Rizzo, Bakirov 2007).
+
+For one block of ``T`` dates the distances |x_i - x_j| are formed once and every
+window of every size is read off prefix sums of them:
+
+* the sum of a_ij * b_ij over a window is four corners of a 2-D prefix sum,
+* the row sums a_i. over a window are differences of a row-wise prefix sum.
+
+That is O(T^2 + T * W) per pair and block instead of O(T * W^2) per window size.
+Prefix sums lose digits when a window is much quieter than the block around it,
+so such windows (and constant ones) are recomputed from their own values.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import numpy as np
+from numpy.lib.stride_tricks import as_strided
+
+# Upper bound on the float64 cells of one (pairs, T, T) work array.
+_BATCH_CELLS = 1 << 17
+# A window whose spread is below this share of the block's is recomputed.
+_QUIET_SHARE = 1e-7
+# Below this squared correlation the rounding of the numerator matters.
+_SMALL_SQUARE = 1e-6
+
+
+def distance_correlation_windows(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distance correlation of each row of two (k, W) arrays, NaN = missing.
+
+    NaN where no position has both values, 0 where either side is constant.
+    """
+    k, width = x.shape
+    out = np.full(k, np.nan)
+    step = max(1, _BATCH_CELLS // max(1, width * width))
+    for lo in range(0, k, step):
+        out[lo : lo + step] = _direct(x[lo : lo + step], y[lo : lo + step])
+    return out
+
+
+def _direct(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    ok = np.isfinite(x) & np.isfinite(y)
+    n = ok.sum(axis=1)
+    safe_n = np.maximum(n, 1)
+    both = ok[:, :, None] & ok[:, None, :]
+
+    def centred(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        v = np.where(ok, v, 0.0)
+        d = np.abs(v[:, :, None] - v[:, None, :])
+        d[~both] = 0.0
+        row = d.sum(axis=2) / safe_n[:, None]
+        total = row.sum(axis=1) / safe_n
+        d = d - row[:, :, None] - row[:, None, :] + total[:, None, None]
+        d[~both] = 0.0
+        return d, total
+
+    a, spread_x = centred(x)
+    b, spread_y = centred(y)
+    cov = np.einsum("kij,kij->k", a, b)
+    var = np.sqrt(np.einsum("kij,kij->k", a, a)) * np.sqrt(np.einsum("kij,kij->k", b, b))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        value = np.sqrt(np.clip(cov / var, 0.0, None))
+    # mean distance 0 <=> every value equal: exact, unlike a variance threshold
+    value = np.where((spread_x == 0.0) | (spread_y == 0.0) | (var == 0.0), 0.0, value)
+    return np.where(n == 0, np.nan, value)
+
+
+def rolling_distance_correlation(
+    x: np.ndarray, y: np.ndarray, windows: Sequence[int], first: int = 0
+) -> dict[int, np.ndarray]:
+    """Rolling values at positions ``first`` .. ``T - 1`` of (pairs, T) arrays.
+
+    NaN where the window is not full yet or has no position with both values.
+    """
+    pairs, length = x.shape
+    out = {w: np.full((pairs, length - first), np.nan) for w in windows}
+    step = max(1, _BATCH_CELLS // max(1, length * length))
+    for lo in range(0, pairs, step):
+        part = slice(lo, lo + step)
+        for w, values in _rolling_batch(x[part], y[part], windows, first).items():
+            out[w][part] = values
+    return out
+
+
+def _prefix(values: np.ndarray, axis: int) -> np.ndarray:
+    """Prefix sums along ``axis`` with a leading zero."""
+    shape = list(values.shape)
+    shape[axis] += 1
+    out = np.zeros(shape)
+    tail = [slice(None)] * values.ndim
+    tail[axis] = slice(1, None)
+    np.cumsum(values, axis=axis, out=out[tuple(tail)])
+    return out
+
+
+def _diagonal_bands(table: np.ndarray, row: int, start: int, count: int, width: int):
+    """View whose entry (p, t, k) is ``table[p, row + t, start + t + k]``."""
+    s0, s1, s2 = table.strides
+    return as_strided(
+        table[:, row:, start:],
+        shape=(table.shape[0], count, width),
+        strides=(s0, s1 + s2, s2),
+        writeable=False,
+    )
+
+
+def _rolling_batch(
+    x: np.ndarray, y: np.ndarray, windows: Sequence[int], first: int
+) -> dict[int, np.ndarray]:
+    pairs, length = x.shape
+    ok = np.isfinite(x) & np.isfinite(y)
+    seen = np.maximum(ok.sum(axis=1, keepdims=True), 1)
+    both = ok[:, :, None] & ok[:, None, :]
+
+    def prepare(v: np.ndarray):
+        v = np.where(ok, v, 0.0)
+        v = np.where(ok, v - v.sum(axis=1, keepdims=True) / seen, 0.0)
+        dist = np.abs(v[:, :, None] - v[:, None, :])
+        dist *= both
+        return dist, _prefix(dist, 1), _prefix(v, 1), _prefix(v * v, 1)
+
+    dist_x, rows_x, sum_x, sq_x = prepare(x)
+    dist_y, rows_y, sum_y, sq_y = prepare(y)
+    dist_x *= dist_y
+    corner = _prefix(_prefix(dist_x, 1), 2)
+    count = _prefix(ok.astype(float), 1)
+    scale_x = length * sq_x[:, -1:]
+    scale_y = length * sq_y[:, -1:]
+
+    out: dict[int, np.ndarray] = {}
+    for w in windows:
+        result = np.full((pairs, length - first), np.nan)
+        lowest = max(w, first + 1)
+        if lowest <= length:
+            end = np.arange(lowest, length + 1)  # exclusive
+            start = end - w
+            spots, begin = len(end), int(start[0])
+            n = count[:, end] - count[:, start]
+            m = np.maximum(n, 1.0)
+            ax = _diagonal_bands(rows_x, lowest, begin, spots, w) - _diagonal_bands(
+                rows_x, begin, begin, spots, w
+            )
+            ay = _diagonal_bands(rows_y, lowest, begin, spots, w) - _diagonal_bands(
+                rows_y, begin, begin, spots, w
+            )
+            total_x, total_y = ax.sum(axis=2), ay.sum(axis=2)
+
+            def moment(product, rows, total):
+                return product / m**2 + total / m**4 - 2.0 * rows / m**3
+
+            def squares(sq, sm):
+                return 2.0 * (
+                    n * (sq[:, end] - sq[:, start]) - (sm[:, end] - sm[:, start]) ** 2
+                )
+
+            cross = (
+                corner[:, end, end] - corner[:, start, end]
+                - corner[:, end, start] + corner[:, start, start]
+            )
+            cov = moment(cross, np.einsum("ptw,ptw->pt", ax, ay), total_x * total_y)
+            var_x = moment(squares(sq_x, sum_x), np.einsum("ptw,ptw->pt", ax, ax), total_x**2)
+            var_y = moment(squares(sq_y, sum_y), np.einsum("ptw,ptw->pt", ay, ay), total_y**2)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                square = cov / np.sqrt(var_x * var_y)
+                trusted = (
+                    (var_x * n**2 > _QUIET_SHARE * scale_x)
+                    & (var_y * n**2 > _QUIET_SHARE * scale_y)
+                    & (square > _SMALL_SQUARE)
+                )
+                value = np.sqrt(square)
+            redo = np.argwhere(~trusted & (n > 0))
+            if len(redo):
+                p, t = redo[:, 0], redo[:, 1]
+                take = start[t][:, None] + np.arange(w)[None, :]
+                value[p, t] = distance_correlation_windows(
+                    x[p[:, None], take], y[p[:, None], take]
+                )
+            value[n == 0] = np.nan
+            result[:, lowest - 1 - first :] = value
+        out[w] = result
+    return out
