@@ -1,14 +1,17 @@
-"""Rolling distance correlation of two aligned series (Szekely, Rizzo, Bakirov 2007).
+"""Rolling Pearson and distance correlation of aligned series.
 
-For one block of ``T`` dates the distances |x_i - x_j| are formed once and every
-window of every size is read off prefix sums of them:
+Both take (pairs, T) arrays with NaN for missing and read every window of every size
+off prefix sums, so the cost hardly depends on the window sizes. For distance
+correlation (Szekely, Rizzo, Bakirov 2007) the distances |x_i - x_j| of a block are
+formed once; then
 
 * the sum of a_ij * b_ij over a window is four corners of a 2-D prefix sum,
-* the row sums a_i. over a window are differences of a row-wise prefix sum.
+* the row sums a_i. over a window are differences of a row-wise prefix sum,
 
-That is O(T^2 + T * W) per pair and block instead of O(T * W^2) per window size.
-Prefix sums lose digits when a window is much quieter than the block around it,
-so such windows (and constant ones) are recomputed from their own values.
+which is O(T^2 + T * W) per pair and block instead of O(T * W^2) per window size.
+
+Prefix sums lose digits when a window is much quieter than the block around it, so
+such windows (and constant ones) are recomputed from their own values.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from numpy.lib.stride_tricks import as_strided
 
 # Upper bound on the float64 cells of one (pairs, T, T) work array.
 _BATCH_CELLS = 1 << 17
+# Windows recomputed at a time.
+_REDO_ROWS = 4096
 # A window whose spread is below this share of the block's is recomputed.
 _QUIET_SHARE = 1e-7
 # Below this squared correlation the rounding of the numerator matters.
@@ -169,7 +174,8 @@ def _rolling_batch(
                     & (square > _SMALL_SQUARE)
                 )
                 value = np.sqrt(square)
-            redo = np.argwhere(~trusted & (n > 0))
+            value[n == 1] = 0.0
+            redo = np.argwhere(~trusted & (n > 1))
             if len(redo):
                 p, t = redo[:, 0], redo[:, 1]
                 take = start[t][:, None] + np.arange(w)[None, :]
@@ -180,3 +186,68 @@ def _rolling_batch(
             result[:, lowest - 1 - first :] = value
         out[w] = result
     return out
+
+
+def pearson_windows(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Pearson correlation of each row of two (k, W) arrays; NaN if a side is constant."""
+    ok = np.isfinite(x) & np.isfinite(y)
+    n = np.maximum(ok.sum(axis=1, keepdims=True), 1)
+
+    def centred(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low = np.where(ok, v, np.inf).min(axis=1)
+        varies = np.where(ok, v, -np.inf).max(axis=1) > low
+        v = np.where(ok, v, 0.0)
+        return np.where(ok, v - v.sum(axis=1, keepdims=True) / n, 0.0), varies
+
+    a, varies_a = centred(x)
+    b, varies_b = centred(y)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        norm = np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1))
+        value = np.clip((a * b).sum(axis=1) / norm, -1.0, 1.0)
+    return np.where(varies_a & varies_b, value, np.nan)
+
+
+def rolling_pearson(
+    x: np.ndarray, y: np.ndarray, windows: Sequence[int], first: int = 0
+) -> dict[int, np.ndarray]:
+    """Rolling values at positions ``first`` .. ``T - 1`` of (pairs, T) arrays.
+
+    Frames are shorter at the start. NaN below ``W // 3`` positions with both values
+    and where a side is constant.
+    """
+    pairs, length = x.shape
+    ok = np.isfinite(x) & np.isfinite(y)
+    seen = np.maximum(ok.sum(axis=1, keepdims=True), 1)
+
+    def prepare(v: np.ndarray) -> np.ndarray:
+        v = np.where(ok, v, 0.0)
+        return np.where(ok, v - v.sum(axis=1, keepdims=True) / seen, 0.0)
+
+    dx, dy = prepare(x), prepare(y)
+    sums = [_prefix(v, 1) for v in (ok.astype(float), dx, dy, dx * dx, dy * dy, dx * dy)]
+    end = np.arange(first + 1, length + 1)
+    out: dict[int, np.ndarray] = {}
+    for w in windows:
+        start = np.maximum(end - w, 0)
+        n, sx, sy, sxx, syy, sxy = (table[:, end] - table[:, start] for table in sums)
+        m = np.maximum(n, 1.0)
+        var_x, var_y = sxx - sx * sx / m, syy - sy * sy / m
+        enough = (n >= w // 3) & (n >= 2)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            value = np.clip((sxy - sx * sy / m) / np.sqrt(var_x * var_y), -1.0, 1.0)
+        value[~enough] = np.nan
+        trusted = (var_x > _QUIET_SHARE * sums[3][:, -1:]) & (
+            var_y > _QUIET_SHARE * sums[4][:, -1:]
+        )
+        redo = np.argwhere(enough & ~trusted)
+        for lo in range(0, len(redo), _REDO_ROWS):
+            p, t = redo[lo : lo + _REDO_ROWS].T
+            # frames cut off by the start of the block are filled up with missing
+            take = end[t][:, None] - w + np.arange(w)[None, :]
+            inside = take >= 0
+            value[p, t] = pearson_windows(
+                np.where(inside, x[p[:, None], take], np.nan),
+                np.where(inside, y[p[:, None], take], np.nan),
+            )
+        out[w] = value
+    return out

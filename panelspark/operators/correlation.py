@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.config import DEFAULT_TENORS, DEFAULT_WINDOWS
-from panelspark.functions.rolling_dcor import rolling_distance_correlation
+from panelspark.functions.rolling import rolling_distance_correlation, rolling_pearson
 from panelspark.names import c
-from panelspark.operators.panel import PAIR_KEYS, Calendar, Layout, packed_series, source_pairs
+from panelspark.operators.panel import Calendar, Layout, packed_series, source_pairs
 
 PEARSON = "pearson"
 DCORR = "dcorr"
@@ -24,123 +24,50 @@ BLOCK_DATES = 128
 # Sources per tile of the pair join.
 TILE_SOURCES = 64
 
-_SERIES_KEYS = (*PAIR_KEYS, "source1", "source2")
-
-
-def _pearson(window: int) -> str:
-    """Pairwise-complete Pearson of ``x`` and ``y`` over the last ``window`` rows.
-
-    Null below ``window // 3`` complete rows and for a constant side.
-    """
-    over = (
-        f"OVER (PARTITION BY {', '.join(_SERIES_KEYS)} ORDER BY pos "
-        f"ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"
-    )
-    return f"""CASE WHEN count(x) {over} >= {window // 3} THEN try_divide(
-        covar_pop(x, y) {over}, stddev_pop(x) {over} * stddev_pop(y) {over}) END AS w{window}"""
-
-
-def _per_window(windows: Sequence[int], prefix: str) -> str:
-    """Explode one column per window size into (window_size, Correlation)."""
-    rows = [f"struct({w} AS window_size, {prefix}w{w} AS Correlation)" for w in windows]
-    return f"inline(array({', '.join(rows)}))"
-
-
-def _pearson_rows(
-    pairs: DataFrame, cal: Calendar, layout: Layout, windows: Sequence[int]
-) -> DataFrame:
-    return (
-        pairs.selectExpr(*_SERIES_KEYS, "posexplode(arrays_zip(x, y)) AS (pos, cell)")
-        .selectExpr(
-            *_SERIES_KEYS,
-            "pos",
-            # both sides null unless both report: each moment then sees the same rows
-            "CASE WHEN cell.y IS NOT NULL THEN cell.x END AS x",
-            "CASE WHEN cell.x IS NOT NULL THEN cell.y END AS y",
-        )
-        .selectExpr(*_SERIES_KEYS, "pos", *[_pearson(w) for w in windows])
-        .where(f"pos >= {layout.overlap}")
-        .selectExpr(
-            "observable", "source1", "source2",
-            f"int({layout.first_index} + pos) AS d_idx",
-            _per_window(windows, ""),
-        )
-        .select(*_columns(cal, PEARSON))
-    )
-
-
-def _columns(cal: Calendar, method: str) -> list[Column]:
-    return [
-        cal.date_at(F.col("d_idx")).alias("date"),
-        *map(F.col, ["Correlation", "observable", "source1", "source2", "window_size"]),
-        F.lit(method).alias("corr_type"),
-    ]
-
-
 def _as_matrix(lists: pa.Array, rows: np.ndarray, length: int) -> np.ndarray:
     """Rows of a list<double> column, all ``length`` long, as a matrix; null -> NaN."""
     flat = lists.take(pa.array(rows)).flatten()
     return flat.to_numpy(zero_copy_only=False).astype(float).reshape(len(rows), length)
 
 
-def _dcor_udf(windows: Sequence[int]):
-    """Arrow function: (x, y, overlap) -> one list of values per window size."""
+# The rolling function of each method; both cover the dates after an overlap.
+_KERNELS = {PEARSON: rolling_pearson, DCORR: rolling_distance_correlation}
+
+
+def _rolling_udf(methods: Sequence[str], windows: Sequence[int]):
+    """Arrow function: (x, y, overlap) -> a list of values per method and window size.
+
+    Built-in sliding frames would do for Pearson, but they walk each frame anew for
+    every row: 50 microseconds per date and pair with the default windows, against
+    well under one here.
+    """
+    names = {(method, w): f"{method}_{w}" for method in methods for w in windows}
+    schema = T.StructType([T.StructField(n, T.ArrayType(T.DoubleType())) for n in names.values()])
+    kernels = {method: _KERNELS[method] for method in methods}
     windows = tuple(windows)
-    schema = T.StructType([T.StructField(f"w{w}", T.ArrayType(T.DoubleType())) for w in windows])
 
     @F.arrow_udf(schema)
-    def dcor(x: pa.Array, y: pa.Array, overlap: pa.Array) -> pa.Array:
-        lengths = np.asarray(x.value_lengths())
-        skip = np.asarray(overlap)
-        found: dict[int, list] = {w: [None] * len(lengths) for w in windows}
-        # blocks of one batch share a shape, except the first and last of a calendar
+    def rolling(x: pa.Array, y: pa.Array, overlap: pa.Array) -> pa.Array:
+        lengths, skip = np.asarray(x.value_lengths()), np.asarray(overlap)
+        sizes = lengths - skip
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        flat = {key: np.full(offsets[-1], np.nan) for key in names}
+        # the blocks of a batch share one shape, but for the ends of the calendar
         for length, first in {*zip(lengths.tolist(), skip.tolist())}:
             rows = np.flatnonzero((lengths == length) & (skip == first))
-            values = rolling_distance_correlation(
-                _as_matrix(x, rows, length), _as_matrix(y, rows, length), windows, first
-            )
-            for w in windows:
-                for row, line in zip(rows, values[w]):
-                    found[w][row] = line
-        columns = []
-        for w in windows:
-            sizes = [len(line) for line in found[w]]
-            flat = np.concatenate(found[w]) if sizes else np.zeros(0)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            columns.append(
-                pa.ListArray.from_arrays(
-                    pa.array(offsets), pa.array(flat, mask=np.isnan(flat))
-                )
-            )
-        return pa.StructArray.from_arrays(columns, names=[f"w{w}" for w in windows])
-
-    return dcor
-
-
-def _dcor_rows(
-    pairs: DataFrame, cal: Calendar, layout: Layout, windows: Sequence[int]
-) -> DataFrame:
-    lists = ", ".join(f"w{w}" for w in windows)
-    own = f"block * {layout.block}"
-    return (
-        pairs.select(
-            "observable", "source1", "source2", "block",
-            _dcor_udf(windows)("x", "y", F.expr(f"int({layout.overlap})")).alias("d"),
-        )
-        .select("observable", "source1", "source2", "block", "d.*")
-        .selectExpr(
-            "observable", "source1", "source2", "block",
-            f"posexplode(arrays_zip({lists})) AS (pos, cell)",
-        )
-        .selectExpr(
-            "observable", "source1", "source2",
-            f"int({own} + pos) AS d_idx",
-            _per_window(windows, "cell."),
-        )
-        # only full windows are reported
-        .where("d_idx >= window_size - 1")
-        .select(*_columns(cal, DCORR))
-    )
+            spots = offsets[rows][:, None] + np.arange(length - first)[None, :]
+            a, b = _as_matrix(x, rows, length), _as_matrix(y, rows, length)
+            for method, kernel in kernels.items():
+                for w, values in kernel(a, b, windows, first).items():
+                    flat[method, w][spots] = values
+        bounds = pa.array(offsets.astype(np.int32))
+        columns = [
+            pa.ListArray.from_arrays(bounds, pa.array(values, mask=np.isnan(values)))
+            for values in flat.values()
+        ]
+        return pa.StructArray.from_arrays(columns, names=list(names.values()))
+
+    return rolling
 
 
 def window_correlations(
@@ -175,16 +102,35 @@ def window_correlations(
         *[c(name).cast("double").alias(name) for name in observables],
     )
     cal = Calendar(panel)
-    pairs = source_pairs(packed_series(panel, observables, cal, layout), panel, layout)
-    parts = []
-    if PEARSON in methods:
-        parts.append(_pearson_rows(pairs, cal, layout, windows))
-    if DCORR in methods:
-        parts.append(_dcor_rows(pairs, cal, layout, windows))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    pairs = source_pairs(packed_series(panel, observables, cal, layout))
+    lists = [f"{method}_{w}" for method in methods for w in windows]
+    results = [
+        f"struct({w} AS window_size, '{method}' AS corr_type, cell.{method}_{w} AS Correlation)"
+        for method in methods
+        for w in windows
+    ]
+    return (
+        pairs.select(
+            "observable", "source1", "source2", "block",
+            _rolling_udf(methods, windows)("x", "y", F.expr(f"int({layout.overlap})")).alias("r"),
+        )
+        .select("observable", "source1", "source2", "block", "r.*")
+        .selectExpr(
+            "observable", "source1", "source2", "block",
+            f"posexplode(arrays_zip({', '.join(lists)})) AS (pos, cell)",
+        )
+        .selectExpr(
+            "observable", "source1", "source2",
+            f"int(block * {layout.block} + pos) AS d_idx",
+            f"inline(array({', '.join(results)}))",
+        )
+        # distance correlation is reported for full windows only
+        .where(f"corr_type = '{PEARSON}' OR d_idx >= window_size - 1")
+        .select(
+            cal.date_at(F.col("d_idx")).alias("date"),
+            "Correlation", "observable", "source1", "source2", "window_size", "corr_type",
+        )
+    )
 
 
 def rolling_correlation(

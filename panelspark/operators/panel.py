@@ -96,10 +96,17 @@ def packed_series(
 ) -> DataFrame:
     """One aligned array per (observable, block, source): ``v[i]`` or null per date.
 
+    ``tiles`` is the number of tiles the sources are to be spread over.
+
     ``panel`` has ``date``, ``source`` and the observables as doubles. Every source
     has a row for every block, as the pairs of a block are formed from all sources
     of the panel. A repeated (date, source) fails the query.
     """
+    # the number of tiles only shapes the layout, so an approximate one will do; it
+    # is asked for here to be counted along with the calendar
+    tiles = panel.agg(
+        F.ceil(F.greatest(F.approx_count_distinct("source"), F.lit(1)) / layout.tile).cast("int")
+    ).scalar()
     names = [f"v{i}" for i in range(len(observables))]
     values = ", ".join(names)
     reports = (
@@ -107,19 +114,23 @@ def packed_series(
             "source",
             cal.index_of(F.col("date")).alias("d_idx"),
             cal.size.alias("n"),
+            tiles.alias("tiles"),
             # NaN counts as missing
             *[F.nanvl(c(name), F.lit(None)).alias(v) for name, v in zip(observables, names)],
         )
         .where("d_idx IS NOT NULL")
         .selectExpr("*", f"explode({layout.blocks_of('d_idx')}) AS block")
-        .selectExpr("source", "n", "block", f"d_idx - {layout.first_index} AS pos", *names)
+        .selectExpr(
+            "source", "n", "tiles", "block", f"d_idx - {layout.first_index} AS pos", *names
+        )
     )
     presence = (
         panel.select("source").distinct()
-        .select("source", cal.size.alias("n"))
+        .select("source", cal.size.alias("n"), tiles.alias("tiles"))
         .selectExpr(
             "source",
             "n",
+            "tiles",
             f"explode(sequence(0L, {layout.last_block})) AS block",
             "CAST(NULL AS INT) AS pos",
             *[f"CAST(NULL AS DOUBLE) AS {v}" for v in names],
@@ -129,9 +140,9 @@ def packed_series(
         reports.unionByName(presence)
         # one shuffle serves both aggregations below
         .repartition("source", "block")
-        .groupBy("source", "block", "n", "pos")
+        .groupBy("source", "block", "n", "tiles", "pos")
         .agg(*[F.first(v).alias(v) for v in names], F.count(F.lit(1)).alias("copies"))
-        .groupBy("source", "block", "n")
+        .groupBy("source", "block", "n", "tiles")
         .agg(
             F.expr(
                 f"""sort_array(collect_list(CASE
@@ -141,7 +152,7 @@ def packed_series(
                     END))"""
             ).alias("cells")
         )
-        .selectExpr("source", "block", "cells", f"{layout.length} AS length")
+        .selectExpr("source", "block", "tiles", "cells", f"{layout.length} AS length")
     )
 
     def aligned(v: str) -> str:
@@ -158,30 +169,25 @@ def packed_series(
         f"struct({literal(observable)} AS observable, {aligned(v)} AS v)"
         for observable, v in zip(observables, names)
     ]
-    return cells.selectExpr("source", "block", f"inline(array({', '.join(series)}))")
+    return cells.selectExpr("source", "block", "tiles", f"inline(array({', '.join(series)}))")
 
 
 PAIR_KEYS = ("observable", "block", "tile1", "tile2")
 
 
-def source_pairs(series: DataFrame, panel: DataFrame, layout: Layout) -> DataFrame:
+def source_pairs(series: DataFrame) -> DataFrame:
     """All unordered source pairs of every (observable, block), as array pairs.
 
     Sources are hashed into about ``N / tile`` tiles; a pair belongs to exactly one
     (tile1 <= tile2), and each series is sent to the tile pairs it takes part in.
     A task therefore sees at most two tiles of one block, and the shuffle carries
     packed arrays, ``N / tile`` copies each, rather than ``N`` rows per value.
-    The tile count only shapes the layout, so an approximate ``N`` will do.
     """
-    tiles = panel.agg(
-        F.ceil(F.greatest(F.approx_count_distinct("source"), F.lit(1)) / layout.tile).cast("int")
-    ).scalar()
     # not left to AQE: it would size partitions by these small arrays, although
     # each of them stands for all its pairs
     partitions = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = (
-        series.select("*", tiles.alias("tiles"))
-        .selectExpr("*", "int(pmod(xxhash64(source), tiles)) AS tile")
+        series.selectExpr("*", "int(pmod(xxhash64(source), tiles)) AS tile")
         .selectExpr("*", "explode(sequence(0, tiles - 1)) AS other")
         .selectExpr(
             "observable",
