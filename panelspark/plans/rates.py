@@ -160,11 +160,14 @@ def save_window_corr(
     touched = rows.select(*partitions).distinct()
     kept = existing.join(F.broadcast(touched), partitions, "left_semi")
     merged = upsert(kept, align_to(rows, existing.schema), key + extra)
-    (
-        merged.select(*existing.columns)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
+    # insertInto heeds the session setting only, not a writer option
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        merged.select(*existing.columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def window_corr_strict(spark: SparkSession, table: str = WINDOW_CORR_TABLE) -> DataFrame:
