@@ -13,36 +13,47 @@ FORMAT_ALIASES = {
     "YYYY-mm-dd": "%Y-%m-%d",
 }
 
-# strftime token -> Spark pattern where digits follow directly, and elsewhere
-# (a single letter also accepts one digit, as strftime parsers do).
+# strftime token -> Spark pattern where digits follow directly, and elsewhere (a
+# single letter also accepts one digit, as strftime parsers do); shape of its text.
 _TOKENS = {
-    "Y": ("yyyy", "yyyy"),
-    "y": ("yy", "yy"),
-    "m": ("MM", "M"),
-    "d": ("dd", "d"),
-    "e": ("dd", "d"),
-    "H": ("HH", "H"),
-    "I": ("hh", "h"),
-    "M": ("mm", "m"),
-    "S": ("ss", "s"),
-    "j": ("DDD", "D"),
-    "b": ("MMM", "MMM"),
-    "B": ("MMMM", "MMMM"),
-    "p": ("a", "a"),
+    "Y": ("yyyy", "yyyy", "[0-9]{4}"),
+    "y": ("yy", "yy", "[0-9]{2}"),
+    "m": ("MM", "M", "[0-9]{1,2}"),
+    "d": ("dd", "d", "[0-9]{1,2}"),
+    "e": ("dd", "d", "[0-9]{1,2}"),
+    "H": ("HH", "H", "[0-9]{1,2}"),
+    "I": ("hh", "h", "[0-9]{1,2}"),
+    "M": ("mm", "m", "[0-9]{1,2}"),
+    "S": ("ss", "s", "[0-9]{1,2}"),
+    "j": ("DDD", "D", "[0-9]{1,3}"),
+    "b": ("MMM", "MMM", "[A-Za-z]+"),
+    "B": ("MMMM", "MMMM", "[A-Za-z]+"),
+    "p": ("a", "a", "[APap][Mm]"),
 }
 _SHORTHANDS = {"F": "%Y-%m-%d", "T": "%H:%M:%S", "R": "%H:%M", "D": "%m/%d/%y"}
 
+# Formats a plain cast reads, given that the text has their shape.
+_CAST_FORMATS = ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S")
+
 # Layouts tried when a text column comes without a format.
-_PLAIN_DATES = ("yyyy-M-d", "yyyy/M/d", "d-M-yyyy", "d/M/yyyy", "d.M.yyyy")
+_PLAIN_DATES = ("%Y-%m-%d", "%Y/%m/%d", "%d-%m-%Y", "%d/%m/%Y", "%d.%m.%Y")
 
 
-def spark_pattern(strftime: str) -> str:
-    """Spark datetime pattern of a strftime format (aliases included)."""
+def _parts(strftime: str) -> list[str]:
+    """Alternating literal text and one-letter tokens."""
     text = FORMAT_ALIASES.get(strftime, strftime)
     for token, full in _SHORTHANDS.items():
         text = text.replace(f"%{token}", full)
-    # alternating literal text and one-letter tokens
     parts = re.split(r"%(.)", text)
+    unknown = [token for token in parts[1::2] if token not in _TOKENS and token != "%"]
+    if unknown:
+        raise ValueError(f"Unsupported date format tokens {unknown} in {strftime!r}")
+    return parts
+
+
+def spark_pattern(strftime: str) -> str:
+    """Spark datetime pattern of a strftime format (aliases included)."""
+    parts = _parts(strftime)
     out = []
     for number, part in enumerate(parts):
         if number % 2 == 0:
@@ -50,8 +61,6 @@ def spark_pattern(strftime: str) -> str:
             out.append(quoted if re.search(r"[A-Za-z'#\[\]{}]", part) else part)
         elif part == "%":
             out.append("%")
-        elif part not in _TOKENS:
-            raise ValueError(f"Unsupported date format token %{part} in {strftime!r}")
         else:
             # digits right next to another number leave the width open
             before, after = parts[number - 1], parts[number + 1]
@@ -61,11 +70,27 @@ def spark_pattern(strftime: str) -> str:
     return "".join(out)
 
 
+def _shape(strftime: str) -> str:
+    """Regular expression of texts that may match a format."""
+    return "^" + "".join(
+        re.escape(part) if number % 2 == 0 else "%" if part == "%" else _TOKENS[part][2]
+        for number, part in enumerate(_parts(strftime))
+    ) + "$"
+
+
 def parse_date(text: Column, strftime: str) -> Column:
-    """Date part of a text read with ``strftime``; null where it does not match."""
-    return F.try_to_timestamp(text, F.lit(spark_pattern(strftime))).cast("date")
+    """Date part of a text read with ``strftime``; null where it does not match.
+
+    Texts of another shape are sorted out by a regular expression first: Spark's
+    datetime parsers raise and catch an exception for each text they refuse.
+    """
+    if FORMAT_ALIASES.get(strftime, strftime) in _CAST_FORMATS:
+        date = text.try_cast("timestamp_ntz").cast("date")
+    else:
+        date = F.try_to_timestamp(text, F.lit(spark_pattern(strftime))).cast("date")
+    return F.when(text.rlike(_shape(strftime)), date)
 
 
 def parse_plain_date(text: Column) -> Column:
     """Date of a text in a common all-digit layout; null otherwise."""
-    return F.coalesce(*[F.try_to_date(text, pattern) for pattern in _PLAIN_DATES])
+    return F.coalesce(*[parse_date(text, layout) for layout in _PLAIN_DATES])

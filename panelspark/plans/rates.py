@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.config import (
@@ -20,7 +20,7 @@ from panelspark.config import (
 )
 from panelspark.operators.correlation import DCORR, PEARSON, window_correlations
 from panelspark.operators.coverage import coverage
-from panelspark.operators.keyed import deduplicate, upsert
+from panelspark.operators.keyed import deduplicate, matches, upsert
 from panelspark.operators.tables import TableStore, align_to
 from panelspark.operators.transforms import RenameTenors, SourceFromFilename
 from panelspark.plans.ingest import load_directories_into_tables
@@ -156,9 +156,11 @@ def save_window_corr(
     if not store.exists(table):
         store.create_table(table, rows.schema, partition_by=partitions)
     existing = store.table(table)
-    # methods x window sizes: a handful of rows
-    touched = rows.select(*partitions).distinct()
-    kept = existing.join(F.broadcast(touched), partitions, "left_semi")
+    # methods x window sizes: a handful of values, so that the scan skips the rest
+    touched = rows.select(*partitions).distinct().collect()
+    if not touched:
+        return
+    kept = existing.where(reduce(Column.__or__, [matches(row.asDict()) for row in touched]))
     merged = upsert(kept, align_to(rows, existing.schema), key + extra)
     # insertInto heeds the session setting only, not a writer option
     mode = "spark.sql.sources.partitionOverwriteMode"

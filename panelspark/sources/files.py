@@ -85,7 +85,8 @@ def is_file(path: str) -> bool:
 
 def absolute(path: str) -> str:
     """Local paths made absolute; URIs unchanged."""
-    return path if re.match(r"[A-Za-z][A-Za-z0-9+.-]+://", path) else locate(path)[1]
+    remote = "://" in path and not path.startswith("file:")
+    return path if remote else locate(path)[1]
 
 
 def list_data_files(

@@ -29,7 +29,12 @@ def source_path() -> Column:
     ``_metadata.file_path`` is a percent-encoded URI in which ``+`` stands for
     itself; the scheme is removed for local files only.
     """
-    local = F.regexp_replace("_metadata.file_path", "^file:/+", "/")
+    path = F.col("_metadata.file_path")
+    local = (
+        F.when(path.startswith("file:///"), F.substr(path, F.lit(8)))
+        .when(path.startswith("file:/"), F.substr(path, F.lit(6)))
+        .otherwise(path)
+    )
     return F.url_decode(F.replace(local, F.lit("+"), F.lit("%2B")))
 
 
