@@ -81,7 +81,8 @@ def window_correlations(
 ) -> DataFrame:
     """Rolling correlations of every source pair, all windows and methods at once.
 
-    ``panel`` has ``date``, ``source`` and one numeric column per observable.
+    ``panel`` has ``date``, ``source`` and one numeric column per observable. Rows
+    without a date are left out; NaN and infinite values count as missing.
     Result: ``date, Correlation, observable, source1, source2, window_size,
     corr_type`` with ``source1 < source2``.
 
@@ -98,7 +99,8 @@ def window_correlations(
     layout = Layout(block=max(block or BLOCK_DATES, reach, 1), reach=reach, tile=tile)
     panel = panel.select(
         F.col("date").cast("date").alias("date"),
-        "source",
+        # a missing source is a source of its own
+        F.coalesce(F.col("source").cast("string"), F.lit("null")).alias("source"),
         *[c(name).cast("double").alias(name) for name in observables],
     )
     cal = Calendar(panel)

@@ -33,7 +33,7 @@ from panelspark.operators.transforms import (
     apply_transforms,
 )
 from panelspark.plans.ingest import load_directories_into_tables
-from panelspark.plans.rates import CorrelationArtefacts, since
+from panelspark.plans.rates import CorrelationArtefacts, run_rates, since
 from panelspark.session import scratch_dir
 from panelspark.sources.preview import preview_frame
 from panelspark.sources.readers import load_directory, read_file
@@ -183,6 +183,16 @@ def corr_matrix_dcorr(spark, sf_dir):
     return rounded(correlation_matrix(orders_panel(spark, sf_dir), 30, ["n"]))
 
 
+@query(
+    f"""{pearson_sql(ORDERS_PANEL, "price", [20, 40])}
+UNION ALL SELECT * FROM ({dcorr_sql(ORDERS_PANEL, "price", 20)})
+UNION ALL SELECT * FROM ({dcorr_sql(ORDERS_PANEL, "price", 40)})"""
+)
+def window_corr_both_methods(spark, sf_dir):
+    """Both methods and two windows out of one pass over the blocks."""
+    return rounded(window_correlations(orders_panel(spark, sf_dir), ["price"], [20, 40]))
+
+
 NATIONS_PANEL = """
 o AS (SELECT CAST(o_orderdate AS DATE) AS date, n_name AS source, sum(o_totalprice) AS price
       FROM orders JOIN customer ON o_custkey = c_custkey
@@ -241,6 +251,46 @@ def correlation_artefacts(spark, sf_dir):
     return rounded(rows.drop("rate_table"))
 
 
+MAX_PANEL = ORDERS_PANEL.replace("sum(o_totalprice)", "max(o_totalprice)")
+
+
+def _curve_sql(panel: str, table: str) -> str:
+    return f"""
+SELECT *, '{table}' AS rate_table FROM ({pearson_sql(panel, "price", [20])}) UNION ALL
+SELECT *, '{table}' AS rate_table FROM ({dcorr_sql(panel, "price", 20)})"""
+
+
+@query(
+    f"""
+SELECT date, "Correlation", 'Y001p0' AS observable, source1, source2, window_size, corr_type,
+  rate_table
+FROM ({_curve_sql(ORDERS_PANEL, "zero_rates")} UNION ALL {_curve_sql(MAX_PANEL, "par_rates")})"""
+)
+def rates_job(spark, sf_dir):
+    """The rates job over its tables: artefacts, then the window_corr table, twice."""
+    orders = read(spark, sf_dir, "orders")
+    store, outer = TableStore(spark), spark.catalog.currentDatabase()
+    database = f"panelspark_job_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        for table, pick in (("zero_rates", "sum"), ("par_rates", "max"), ("spotfx", "min")):
+            curve = orders.groupBy(
+                F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+                F.col("o_orderpriority").alias("source"),
+            ).agg(F.expr(f"{pick}(o_totalprice)").alias("Y001p0"))
+            store.create_table_from(table, curve)
+        folder = scratch_dir(spark, "rates-job")
+        for _ in range(2):  # the second run reuses the artefacts and changes nothing
+            run_rates(
+                spark, folder=folder, create_corr_files=True, populate_from_files=True,
+                tenors=["Y001p0"], windows=[20], start=dt.date(1990, 1, 1),
+            )
+    finally:
+        spark.catalog.setCurrentDatabase(outer)
+    return rounded(spark.table(f"{database}.window_corr"))
+
+
 @query(
     """
 SELECT source, strftime(max(date), '%Y%m%d') AS last_date, count(*) AS days FROM (
