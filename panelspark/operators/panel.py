@@ -102,10 +102,10 @@ def packed_series(
     has a row for every block, as the pairs of a block are formed from all sources
     of the panel. A repeated (date, source) fails the query.
     """
-    # the number of tiles only shapes the layout, so an approximate one will do; it
-    # is asked for here to be counted along with the calendar
-    tiles = panel.agg(
-        F.ceil(F.greatest(F.approx_count_distinct("source"), F.lit(1)) / layout.tile).cast("int")
+    sources = panel.select("source").distinct()
+    # asked for here, so that it is counted along with the calendar
+    tiles = sources.agg(
+        F.ceil(F.greatest(F.count(F.lit(1)), F.lit(1)) / layout.tile).cast("int")
     ).scalar()
     names = [f"v{i}" for i in range(len(observables))]
     values = ", ".join(names)
@@ -125,8 +125,7 @@ def packed_series(
         )
     )
     presence = (
-        panel.select("source").distinct()
-        .select("source", cal.size.alias("n"), tiles.alias("tiles"))
+        sources.select("source", cal.size.alias("n"), tiles.alias("tiles"))
         .selectExpr(
             "source",
             "n",

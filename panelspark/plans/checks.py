@@ -6,10 +6,14 @@ name to a DuckDB statement. All of them read whole tables.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.ipc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,9 +39,10 @@ from panelspark.operators.transforms import (
 from panelspark.plans.ingest import load_directories_into_tables
 from panelspark.plans.rates import CorrelationArtefacts, run_rates, since
 from panelspark.session import scratch_dir
+from panelspark.sources.files import locate
 from panelspark.sources.preview import preview_frame
-from panelspark.sources.readers import load_directory, read_file
-from panelspark.sources.snapshots import snapshot_friday
+from panelspark.sources.readers import load_directory
+from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_friday, snapshot_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,7 +62,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return read_file(spark, f"{sf_dir}/{table}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def rounded(df: DataFrame, name: str = "Correlation") -> DataFrame:
@@ -168,9 +173,18 @@ def window_corr_grid(spark, sf_dir):
     return rounded(window_correlations(panel, ["price", "n"], methods=[PEARSON]))
 
 
-# every method, window and observable; the distance part at W = 90 is too slow in SQL
-@query()
+@query(
+    " UNION ALL ".join(
+        f"SELECT * FROM ({part})"
+        for observable in ("price", "n")
+        for part in [
+            pearson_sql(ORDERS_PANEL, observable, [20, 40, 60, 90]),
+            *[dcorr_sql(ORDERS_PANEL, observable, w) for w in (20, 40, 60, 90)],
+        ]
+    )
+)
 def window_corr_full(spark, sf_dir):
+    """Every default window and method."""
     return rounded(window_correlations(orders_panel(spark, sf_dir), ["price", "n"]))
 
 
@@ -523,6 +537,63 @@ def mixed_directory(spark, sf_dir):
     return load_directory(spark, folder, transforms=[FilenamePart("origin", "-")])
 
 
+def _write_ipc(df: DataFrame, folder: str) -> None:
+    """One Arrow IPC file per task, named by partition so that a retry replaces it."""
+
+    def write(batches):
+        system, inner = locate(folder)
+        system.create_dir(inner, recursive=True)
+        part = TaskContext.get().partitionId()
+        out = None
+        with contextlib.ExitStack() as stack:
+            for batch in batches:
+                if out is None:
+                    sink = stack.enter_context(
+                        system.open_output_stream(f"{inner}/part-{part:05d}.feather")
+                    )
+                    out = stack.enter_context(pa.ipc.new_file(sink, batch.schema))
+                out.write_batch(batch)
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32())})
+
+    df.mapInArrow(write, "part int").count()
+
+
+@query(
+    """
+SELECT l_orderkey, l_shipdate, l_returnflag, l_tax, 'part' AS origin FROM lineitem"""
+)
+def feather_directory(spark, sf_dir):
+    """A folder of Arrow IPC files, read by ranges of record batches."""
+    folder = scratch_dir(spark, "feather")
+    columns = ["l_orderkey", "l_shipdate", "l_returnflag", "l_tax"]
+    _write_ipc(read(spark, sf_dir, "lineitem").select(*columns), folder)
+    return load_directory(
+        spark, folder, extensions={".feather"}, transforms=[FilenamePart("origin", "-")]
+    )
+
+
+@query(
+    """
+SELECT 'par_rates' AS dataset, o_orderpriority AS kind, count(*) AS n FROM orders GROUP BY 2
+UNION ALL SELECT 'zero_rates', l_returnflag, count(*) FROM lineitem GROUP BY 2"""
+)
+def snapshot_read(spark, sf_dir):
+    """Datasets of one dated snapshot folder, subfolders included."""
+    root = scratch_dir(spark, "snapshots")
+    friday = last_friday(dt.date(2024, 5, 1))
+    par = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("kind"))
+    zero = read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("kind"))
+    par.write.parquet(snapshot_path(root, "curves", friday, "par") + "/eur")
+    zero.write.parquet(snapshot_path(root, "curves", friday, "zero_coupon"))
+    found = read_snapshot(spark, root, "curves", friday)
+    return strict_concat(
+        [
+            df.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).withColumn("dataset", F.lit(name))
+            for name, df in found.items()
+        ]
+    )
+
+
 @query(
     """
 SELECT count(*) AS row_count, 5 AS column_count, 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS columns

@@ -122,6 +122,8 @@ def inspect_file(path: str, infer_rows: int | None = None) -> FileLayout:
     """Layout of one file, from its header, footer or first rows."""
     kind = kind_of(path)
     system, inner = locate(path)
+    if kind == "parquet" and system.get_file_info(inner).type == fs.FileType.Directory:
+        return FileLayout(path, kind, f"dataset {path}")  # a folder of parts, one scan
     if kind == "parquet":
         with system.open_input_file(inner) as handle:
             schema = pyarrow.parquet.read_schema(handle)

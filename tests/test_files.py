@@ -158,3 +158,9 @@ def test_preview(spark, data_dir):
         preview_file(spark, str(data_dir / "usd.csv"), 0)
     with pytest.raises(FileNotFoundError):
         preview_file(spark, str(data_dir / "none.csv"))
+
+
+def test_parquet_folder_as_file(spark, tmp_path):
+    path = str(tmp_path / "big.parquet")
+    spark.range(10).repartition(3).write.parquet(path)
+    assert read_file(spark, path).count() == 10
