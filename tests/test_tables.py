@@ -13,7 +13,7 @@ def store(spark):
 
 @pytest.fixture()
 def name():
-    return f"t {uuid.uuid4().hex}"  # a space: names are always quoted
+    return f"t_{uuid.uuid4().hex}"
 
 
 def frame(spark, data, schema="k int, v string"):
