@@ -5,8 +5,9 @@ off prefix sums, so the cost hardly depends on the window sizes. For distance
 correlation (Szekely, Rizzo, Bakirov 2007) the distances |x_i - x_j| of a block are
 formed once; then
 
-* the sum of a_ij * b_ij over a window is four corners of a 2-D prefix sum,
-* the row sums a_i. over a window are differences of a row-wise prefix sum,
+* the row sums a_i. over a window are differences of a prefix sum along rows,
+* the sum of a_ij * b_ij over a window changes by one row entering and one leaving,
+  each again a difference of such a prefix sum,
 
 which is O(T^2 + T * W) per pair and block instead of O(T * W^2) per window size.
 
@@ -21,8 +22,8 @@ from collections.abc import Sequence
 import numpy as np
 from numpy.lib.stride_tricks import as_strided
 
-# Upper bound on the float64 cells of one (pairs, T, T) work array.
-_BATCH_CELLS = 1 << 17
+# Upper bound on the float64 cells of one work array, small enough for the cache.
+_BATCH_CELLS = 1 << 16
 # Windows recomputed at a time.
 _REDO_ROWS = 4096
 # A window whose spread is below this share of the block's is recomputed.
@@ -78,12 +79,28 @@ def rolling_distance_correlation(
 
     NaN where the window is not full yet or has no position with both values.
     """
+    return _in_batches(_dcor_batch, x, y, windows, first, x.shape[1] ** 2)
+
+
+def rolling_pearson(
+    x: np.ndarray, y: np.ndarray, windows: Sequence[int], first: int = 0
+) -> dict[int, np.ndarray]:
+    """Rolling values at positions ``first`` .. ``T - 1`` of (pairs, T) arrays.
+
+    Frames are shorter at the start. NaN below ``W // 3`` positions with both values
+    and where a side is constant.
+    """
+    return _in_batches(_pearson_batch, x, y, windows, first, x.shape[1])
+
+
+def _in_batches(kernel, x, y, windows, first: int, cells: int) -> dict[int, np.ndarray]:
+    """Run a kernel on as many pairs at a time as its work arrays allow."""
     pairs, length = x.shape
     out = {w: np.full((pairs, length - first), np.nan) for w in windows}
-    step = max(1, _BATCH_CELLS // max(1, length * length))
+    step = max(1, _BATCH_CELLS // max(1, cells))
     for lo in range(0, pairs, step):
         part = slice(lo, lo + step)
-        for w, values in _rolling_batch(x[part], y[part], windows, first).items():
+        for w, values in kernel(x[part], y[part], windows, first).items():
             out[w][part] = values
     return out
 
@@ -99,6 +116,16 @@ def _prefix(values: np.ndarray, axis: int) -> np.ndarray:
     return out
 
 
+def _column_prefix(values: np.ndarray) -> np.ndarray:
+    """Prefix sums of (pairs, T, T) along axis 1, row by row: faster than cumsum here."""
+    pairs, length, width = values.shape
+    out = np.empty((pairs, length + 1, width))
+    out[:, 0] = 0.0
+    for row in range(length):
+        np.add(out[:, row], values[:, row], out=out[:, row + 1])
+    return out
+
+
 def _diagonal_bands(table: np.ndarray, row: int, start: int, count: int, width: int):
     """View whose entry (p, t, k) is ``table[p, row + t, start + t + k]``."""
     s0, s1, s2 = table.strides
@@ -110,26 +137,30 @@ def _diagonal_bands(table: np.ndarray, row: int, start: int, count: int, width:
     )
 
 
-def _rolling_batch(
+def _dcor_batch(
     x: np.ndarray, y: np.ndarray, windows: Sequence[int], first: int
 ) -> dict[int, np.ndarray]:
     pairs, length = x.shape
     ok = np.isfinite(x) & np.isfinite(y)
     seen = np.maximum(ok.sum(axis=1, keepdims=True), 1)
-    both = ok[:, :, None] & ok[:, None, :]
+    weight = ok.astype(float)
+    both = None if ok.all() else weight[:, :, None] * weight[:, None, :]
 
     def prepare(v: np.ndarray):
         v = np.where(ok, v, 0.0)
         v = np.where(ok, v - v.sum(axis=1, keepdims=True) / seen, 0.0)
-        dist = np.abs(v[:, :, None] - v[:, None, :])
-        dist *= both
-        return dist, _prefix(dist, 1), _prefix(v, 1), _prefix(v * v, 1)
+        dist = v[:, :, None] - v[:, None, :]
+        np.abs(dist, out=dist)
+        if both is not None:
+            dist *= both
+        return dist, _column_prefix(dist), _prefix(v, 1), _prefix(v * v, 1)
 
     dist_x, rows_x, sum_x, sq_x = prepare(x)
     dist_y, rows_y, sum_y, sq_y = prepare(y)
     dist_x *= dist_y
-    corner = _prefix(_prefix(dist_x, 1), 2)
-    count = _prefix(ok.astype(float), 1)
+    products = _column_prefix(dist_x)
+    count = _prefix(weight, 1)
+    row = np.arange(length)
     scale_x = length * sq_x[:, -1:]
     scale_y = length * sq_y[:, -1:]
 
@@ -159,10 +190,12 @@ def _rolling_batch(
                     n * (sq[:, end] - sq[:, start]) - (sm[:, end] - sm[:, start]) ** 2
                 )
 
-            cross = (
-                corner[:, end, end] - corner[:, start, end]
-                - corner[:, end, start] + corner[:, start, start]
-            )
+            # row t against the window before it comes in, row t - w goes out
+            tail = np.maximum(row - w + 1, 0)
+            change = products[:, row, row] - products[:, tail, row]
+            old = row[w:] - w
+            change[:, w:] -= products[:, old + w, old] - products[:, old + 1, old]
+            cross = 2.0 * np.cumsum(change, axis=1)[:, end - 1]
             cov = moment(cross, np.einsum("ptw,ptw->pt", ax, ay), total_x * total_y)
             var_x = moment(squares(sq_x, sum_x), np.einsum("ptw,ptw->pt", ax, ax), total_x**2)
             var_y = moment(squares(sq_y, sum_y), np.einsum("ptw,ptw->pt", ay, ay), total_y**2)
@@ -207,15 +240,10 @@ def pearson_windows(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.where(varies_a & varies_b, value, np.nan)
 
 
-def rolling_pearson(
-    x: np.ndarray, y: np.ndarray, windows: Sequence[int], first: int = 0
+def _pearson_batch(
+    x: np.ndarray, y: np.ndarray, windows: Sequence[int], first: int
 ) -> dict[int, np.ndarray]:
-    """Rolling values at positions ``first`` .. ``T - 1`` of (pairs, T) arrays.
-
-    Frames are shorter at the start. NaN below ``W // 3`` positions with both values
-    and where a side is constant.
-    """
-    pairs, length = x.shape
+    length = x.shape[1]
     ok = np.isfinite(x) & np.isfinite(y)
     seen = np.maximum(ok.sum(axis=1, keepdims=True), 1)
 

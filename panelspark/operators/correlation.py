@@ -93,6 +93,7 @@ def window_correlations(
     unknown = [m for m in methods if m not in (PEARSON, DCORR)]
     if unknown or not methods:
         raise ValueError(f"methods must be from {(PEARSON, DCORR)}, got {list(methods)}")
+    windows, observables = list(dict.fromkeys(windows)), list(dict.fromkeys(observables))
     if not windows or min(windows) < 1:
         raise ValueError(f"window sizes must be positive, got {list(windows)}")
     reach = max(windows) - 1

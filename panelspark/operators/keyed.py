@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from panelspark.names import c, resolve
 
 # A key is heavy if it has this many rows and at least this share of all rows.
-# The share bounds the number of heavy keys (1,000), so they can be broadcast.
+# The share bounds the number of heavy keys (100,000), so they can be broadcast, and
+# what one key may bring to a task (1 GB of 100 TB).
 HEAVY_ROWS = 100_000
-HEAVY_SHARE = 1_000
+HEAVY_SHARE = 100_000
 
 
 def matches(where: Mapping[str, Any]) -> Column:

@@ -184,7 +184,10 @@ def source_pairs(series: DataFrame) -> DataFrame:
     """
     # not left to AQE: it would size partitions by these small arrays, although
     # each of them stands for all its pairs
-    partitions = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = series.sparkSession
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
     grouped = (
         series.selectExpr("*", "int(pmod(xxhash64(source), tiles)) AS tile")
         .selectExpr("*", "explode(sequence(0, tiles - 1)) AS other")
