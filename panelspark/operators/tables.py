@@ -2,7 +2,8 @@
 
 Plain parquet tables know no UPDATE, DELETE or MERGE, so changing operations write
 the new content to ``<table>__staging`` and swap it in. The swap is a drop and a
-rename: not atomic, but the staging table is complete before the old one goes.
+rename: not atomic, but the staging table is complete before the old one goes, and
+``TableStore.recover`` finishes a swap that was cut off in between.
 """
 
 from __future__ import annotations
@@ -209,6 +210,13 @@ class TableStore:
         before = self.table(table)
         return self._replace(table, keyed.upsert(before, align_to(df, before.schema), keys, order_by))
 
+    def recover(self, table: str) -> bool:
+        """Finish a swap cut off between its drop and its rename; True if there was one."""
+        if self.exists(table) or not self.exists(f"{table}__staging"):
+            return False
+        self._rename(f"{table}__staging", table)
+        return True
+
     # -- helpers ---------------------------------------------------------------
 
     def _make_room(self, table: str, overwrite: bool) -> bool:
@@ -238,5 +246,11 @@ class TableStore:
         self.drop(staging)
         rows = self._write(staging, df, partition_by)
         self.drop(table)
-        self.spark.sql(f"ALTER TABLE {qtable(staging)} RENAME TO {qtable(table)}")
+        self._rename(staging, table)
         return rows
+
+    def _rename(self, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {qtable(old)} RENAME TO {qtable(new)}")
+        if self._partitioning(new):
+            # some catalogs leave partitions registered at the folder of the old name
+            self.spark.sql(f"MSCK REPAIR TABLE {qtable(new)} SYNC PARTITIONS")

@@ -121,8 +121,8 @@ def test_strict_concat(spark):
 def test_transforms_only_when_given(spark, tmp_path, rows):
     pd.DataFrame({"date": ["2024-01-01"], "1.0": [1.1], "2.0": [2.1]}).to_parquet(tmp_path / "eur.parquet")
     assert load_directory(spark, tmp_path).columns == ["date", "1.0", "2.0"]
-    df = load_directory(spark, tmp_path, transforms=[Melt(["date"]), LitColumn("dataset", "ycs")])
-    assert rows(df) == [("2024-01-01", "1.0", 1.1, "ycs"), ("2024-01-01", "2.0", 2.1, "ycs")]
+    df = load_directory(spark, tmp_path, transforms=[Melt(["date"]), LitColumn("dataset", "curves")])
+    assert rows(df) == [("2024-01-01", "1.0", 1.1, "curves"), ("2024-01-01", "2.0", 2.1, "curves")]
     tagged = load_directory(spark, tmp_path, transform=lambda d: d.withColumn("n", d["`1.0`"] * 2))
     assert tagged.first()["n"] == 2.2
 

@@ -130,3 +130,24 @@ def test_queries(spark, store, name, rows):
     for bad in (f"DROP TABLE `{name}`", f"SELECT 1; DROP TABLE `{name}`"):
         with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
             store.run_query(bad)
+
+
+def test_recover(spark, store, name, rows):
+    store.create_table_from(f"{name}__staging", frame(spark, [(1, "a")]))
+    assert store.recover(name) and not store.recover(name)
+    assert rows(store.table(name)) == [(1, "a")]
+
+
+def test_recover_keeps_partitions(spark, store, name, rows):
+    data = frame(spark, [(1, "a"), (2, "b")])
+    store.create_table_from(f"{name}__staging", data, partition_by=["k"])
+    assert store.recover(name)
+    assert rows(store.table(name), "k", "v") == [(1, "a"), (2, "b")]
+
+
+def test_partitioned_tables_stay_partitioned(spark, store, name, rows):
+    store.create_table_from(name, frame(spark, [(1, "a"), (2, "b")]), partition_by=["k"])
+    assert store.delete(name, {"k": 1}) == 1
+    assert store.append_to_table(name, frame(spark, [("c", 3)], "v string, k int")) == 1
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    assert parts == ["k"] and rows(store.table(name), "k", "v") == [(2, "b"), (3, "c")]
