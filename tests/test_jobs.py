@@ -10,7 +10,9 @@ from panelspark.operators.tables import TableStore
 from panelspark.plans.ingest import (
     load_directories_into_tables, load_equity_eod, load_files_into_tables, load_world_bank,
 )
-from panelspark.plans.rates import create_correlation_files, rates_coverage, run_rates, window_corr_strict
+from panelspark.plans.rates import (
+    create_correlation_files, rates_coverage, run_rates, save_window_corr, window_corr_strict,
+)
 from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_friday, snapshot_path
 
 
@@ -154,3 +156,21 @@ def test_snapshots(spark, tmp_path, rows):
     found = read_snapshot(spark, str(tmp_path), "curves", last_friday(day))
     assert list(found) == ["par_rates"] and rows(found["par_rates"]) == [(1,), (2,)]
     assert snapshot_path("s3a://b/", "x", "2024-04-26", "par") == "s3a://b/x/2024-04-26/transformed/par"
+
+
+def test_strict_save_keeps_par_and_other_partitions(spark, rows):
+    columns = ("date date, Correlation double, observable string, source1 string, source2 string, "
+               "window_size int, corr_type string, rate_table string")
+    day = dt.date(2024, 1, 1)
+
+    def batch(*values):
+        return spark.createDataFrame(
+            [(day, v, "Y001p0", "a", "b", w, "pearson", curve) for v, w, curve in values], columns
+        )
+
+    save_window_corr(spark, batch((0.9, 20, "zero_rates"), (0.1, 20, "par_rates"), (0.5, 40, "zero_rates")), strict=True)
+    table = spark.table("window_corr")
+    assert "rate_table" not in table.columns
+    assert rows(table, "Correlation", "window_size") == [(0.1, 20), (0.5, 40)]
+    save_window_corr(spark, batch((0.7, 20, "zero_rates")), strict=True)
+    assert rows(spark.table("window_corr"), "Correlation", "window_size") == [(0.5, 40), (0.7, 20)]
