@@ -24,6 +24,7 @@ BLOCK_DATES = 128
 # Sources per tile of the pair join.
 TILE_SOURCES = 64
 
+
 def _as_matrix(lists: pa.Array, rows: np.ndarray, length: int) -> np.ndarray:
     """Rows of a list<double> column, all ``length`` long, as a matrix; null -> NaN."""
     flat = lists.take(pa.array(rows)).flatten()

@@ -19,7 +19,7 @@ from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_fr
 @pytest.fixture(autouse=True)
 def database(spark):
     """Each job test has a database of its own, as jobs use fixed table names."""
-    name = f"job_{__import__('uuid').uuid4().hex}"
+    name = f"job_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name}")
     spark.catalog.setCurrentDatabase(name)
     yield
