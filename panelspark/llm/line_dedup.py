@@ -19,14 +19,16 @@ _FACTOR = 31
 _LEN = 1 << 24
 
 
-def _cut(docs: DataFrame, key: str, text: str, divisor: int) -> DataFrame:
-    """docs with ``_id``, ``_tag`` (MD5 of the text, which tells rows of equal id apart), ``_lines``
-    and ``_codes``: first line * 2^24 + number of lines of each chunk."""
+def _tagged(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """docs with ``_id`` and ``_tag``: MD5 of the text, which tells rows of equal id apart."""
+    return docs.select(*docs.columns, F.col(key).alias("_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_tag"))
+
+
+def _cut(docs: DataFrame, text: str, divisor: int) -> DataFrame:
+    """docs with ``_lines`` and ``_codes``: first line * 2^24 + number of lines of each chunk."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
     rows = docs.select(
         *docs.columns,
-        F.col(key).alias("_id"),
-        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_tag"),
         # a generator keeps the arrays from being computed again for each element below
         F.explode(F.array(F.struct(lines.alias("lines")))).alias("_l"),
     ).withColumn("_lines", F.col("_l.lines")).drop("_l")
@@ -56,7 +58,7 @@ def dedup_lines(
     and text stand for the same occurrence: each of them keeps what the first one keeps. A null
     key comes before all others.
     """
-    cut = _cut(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_key", "_text", divisor)
+    cut = _cut(_tagged(docs.select(key, text), key, text).drop(key), text, divisor)
     chunks = cut.select(
         "_id",
         "_tag",
@@ -81,9 +83,8 @@ def dedup_lines(
     removed = seen.filter(~is_first).join(first, "digest").filter("chunk = original")
     removed = removed.groupBy("_id", "_tag").agg(F.collect_set("code").alias("_gone"))
     removed = removed.select(F.col("_id").alias("_rid"), F.col("_tag").alias("_rtag"), "_gone")
-    rows = _cut(docs, key, text, divisor).join(
-        removed, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_tag") == F.col("_rtag")), "left"
-    )
+    mine = F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_tag") == F.col("_rtag"))
+    rows = _cut(_tagged(docs, key, text).join(removed, mine, "left"), text, divisor)
     left = F.array_except("_codes", F.coalesce("_gone", F.array().cast("array<bigint>")))
     rows = rows.withColumn("_left", F.explode(F.array(left)))
     joined = F.array_join(F.transform("_left", _text_of), "\n")

@@ -78,7 +78,8 @@ def _mixed(docs, weights, share, most, seed, key, text, source) -> DataFrame:
     )
     rows = saved(rows, "mix-sizes")
     sizes = rows.groupBy("skey", "source").agg(F.count("*").alias("n_docs"), F.sum("size").alias("source_size"))
-    per_source = targets(sizes, list(weights), share, most)
+    # a written table has a size, so Spark broadcasts it up to its threshold and joins by shuffle beyond
+    per_source = saved(targets(sizes, list(weights), share, most), "mix-targets")
     rows = rows.drop("source").join(per_source, "skey")
     slices = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / SLICE))
     point = F.conv(F.substring("rkey", 1, 8), 16, 10).cast("long")
@@ -95,7 +96,8 @@ def _mixed(docs, weights, share, most, seed, key, text, source) -> DataFrame:
 
     by_slice = Window.partitionBy("skey", "slice").orderBy("rkey", "doc_id", "size")
     inside = F.coalesce(F.sum("size").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("inside", inside).join(fine, ["skey", "slice"])
+    # not left to the join above: dealt by source alone, a large source would be one task
+    rows = rows.repartition("skey", "slice").withColumn("inside", inside).join(fine, ["skey", "slice"])
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     left = F.floor(F.col("target") - passes * F.col("source_size"))
     last = F.least(F.col("size"), F.greatest(F.lit(0), left - F.col("base") - F.col("inside")))

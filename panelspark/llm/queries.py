@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import exact_dedup, line_dedup, mixing
+from panelspark.llm import embedding_dedup, exact_dedup, language_id, line_dedup, mixing, packing, warc
 from panelspark.llm.common import table
 
 
@@ -32,10 +32,34 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = language_id.train(docs.filter(~held_out))
+    return language_id.predict(docs, model, "text", "doc_id", held_out.alias("held_out"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = warc.round_trip(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op8_mix": op8_mix,
+    "op4_language_id": op4_language_id,
+    "op5_packing": op5_packing,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
+    "op10_warc": op10_warc,
 }
 
 SQL = {
@@ -91,4 +115,30 @@ SQL = {
                  FROM m GROUP BY doc_id, tag)
         SELECT d.doc_id, n_lines, n_removed, CASE WHEN is_null THEN NULL ELSE sha256(kept) END AS kept_sha256
         FROM d JOIN kept USING (doc_id, tag)""",
+    "op6_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e,
+                   sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS norm
+            FROM embeddings),
+        ok AS (SELECT * FROM v WHERE label IS NOT NULL AND norm > 0 AND isfinite(norm)
+                                     AND len(list_filter(e, lambda x: x IS NULL)) = 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+        reach(node, to_id) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.to_id = links.a),
+        comp AS (SELECT node, min(to_id) AS component_id FROM reach GROUP BY node),
+        degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+        FROM embeddings e JOIN comp ON comp.node = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id""",
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        h AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS head FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id < head THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id < head THEN head END AS refers_to
+        FROM h""",
 }
