@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import embedding_dedup, exact_dedup, language_id, line_dedup, mixing, packing, warc
+from panelspark.llm import embedding_dedup, exact_dedup, language_id, line_dedup, minhash_dedup, mixing, packing, warc
 from panelspark.llm.common import table
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=80)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second document by hash counts as history, the others are looked up in its index."""
     docs = table(spark, sf_dir, "documents")
@@ -53,6 +57,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op8_mix": op8_mix,
     "op4_language_id": op4_language_id,
@@ -63,6 +68,25 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_minhash_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 1 THEN
+                   list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                   WHEN len(w) = 1 THEN [w[1]] ELSE [] END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reach(node, to_id) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.to_id = links.a),
+        comp AS (SELECT node, min(to_id) AS component_id FROM reach GROUP BY node)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN comp ON comp.node = d.doc_id LEFT JOIN n USING (doc_id)""",
     "op3_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
