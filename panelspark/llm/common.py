@@ -157,6 +157,28 @@ def _batches(made: pa.Table | None) -> Iterator[pa.RecordBatch]:
         yield from made.to_batches(max_chunksize=20_000)
 
 
+def ranges(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The hash range (0 .. n - 1) of each hash, rising with the hash."""
+    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def groups(keys: np.ndarray) -> list[tuple[int, int]]:
+    """(first, last + 1) of each run of equal keys."""
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return list(zip(new.tolist(), np.append(new[1:], len(keys)).tolist()))
+
+
+def short(hashes: np.ndarray) -> bytes:
+    """The low 40 bits of hashes: within a range they tell things apart but for one in millions."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def unshort(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
 # -- connected components ---------------------------------------------------------------------
 
 

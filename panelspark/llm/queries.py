@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import embedding_dedup, exact_dedup, language_id, line_dedup, minhash_dedup, mixing, packing, warc
+from panelspark.llm import (
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    minhash_dedup,
+    mixing,
+    packing,
+    substring_dedup,
+    warc,
+)
 from panelspark.llm.common import table
 
 
@@ -13,6 +24,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=80)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), span=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second document by hash counts as history, the others are looked up in its index."""
     docs = table(spark, sf_dir, "documents")
@@ -21,6 +37,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) != 2)
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -58,7 +79,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_mix": op8_mix,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
@@ -87,6 +110,17 @@ SQL = {
         comp AS (SELECT node, min(to_id) AS component_id FROM reach GROUP BY node)
         SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
         FROM documents d JOIN comp ON comp.node = d.doc_id LEFT JOIN n USING (doc_id)""",
+    "op2_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d),
+        h AS (SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS passage FROM s),
+        r AS (SELECT doc_id, i FROM h QUALIFY count(*) OVER (PARTITION BY passage) > 1),
+        gone AS (SELECT doc_id, list(DISTINCT j) AS gone
+                 FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM r) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+               sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+                      ELSE array_to_string(list_filter(w, lambda x, j: NOT list_contains(gone, j)), ' ') END) AS kept_sha256
+        FROM d LEFT JOIN gone USING (doc_id)""",
     "op3_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
