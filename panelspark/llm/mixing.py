@@ -42,7 +42,8 @@ def targets(sizes: DataFrame, weights: list[int], share: float, most: float) ->
         (share * F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
         / F.sum("w").over(after),
     ).withColumn("full", F.col("cap") <= F.col("w") * F.col("level"))
-    level = F.min(F.when(~F.col("full"), F.col("level"))).over(everything)
+    # past the first source that is not full, levels fall: too much is taken off before them
+    level = F.max(F.when(~F.col("full"), F.col("level"))).over(everything)
     target = F.when(F.col("full"), F.col("cap")).otherwise(F.col("w") * level)
     return rows.select("skey", "n_docs", "source_size", F.coalesce(target, F.col("cap")).alias("target"))
 

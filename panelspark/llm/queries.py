@@ -145,7 +145,7 @@ SQL = {
             FROM s WINDOW o AS (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST)),
         t AS (
             SELECT source, source_size, CASE WHEN cap <= w * level THEN cap
-                   ELSE w * min(CASE WHEN cap > w * level THEN level END) OVER () END AS target
+                   ELSE w * max(CASE WHEN cap > w * level THEN level END) OVER () END AS target
             FROM fill),
         r AS (
             SELECT d.doc_id, d.size, t.source_size, t.target,
