@@ -45,6 +45,17 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(docs: DataFrame, text: str, *more) -> DataFrame:
+    """``_row`` (every column but the text), ``_text`` and more: no column can clash with those of a step."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    return docs.select(F.struct(*rest).alias("_row"), F.col(text).alias("_text"), *more)
+
+
+def taken_back(columns: list[str], text: str, new_text) -> list:
+    """The columns of documents that were set aside, in their order, with a new text."""
+    return [new_text.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in columns]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

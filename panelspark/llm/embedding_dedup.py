@@ -262,14 +262,9 @@ def near_vectors(
     per_set = reps.join(counts, reps["rep"] == counts["vec_id"], "left").select(
         "label", "dim", "same", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")
     )
-    per_row = rows.join(per_set, ["label", "dim", "same"]).select("vec_id", "same", "label", "n_links")
-    out = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("_v"))
-    return _joined(out, per_row, groups)
-
-
-def _joined(out: DataFrame, per_row: DataFrame, groups: DataFrame) -> DataFrame:
+    per_row = rows.join(per_set, ["label", "dim", "same"])
     per_id = per_row.groupBy("vec_id").agg(F.max("n_links").alias("n_links"))
-    out = out.select("vec_id").join(per_id, "vec_id", "left")
+    out = vectors.select(F.col(key).cast("long").alias("vec_id")).join(per_id, "vec_id", "left")
     out = out.join(groups.withColumnRenamed("node", "vec_id"), "vec_id", "left")
     component = F.coalesce("component", "vec_id")
     return out.select(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import saved
+from panelspark.llm.common import saved, set_aside, taken_back
 
 #: A chunk begins at a line with probability 1 / DIVISOR; it is removed from MIN_LINES lines on.
 DIVISOR, MIN_LINES = 3, 2
@@ -19,19 +19,16 @@ _FACTOR = 31
 _LEN = 1 << 24
 
 
-def _tagged(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """docs with ``_id`` and ``_tag``: MD5 of the text, which tells rows of equal id apart."""
-    return docs.select(*docs.columns, F.col(key).alias("_id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_tag"))
+def _tag(text: str) -> Column:
+    """MD5 of the text, which tells rows of equal id apart."""
+    return F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_tag")
 
 
-def _cut(docs: DataFrame, text: str, divisor: int) -> DataFrame:
+def _cut(docs: DataFrame, divisor: int) -> DataFrame:
     """docs with ``_lines`` and ``_codes``: first line * 2^24 + number of lines of each chunk."""
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    rows = docs.select(
-        *docs.columns,
-        # a generator keeps the arrays from being computed again for each element below
-        F.explode(F.array(F.struct(lines.alias("lines")))).alias("_l"),
-    ).withColumn("_lines", F.col("_l.lines")).drop("_l")
+    lines = F.split(F.coalesce(F.col("_text"), F.lit("")), "\n", -1)
+    # a generator keeps the arrays from being computed again for each element below
+    rows = docs.withColumn("_lines", F.explode(F.array(lines)))
     hashes = F.transform("_lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
     rows = rows.withColumn("_h", F.explode(F.array(hashes)))
     starts = F.expr(
@@ -51,14 +48,15 @@ def _text_of(code: Column) -> Column:
 def dedup_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR, min_lines: int = MIN_LINES
 ) -> DataFrame:
-    """``docs`` with repeated chunks cut out of ``text``, plus ``_n_lines`` and ``_n_removed``.
+    """``docs`` with repeated chunks cut out of ``text``, plus ``_n_lines`` and ``_n_removed`` (which
+    replace columns of these names).
 
     The first occurrence by (key, MD5 of the text, line) stays. Null texts stay null; a text of
     which nothing is left is empty. A trailing line break ends in an empty line. Rows equal in key
     and text stand for the same occurrence: each of them keeps what the first one keeps. A null
     key comes before all others.
     """
-    cut = _cut(_tagged(docs.select(key, text), key, text).drop(key), text, divisor)
+    cut = _cut(docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"), _tag(text)), divisor)
     chunks = cut.select(
         "_id",
         "_tag",
@@ -84,15 +82,16 @@ def dedup_lines(
     removed = removed.groupBy("_id", "_tag").agg(F.collect_set("code").alias("_gone"))
     removed = removed.select(F.col("_id").alias("_rid"), F.col("_tag").alias("_rtag"), "_gone")
     mine = F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_tag") == F.col("_rtag"))
-    rows = _cut(_tagged(docs, key, text).join(removed, mine, "left"), text, divisor)
+    whole = set_aside(docs, text, F.col(key).alias("_id"), _tag(text))
+    rows = _cut(whole.join(removed, mine, "left"), divisor)
     left = F.array_except("_codes", F.coalesce("_gone", F.array().cast("array<bigint>")))
     rows = rows.withColumn("_left", F.explode(F.array(left)))
     joined = F.array_join(F.transform("_left", _text_of), "\n")
-    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(joined)
+    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(joined)
     count = F.aggregate("_left", F.lit(0).cast("long"), lambda a, c: a + c % _LEN)
     lines = F.size("_lines").cast("long")
     return rows.select(
-        *(kept.alias(c) if c == text else c for c in docs.columns),
+        *taken_back([c for c in docs.columns if c not in ("_n_lines", "_n_removed")], text, kept),
         lines.alias("_n_lines"),
         (lines - count).alias("_n_removed"),
     )

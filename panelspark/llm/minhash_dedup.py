@@ -8,8 +8,8 @@ at, which ends most texts after one or two levels.
 Equal sets are one set from the start. Candidates share a band. Instead of all pairs of a bucket,
 stars are verified: in each round every document is compared with one pivot of one of its
 buckets, which joins a group of any size in a few linear rounds. Only what then still lies apart
-in a bucket is compared pair by pair, in blocks, by signature and then on the full sets; nothing
-is capped.
+in a bucket is compared pair by pair: in blocks by signature, then on the full sets, documents of
+the smaller component visiting pages of the larger one. Nothing is capped and no pair is a row.
 """
 
 from __future__ import annotations
@@ -119,6 +119,13 @@ def _features(width: int):
     return work
 
 
+def _linked(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
+    if 100 * min(len(x), len(y)) < threshold * max(len(x), len(y), 1):
+        return False
+    both = len(x) + len(y) - len(np.union1d(x, y))
+    return both > 0 and 100 * both >= threshold * (len(x) + len(y) - both)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= threshold * union."""
 
@@ -126,12 +133,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) ->
         for batch in batches:
             left = [s for _, sets in shingle_sets(batch.column("ta"), width) for s in sets]
             right = [s for _, sets in shingle_sets(batch.column("tb"), width) for s in sets]
-            linked = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(left, right)):
-                if 100 * min(len(x), len(y)) >= threshold * max(len(x), len(y), 1):
-                    both = len(x) + len(y) - len(np.union1d(x, y))
-                    linked[i] = both > 0 and 100 * both >= threshold * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(linked))
+            linked = [_linked(x, y, threshold) for x, y in zip(left, right)]
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     with_a = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a")
     both = with_a.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b")
@@ -158,8 +161,17 @@ def _undecided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(several.filter("lo < hi").select("bucket"), "bucket")
 
 
+def _paged(members: DataFrame) -> DataFrame:
+    """members with their component's size in documents and a page: up to about BLOCK of its documents."""
+    docs = members.select("doc", "component").distinct()
+    sizes = docs.groupBy("component").agg(F.count("*").alias("size"))
+    page = F.xxhash64("component", F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / BLOCK)))
+    return docs.join(sizes, "component").select("doc", "size", page.alias("page"))
+
+
 def _rest(members: DataFrame, lanes: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs (a, b) of one bucket and different components whose signatures are close."""
+    """(doc, page, partners): for pairs of one bucket and different components whose signatures are
+    close, the document of the smaller component with its partners on a page of the other."""
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
     rows = members.join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("n")))
     rows = rows.join(lanes, "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
@@ -172,13 +184,22 @@ def _rest(members: DataFrame, lanes: DataFrame, threshold: int) -> DataFrame:
         parts = range(0, len(a), 20_000)
         return np.concatenate([(lanes[a[p : p + 20_000]] == lanes[b[p : p + 20_000]]).sum(axis=1) >= least for p in parts])
 
+    def packed(doc, page, size, a, b) -> pa.Table:
+        turn = (size[b] < size[a]) | (size[b] == size[a]) & (doc[b] < doc[a])
+        a, b = np.where(turn, b, a), np.where(turn, a, b)
+        order = np.lexsort((doc[b], page[b], doc[a]))
+        visitor, where, partner = doc[a][order], page[b][order], doc[b][order]
+        new = np.flatnonzero(np.append(True, (visitor[1:] != visitor[:-1]) | (where[1:] != where[:-1]))[: len(order)])
+        partners = pa.ListArray.from_arrays(pa.array(np.append(new, len(order)).astype(np.int32)), pa.array(partner))
+        return pa.table({"doc": visitor[new], "page": where[new], "partners": partners})
+
     def work(table: pa.Table) -> pa.Table:
-        doc, component, mine, bucket, i, j = (
-            table[c].to_numpy() for c in ("doc", "component", "mine", "bucket", "i", "j")
+        doc, component, mine, bucket, i, j, page, size = (
+            table[c].to_numpy() for c in ("doc", "component", "mine", "bucket", "i", "j", "page", "size")
         )
         lanes = np.frombuffer(b"".join(table["lanes"].to_pylist()), np.uint16).reshape(-1, LANES)
         new = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
-        out, held, size = [], [], 0
+        out, held, looked = [], [], 0
         for lo, hi in zip(new, np.append(new[1:], len(doc))):
             a, b = np.triu_indices(hi - lo, 1)
             a, b = a + lo, b + lo
@@ -186,18 +207,50 @@ def _rest(members: DataFrame, lanes: DataFrame, threshold: int) -> DataFrame:
             if i[lo] != j[lo]:
                 apart &= mine[a] != mine[b]
             held.append((a[apart], b[apart]))
-            size += len(a)
-            if size > 200_000 or hi == len(doc):
+            looked += len(a)
+            if looked > 200_000 or hi == len(doc):
                 a, b = (np.concatenate(x) for x in zip(*held))
                 if len(a):
                     near = close(lanes, a, b)
-                    out.append(np.unique(np.stack([doc[a[near]], doc[b[near]]], axis=1), axis=0))
-                held, size = [], 0
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table({"a": np.minimum(*pairs.T) if len(pairs) else pairs[:, 0], "b": np.maximum(*pairs.T) if len(pairs) else pairs[:, 1]})
+                    out.append(packed(doc, page, size, a[near], b[near]))
+                held, looked = [], 0
+        return pa.concat_tables(out) if out else None
+
+    rows = rows.select(*keys, "doc", "component", "mine", "page", "size", "lanes")
+    rows = rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
+    found = rows.mapInArrow(in_runs(keys, work), "doc long, page long, partners array<long>")
+    return found.groupBy("doc", "page").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
+
+
+def _visited(visits: DataFrame, paged: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """The links (a, b) among visits: a page's documents lie ready and visitors pass by, so pairs are
+    never rows; a page with many visitors is laid out several times."""
+    times = visits.groupBy("page").agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("n"))
+    guests = visits.join(times, "page").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("n"))).drop("n")
+    homes = paged.select("doc", "page").join(times, "page")
+    homes = homes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n")
+    homes = homes.withColumn("partners", F.lit(None).cast("array<long>"))
+    columns = ["page", "part", "guest", "doc", "partners"]
+    rows = homes.withColumn("guest", F.lit(0)).select(columns).unionAll(guests.withColumn("guest", F.lit(1)).select(columns))
+    rows = rows.join(texts, "doc").repartition(partitions(rows.sparkSession), "page", "part")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, at = {}, None
+        for batch in batches:
+            sets = [s for _, sets in shingle_sets(batch.column("text"), width) for s in sets]
+            names = [batch.column(c).to_pylist() for c in columns]
+            links = []
+            for mine, page, part, guest, doc, partners in zip(sets, *names):
+                if at != (page, part):
+                    here, at = {}, (page, part)
+                if not guest:
+                    here.setdefault(doc, []).append(mine)
+                    continue
+                links += [(doc, b) for b in partners if any(_linked(mine, s, threshold) for s in here.get(b, ()))]
+            a, b = (pa.array(c, pa.int64()) for c in (zip(*links) if links else ([], [])))
+            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
-    rows = rows.select(*keys, "doc", "component", "mine", "lanes").repartition(partitions(rows.sparkSession), *keys)
-    return rows.sortWithinPartitions(*keys).mapInArrow(in_runs(keys, work), "a long, b long").distinct()
+    return rows.sortWithinPartitions("page", "part", "guest").mapInArrow(work, "a long, b long")
 
 
 def near_duplicates(
@@ -233,9 +286,10 @@ def near_duplicates(
         links = found if links is None else links.unionAll(found)
         labels = saved(components(links, f"near-{round_no}"), f"near-labels-{round_no}")
     members = saved(_undecided(members, labels), "near-open")
-    lanes = reps.select(F.col("doc_id").alias("doc"), "lanes").join(members.select("doc").distinct(), "doc")
-    rest = saved(_rest(members, lanes, threshold), "near-rest")
-    links = links.unionAll(saved(_verified(rest, texts, width, threshold), "near-links"))
+    paged = saved(_paged(members), "near-pages")
+    lanes = reps.select(F.col("doc_id").alias("doc"), "lanes").join(paged, "doc")
+    visits = saved(_rest(members, lanes, threshold), "near-visits")
+    links = links.unionAll(saved(_visited(visits, paged, texts, width, threshold), "near-links"))
     groups = components(links.unionAll(copies), "near").withColumnRenamed("node", "doc_id")
     out = features.select("doc_id", "n_shingles").join(groups, "doc_id", "left")
     component = F.coalesce("component", "doc_id")

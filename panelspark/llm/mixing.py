@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import WORDS, saved
+from panelspark.llm.common import WORDS, saved, set_aside, taken_back
 
 #: Documents per slice and slices per stretch, on average.
 SLICE, STRETCH = 64, 256
@@ -115,10 +115,10 @@ def copies(docs: DataFrame, mixed: DataFrame, key: str = "doc_id", text: str = "
     """
     plan = mixed.groupBy("doc_id", "size").agg(F.max("taken").alias("_taken")).filter("_taken > 0")
     plan = plan.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "_taken")
-    rows = docs.withColumn("_words", n_words(text)).join(
-        plan, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size"))
-    )
+    whole = set_aside(docs, text, F.col(key).alias("_key"), n_words(text).alias("_words"))
+    rows = whole.join(plan, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")))
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")))))
     left = F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORDS), F.lit(0)), F.lit(1), left), " ")
-    return rows.withColumn(text, F.when(left < F.col("_size"), cut).otherwise(F.col(text))).select(*docs.columns)
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("_text"), F.lit(WORDS), F.lit(0)), F.lit(1), left), " ")
+    kept = F.when(left < F.col("_size"), cut).otherwise(F.col("_text"))
+    return rows.select(*taken_back(docs.columns, text, kept))

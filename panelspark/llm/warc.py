@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.llm.common import saved
 from panelspark.session import scratch_dir
 
 #: Bytes of a block in one record, bytes of a chunk of an HTTP body, rows of an archive file.
@@ -302,7 +303,7 @@ def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     path = path or scratch_dir(spark, "warc")
     write_warc(pages, path)
-    back = read_warc(spark, path).drop("payload", "uri")
+    back = saved(read_warc(spark, path).drop("payload", "uri"), "warc-read")
     page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d*):", 1)
     number = lambda c: F.when(page(c) != "", page(c).cast("long"))
     sizes = back.filter("record_type = 'response'")
