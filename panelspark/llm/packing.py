@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,14 @@ OVERHEAD = 32
 
 
 def plan(histogram: dict[int, int], capacities: tuple[int, ...], overhead: int = OVERHEAD):
+    """The cheapest plan over which of the capacities bins may open at; all serve to shrink them."""
+    capacities = sorted(capacities)
+    choices = [(*some, capacities[-1]) for n in range(len(capacities)) for some in combinations(capacities[:-1], n)]
+    plans = (_plan(histogram, opening, capacities, overhead) for opening in choices)
+    return min(plans, key=lambda made: int((made[1][:, 1] * (made[1][:, 2] + overhead)).sum()))
+
+
+def _plan(histogram: dict[int, int], opening: tuple[int, ...], capacities: list[int], overhead: int):
     """(placements, bins): arrays (length, first rank, count, first bin, offset) and
     (first bin, count, capacity, contents).
 
@@ -31,7 +40,6 @@ def plan(histogram: dict[int, int], capacities: tuple[int, ...], overhead: int =
     open at the capacity that costs least per token when filled with copies of the piece, as far
     as there are copies; at the end each bin shrinks to the smallest capacity that holds it.
     """
-    capacities = sorted(capacities)
     groups: dict[int, list[tuple[int, int, int]]] = {}  # room left: (first bin, count, contents)
     rooms: list[int] = []
     placements, n_bins = [], 0
@@ -53,7 +61,7 @@ def plan(histogram: dict[int, int], capacities: tuple[int, ...], overhead: int =
                     each = min(capacity // length, left)
                     return (capacity + overhead) / (each * length), capacity
 
-                capacity = min((c for c in capacities if c >= length), key=cost)
+                capacity = min((c for c in opening if c >= length), key=cost)
                 bins = max(1, left // max(1, capacity // length))
                 put(capacity, (n_bins, bins, 0))
                 n_bins += bins
