@@ -30,6 +30,17 @@ _TOKENS = {
     "B": ("MMMM", "MMMM", "[A-Za-z]+"),
     "p": ("a", "a", "[APap][Mm]"),
 }
+# Tokens that Spark's patterns lack: their text must have this shape and is cut out. Only an
+# offset changes the date, which is then the one in UTC.
+_PASSED_OVER = {
+    "f": "[0-9]{1,9}",
+    ".f": "(?:[.][0-9]{1,9})?",
+    "z": "(?:[+-][0-9]{2}(?::?[0-9]{2})?|Z)",
+    "a": "(?i:mon|tue|wed|thu|fri|sat|sun)",
+    "A": "(?i:monday|tuesday|wednesday|thursday|friday|saturday|sunday)",
+}
+# Two-digit years from here on belong to the century before.
+YEAR_PIVOT = 69
 _SHORTHANDS = {"F": "%Y-%m-%d", "T": "%H:%M:%S", "R": "%H:%M", "D": "%m/%d/%y"}
 
 # Formats a plain cast reads, given that the text has their shape.
@@ -44,16 +55,16 @@ def _parts(strftime: str) -> list[str]:
     text = FORMAT_ALIASES.get(strftime, strftime)
     for token, full in _SHORTHANDS.items():
         text = text.replace(f"%{token}", full)
-    parts = re.split(r"%(.)", text)
-    unknown = [token for token in parts[1::2] if token not in _TOKENS and token != "%"]
+    parts = re.split(r"%([.]f|.)", text)
+    unknown = [token for token in parts[1::2] if token not in (*_TOKENS, *_PASSED_OVER, "%")]
     if unknown:
         raise ValueError(f"Unsupported date format tokens {unknown} in {strftime!r}")
     return parts
 
 
 def spark_pattern(strftime: str) -> str:
-    """Spark datetime pattern of a strftime format (aliases included)."""
-    parts = _parts(strftime)
+    """Spark datetime pattern of a strftime format (aliases included) without tokens passed over."""
+    parts = _joined(_parts(strftime))
     out = []
     for number, part in enumerate(parts):
         if number % 2 == 0:
@@ -70,12 +81,41 @@ def spark_pattern(strftime: str) -> str:
     return "".join(out)
 
 
-def _shape(strftime: str) -> str:
-    """Regular expression of texts that may match a format."""
-    return "^" + "".join(
-        re.escape(part) if number % 2 == 0 else "%" if part == "%" else _TOKENS[part][2]
-        for number, part in enumerate(_parts(strftime))
-    ) + "$"
+def _joined(parts: list[str]) -> list[str]:
+    """Parts without the tokens passed over; the literal texts around them grow together."""
+    out = [parts[0]]
+    for token, text in zip(parts[1::2], parts[2::2]):
+        if token in _PASSED_OVER:
+            out[-1] += text
+        else:
+            out += [token, text]
+    return out
+
+
+def _shape(parts: list[str]) -> tuple[str, str]:
+    """Regular expression of texts that may match, and the replacement that cuts out what is passed over."""
+    shape, kept = ["("], 1
+    for number, part in enumerate(parts):
+        if number % 2 == 0:
+            shape.append(re.escape(part))
+        elif part in _PASSED_OVER:
+            shape.append(f"){_PASSED_OVER[part]}(")
+            kept += 1
+        else:
+            shape.append("%" if part == "%" else _TOKENS[part][2])
+    return f"^{''.join(shape)})$", "".join(f"${n}" for n in range(1, kept + 1))
+
+
+def _minutes_ahead(text: Column, parts: list[str]) -> Column:
+    """Minutes by which the offset in a text of this shape is ahead of UTC."""
+    shape = [re.escape(part) for part in parts]
+    for number in range(1, len(parts), 2):
+        token = parts[number]
+        kind = _PASSED_OVER.get(token) or ("%" if token == "%" else _TOKENS[token][2])
+        shape[number] = f"({kind})" if token == "z" else kind
+    offset = F.regexp_replace(F.regexp_extract(text, f"^{''.join(shape)}$", 1), "[:Z]", "")
+    part = lambda at: F.coalesce(F.substring(offset, at, 2).try_cast("int"), F.lit(0))
+    return F.when(offset.startswith("-"), -1).otherwise(1) * (60 * part(2) + part(4))
 
 
 def parse_date(text: Column, strftime: str) -> Column:
@@ -84,11 +124,19 @@ def parse_date(text: Column, strftime: str) -> Column:
     Texts of another shape are sorted out by a regular expression first: Spark's
     datetime parsers raise and catch an exception for each text they refuse.
     """
+    parts = _parts(strftime)
+    shape, cut = _shape(parts)
     if FORMAT_ALIASES.get(strftime, strftime) in _CAST_FORMATS:
         date = text.try_cast("timestamp_ntz").cast("date")
     else:
-        date = F.try_to_timestamp(text, F.lit(spark_pattern(strftime))).cast("date")
-    return F.when(text.rlike(_shape(strftime)), date)
+        rest = F.regexp_replace(text, shape, cut) if len(cut) > 2 else text
+        moment = F.try_to_timestamp(rest, F.lit(spark_pattern(strftime)))
+        if "z" in parts[1::2]:
+            moment = moment.cast("timestamp_ntz") - F.make_dt_interval(mins=_minutes_ahead(text, parts))
+        date = moment.cast("date")
+    if "y" in parts[1::2]:  # Spark reads 00 to 99 as 2000 to 2099
+        date = F.when(F.year(date) < 2000 + YEAR_PIVOT, date).otherwise(F.add_months(date, -1200))
+    return F.when(text.rlike(shape), date)
 
 
 def parse_plain_date(text: Column) -> Column:

@@ -49,6 +49,15 @@ def check_case_collisions(names: Iterable[str]) -> None:
             raise ValueError(f"Columns {other!r} and {name!r} differ only by case")
 
 
+def check_distinct(names: Iterable[str]) -> None:
+    """Names of a result: no two alike, also apart from case."""
+    names = list(names)
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise ValueError(f"The result would have several columns named {twice}")
+    check_case_collisions(names)
+
+
 def resolve(df: DataFrame, wanted: Iterable[str]) -> list[str]:
     """Map names to the spelling used by ``df``, ignoring case."""
     by_lower = {name.lower(): name for name in df.columns}

@@ -1,8 +1,8 @@
 """Keyed row operations as pure DataFrame functions; tables.py applies them to tables.
 
-A single key may hold a large share of all rows. Duplicates are therefore resolved
-by aggregation, which combines before the shuffle, and the anti-join treats its few
-heaviest keys apart from the rest.
+A single key may hold a large share of all rows. Duplicates are therefore resolved by
+aggregation, which combines before the shuffle, and joins are of a kind that adaptive
+execution splits where a key is heavy.
 """
 
 from __future__ import annotations
@@ -16,17 +16,12 @@ from pyspark.sql import functions as F
 
 from panelspark.names import c, resolve
 
-# A key is heavy if it has this many rows and at least this share of all rows.
-# The share bounds the number of heavy keys (100,000), so they can be broadcast, and
-# what one key may bring to a task (1 GB of 100 TB).
-HEAVY_ROWS = 100_000
-HEAVY_SHARE = 100_000
-
 
 def matches(where: Mapping[str, Any]) -> Column:
-    """AND of equalities; a null never matches."""
-    tests = [c(name) == F.lit(value) for name, value in where.items()]
-    return reduce(Column.__and__, tests, F.lit(True))
+    """AND of equalities, of which there must be one; a null never matches."""
+    if not where:
+        raise ValueError("No condition given; this would change or remove every row")
+    return reduce(Column.__and__, [c(name) == F.lit(value) for name, value in where.items()])
 
 
 def select_rows(
@@ -93,43 +88,33 @@ def upsert(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """``existing`` with ``new`` on top: one row per key, rows of ``new`` win.
+    """``existing`` with ``new`` on top: rows of ``new`` win, null keys are equal.
 
-    Within one side the last row by ``order_by`` is kept. One shuffle of both.
+    Within ``new`` the last row per key by ``order_by`` counts. The old rows are filtered by an
+    anti join, which broadcasts a small batch: they are neither shuffled nor sorted for it.
+    Old rows that share a key stay as they are unless the batch has it; with ``order_by`` too
+    they are brought down to the last one, which shuffles them.
     """
-    staged = existing.withColumn("__batch", F.lit(0)).unionByName(
-        new.select(*map(c, existing.columns)).withColumn("__batch", F.lit(1))
-    )
-    return deduplicate(staged, keys, "last", ["__batch", *order_by]).drop("__batch")
+    keys = resolve(existing, keys)
+    rest = [name for name in existing.columns if name not in keys]
+    new = new.select(*map(c, existing.columns))
+    if order_by or not rest:
+        existing = deduplicate(existing, keys, "last", order_by)
+        new = deduplicate(new, keys, "last", order_by)
+    else:
+        new = deduplicate(new, keys, "last", rest)
+    taken = new.select(*[c(name).alias(f"__{number}") for number, name in enumerate(keys)])
+    same = [c(name).eqNullSafe(F.col(f"__{number}")) for number, name in enumerate(keys)]
+    return existing.join(taken, reduce(Column.__and__, same), "left_anti").unionByName(new)
 
 
 def rows_with_new_keys(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
 
-    A null in a key matches nothing, so such rows are kept, as are repetitions
-    within ``new``. ``existing`` is reduced to distinct keys before the join; heavy
-    keys of ``new`` and null keys do not take part in the shuffle by key.
+    A null in a key matches nothing, so such rows are kept, as are repetitions within ``new``.
+    One anti join against the distinct keys: the batch is read once, and a key with many rows
+    is split by the skew handling of adaptive execution.
     """
     names = resolve(new, keys)
-    complete = reduce(Column.__and__, [c(name).isNotNull() for name in names])
-    known = (
-        existing.select(*[c(old).alias(name) for old, name in zip(resolve(existing, keys), names)])
-        .distinct()
-    )
-    total = new.agg(F.count(F.lit(1))).scalar()
-    heavy = (
-        new.where(complete)
-        .groupBy(*map(c, names))
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where((F.col("__rows") >= HEAVY_ROWS) & (F.col("__rows") * HEAVY_SHARE >= total))
-        .select(*map(c, names))
-    )
-    heavy_known = heavy.join(known.withColumn("__known", F.lit(True)), names, "left")
-    # at most HEAVY_SHARE rows each
-    light = new.where(complete).join(F.broadcast(heavy), names, "left_anti")
-    apart = (
-        new.join(F.broadcast(heavy_known.withColumn("__heavy", F.lit(True))), names, "left")
-        .where(~complete | (F.col("__heavy") & F.col("__known").isNull()))
-        .select(*map(c, new.columns))
-    )
-    return light.join(known, names, "left_anti").unionByName(apart)
+    known = existing.select(*[c(old).alias(name) for old, name in zip(resolve(existing, keys), names)])
+    return new.join(known.distinct(), names, "left_anti")

@@ -9,13 +9,14 @@ rename: not atomic, but the staging table is complete before the old one goes, a
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.names import c, check_case_collisions, q, qtable
+from panelspark.names import c, check_case_collisions, literal, q, qtable
 from panelspark.operators import keyed
 
 # Storage type names accepted besides Spark's own.
@@ -38,13 +39,10 @@ def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
     known = {field.name.lower(): field for field in target.fields}
     for lower, name in given.items():
         if lower not in known:
-            raise ValueError(f"Column {name!r} does not exist in the table; it has {target.names}")
+            raise ValueError(f"The table has no column {name!r} to append to, only {target.names}")
         ours, theirs = df.schema[name].dataType, known[lower].dataType
         if type_family(ours) != type_family(theirs):
-            raise ValueError(
-                f"Column {name!r} has type {ours.simpleString()} "
-                f"but the table holds {theirs.simpleString()}"
-            )
+            raise ValueError(f"{name!r}: {ours.simpleString()} does not fit into {theirs.simpleString()}")
     return df.select(
         *[
             (c(given[lower]) if lower in given else F.lit(None)).cast(field.dataType).alias(field.name)
@@ -53,6 +51,15 @@ def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
     )
 
 
+def _same(values: Mapping[str, Any]) -> Column:
+    return reduce(Column.__and__, [c(name).eqNullSafe(F.lit(value)) for name, value in values.items()])
+
+
+def _sql_value(value: Any) -> str:
+    """A partition value in SQL; Spark casts the text to the column's type."""
+    return "NULL" if value is None else literal(str(value))
+
+
 class TableStore:
     """Tables of the session's catalog, addressed by name."""
 
@@ -164,6 +171,9 @@ class TableStore:
         unknown = [name for name in rows[0] if name.lower() not in known]
         if unknown:
             raise ValueError(f"Columns {unknown} do not exist in table {table!r}")
+        late = sorted({name for row in rows for name in row} - rows[0].keys())
+        if late:
+            raise ValueError(f"Later rows have columns that the first one lacks: {late}")
         schema = T.StructType([T.StructField(n, known[n.lower()].dataType) for n in rows[0]])
         values = [tuple(row.get(name) for name in rows[0]) for row in rows]
         return self.append_to_table(table, self.spark.createDataFrame(values, schema))
@@ -171,20 +181,16 @@ class TableStore:
     # -- changing --------------------------------------------------------------
 
     def update(self, table: str, data: Mapping[str, Any], where: Mapping[str, Any]) -> int:
-        """Set columns of matching rows; returns how many matched."""
-        before = self.table(table)
-        changed = before.where(keyed.matches(where)).count()
-        if changed:
-            self._replace(table, keyed.update_rows(before, data, where))
-        return changed
+        """Set columns of matching rows; returns how many matched.
+
+        Of a partitioned table only the partitions that hold matches are written anew, unless
+        a partition column itself is set."""
+        moves = {name.lower() for name in data} & {name.lower() for name in self._partitioning(table)}
+        return self._change(table, lambda df: keyed.update_rows(df, data, where), where, bool(moves))
 
     def delete(self, table: str, where: Mapping[str, Any]) -> int:
-        """Remove matching rows; returns how many."""
-        before = self.table(table)
-        removed = before.where(keyed.matches(where)).count()
-        if removed:
-            self._replace(table, keyed.delete_rows(before, where))
-        return removed
+        """Remove matching rows; returns how many. Partitions as in :meth:`update`."""
+        return self._change(table, lambda df: keyed.delete_rows(df, where), where, False)
 
     def remove_duplicates(
         self,
@@ -219,6 +225,39 @@ class TableStore:
 
     # -- helpers ---------------------------------------------------------------
 
+    def _change(self, table: str, change, where: Mapping[str, Any], everywhere: bool) -> int:
+        before, parts = self.table(table), self._partitioning(table)
+        hits = before.where(keyed.matches(where))
+        if everywhere or not parts:
+            found = hits.count()
+            if found:
+                self._replace(table, change(before))
+            return found
+        # one row per partition that holds a match
+        touched = hits.groupBy(*map(c, parts)).count().collect()
+        for row in touched:
+            values = {name: row[name] for name in parts}
+            self._replace_partition(table, change(before.where(_same(values))), values)
+        return sum(row["count"] for row in touched)
+
+    def _replace_partition(self, table: str, rows: DataFrame, values: Mapping[str, Any]) -> None:
+        """Write the rows of one partition anew, by way of a staging table, or drop it if none are left.
+
+        A run cut off in between leaves the rows in ``<table>__partition``."""
+        staging, names = f"{table}__partition", list(values)
+        plain = [name for name in rows.columns if name not in names]
+        self.drop(staging)
+        left = self._write(staging, rows.select(*map(c, plain)), ())
+        spec = ", ".join(f"{q(name)} = {_sql_value(value)}" for name, value in values.items())
+        if left:
+            columns = ", ".join(map(q, plain))
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {qtable(table)} PARTITION ({spec}) SELECT {columns} FROM {qtable(staging)}"
+            )
+        else:
+            self.spark.sql(f"ALTER TABLE {qtable(table)} DROP PARTITION ({spec})")
+        self.drop(staging)
+
     def _make_room(self, table: str, overwrite: bool) -> bool:
         if self.exists(table):
             if not overwrite:

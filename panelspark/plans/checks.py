@@ -424,6 +424,33 @@ def cast_date(spark, sf_dir):
     return apply_transforms(df, [CastDate("stamped", "YYYY-mm-dd HH:MM:SS"), CastDate("plain")])
 
 
+@query(
+    """
+WITH t AS (SELECT o_orderkey, o_orderdate AS d, CASE WHEN o_orderkey % 2 = 0 THEN '-02:00' ELSE '+05:30' END AS z
+           FROM orders)
+SELECT o_orderkey, CAST(try_strptime(strftime(d, '%d/%m/%y'), '%d/%m/%y') AS DATE) AS short,
+  CAST(try_strptime(strftime(d, '%m/%d/%y'), '%m/%d/%y') AS DATE) AS american,
+  CAST(try_strptime(strftime(d, '%Y-%m-%d %H:%M:%S.%f'), '%Y-%m-%d %H:%M:%S.%f') AS DATE) AS fraction,
+  CAST(timezone('UTC', try_strptime(strftime(d, '%Y-%m-%dT%H:%M:%S') || z, '%Y-%m-%dT%H:%M:%S%z')) AS DATE) AS shifted,
+  CAST(try_strptime(strftime(d, '%a %d %b %Y'), '%a %d %b %Y') AS DATE) AS weekday FROM t"""
+)
+def cast_date_formats(spark, sf_dir):
+    """Two-digit years, fractions of seconds, offsets and names of weekdays."""
+    day = F.col("o_orderdate")
+    offset = F.when(F.col("o_orderkey") % 2 == 0, "-02:00").otherwise("+05:30")
+    df = read(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.date_format(day, "dd/MM/yy").alias("short"),
+        F.date_format(day, "MM/dd/yy").alias("american"),
+        F.date_format(day, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("fraction"),
+        F.concat(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"), offset).alias("shifted"),
+        F.date_format(day, "EEE dd MMM yyyy").alias("weekday"),
+    )
+    formats = {"short": "%d/%m/%y", "american": "%D", "fraction": "%Y-%m-%d %H:%M:%S.%f",
+               "shifted": "%Y-%m-%dT%H:%M:%S%z", "weekday": "%a %d %b %Y"}
+    return apply_transforms(df, [CastDate(name, form) for name, form in formats.items()])
+
+
 @query(
     """
 SELECT c_custkey, 'EMEA' AS region, upper(c_mktsegment) AS segment,
@@ -433,13 +460,34 @@ def lit_and_map(spark, sf_dir):
     df = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     steps = [
         LitColumn("region", "EMEA"),
-        MapColumn("c_mktsegment", "segment", F.upper),
+        MapColumn("c_mktsegment", "segment", F.upper, native=True),
         MapColumn("c_mktsegment", "label", lambda text: f"{str.lower(text)}_segment", "string"),
-        MapColumn("c_acctbal", "doubled", lambda value: value * 2),
+        MapColumn("c_acctbal", "doubled", lambda value: value * 2, "double"),
     ]
     return apply_transforms(df, steps).drop("c_mktsegment", "c_acctbal")
 
 
+@query(
+    """
+SELECT o_orderkey, substr(o_orderpriority, 2, 2) AS piece,
+  ((7 - o_orderkey) % 3 + 3) % 3 AS rest, o_orderpriority || '!' AS longer,
+  CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey ELSE o_orderkey / 2.0 END::DOUBLE AS widened
+FROM orders"""
+)
+def map_python(spark, sf_dir):
+    """Mappers that mean something else on a Spark column, and one that returns two types."""
+    df = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("text"), (7 - F.col("o_orderkey")).alias("number")
+    )
+    steps = [
+        MapColumn("text", "piece", lambda value: value[1:3]),
+        MapColumn("number", "rest", lambda value: value % 3),
+        MapColumn("text", "longer", lambda value: value + "!"),
+        MapColumn("o_orderkey", "widened", lambda value: value if value % 5 == 0 else value / 2),
+    ]
+    return apply_transforms(df, steps).drop("text", "number")
+
+
 @query(
     """
 SELECT o_orderkey, 'orders' AS source, 'ord' AS part, TRUE AS absolute FROM orders"""
@@ -749,6 +797,23 @@ def update_where(spark, sf_dir):
     return keyed.update_rows(orders, {"O_TotalPrice": 0}, where)
 
 
+@query(
+    """
+SELECT o_orderkey, CASE WHEN o_custkey = 11 THEN 0.5 ELSE o_totalprice END AS o_totalprice, o_orderstatus
+FROM orders WHERE NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')"""
+)
+def update_partitioned(spark, sf_dir):
+    """Update and delete on a partitioned table."""
+    store, name = TableStore(spark), f"panelspark_parts_{uuid.uuid4().hex}"
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"
+    )
+    store.create_table_from(name, orders, partition_by=["o_orderstatus"])
+    store.update(name, {"o_totalprice": 0.5}, {"o_custkey": 11})
+    store.delete(name, {"o_orderpriority": "1-URGENT", "o_orderstatus": "F"})
+    return store.select(name, ["o_orderkey", "o_totalprice", "o_orderstatus"])
+
+
 @query(
     """
 SELECT o_orderkey, o_totalprice FROM orders

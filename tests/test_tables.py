@@ -43,9 +43,9 @@ def test_append_by_name(spark, store, name, rows):
     assert store.append_to_table(name, frame(spark, [(3,)], "k bigint")) == 1
     assert store.append_to_table(name, frame(spark, [], "k bigint")) == 0
     assert rows(store.table(name)) == [(1, "a"), (2, "b"), (3, None)]
-    with pytest.raises(ValueError, match="does not exist"):
+    with pytest.raises(ValueError, match="no column 'z'"):
         store.append_to_table(name, frame(spark, [(1,)], "z int"))
-    with pytest.raises(ValueError, match="has type string"):
+    with pytest.raises(ValueError, match="string does not fit"):
         store.append_to_table(name, frame(spark, [("1",)], "k string"))
     with pytest.raises(ValueError, match="Duplicate check"):
         store.append_to_table(name, frame(spark, [(1,)], "k int"), ["v"])
@@ -60,16 +60,16 @@ def test_append_skips_known_keys(spark, store, name, rows):
     assert rows(store.table(name)) == [(None, "m"), (None, "n"), (1, "a"), (2, "b"), (2, "b")]
 
 
-def test_heavy_keys_do_not_change_the_result(spark, monkeypatch, rows):
+def test_new_keys_read_the_batch_once(spark, plan, rows):
     new = spark.range(3000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN 8 WHEN id % 11 = 0 THEN NULL ELSE id END AS k",
         "id AS v",
     )
     old = spark.range(0, 3000, 2).selectExpr("id AS k").union(spark.sql("SELECT 8L AS k"))
-    expected = rows(new.join(old.distinct(), "k", "left_anti").select("k", "v"))
-    assert rows(keyed.rows_with_new_keys(new, old, ["k"])) == expected
-    monkeypatch.setattr(keyed, "HEAVY_ROWS", 10)
-    assert rows(keyed.rows_with_new_keys(new, old, ["k"])) == expected
+    df = keyed.rows_with_new_keys(new, old, ["k"])
+    assert plan(df).count("Range (0, 3000, step=1") == 1
+    known = {r[0] for r in old.collect()}
+    assert rows(df) == rows(spark.createDataFrame([r for r in new.collect() if r["k"] not in known], new.schema))
 
 
 def test_insert_select_update_delete(spark, store, name, rows):
@@ -86,6 +86,12 @@ def test_insert_select_update_delete(spark, store, name, rows):
     assert rows(store.table(name)) == [(2, "z"), (3, None)]
     with pytest.raises(ValueError, match="do not exist"):
         store.insert(name, {"nope": 1})
+    with pytest.raises(ValueError, match="first one lacks"):
+        store.insert(name, [{"k": 5}, {"k": 6, "v": "lost"}])
+    for change in (lambda: store.delete(name, {}), lambda: store.update(name, {"v": "z"}, {})):
+        with pytest.raises(ValueError, match="No condition"):
+            change()
+    assert store.table(name).count() == 2
 
 
 def test_remove_duplicates(spark, store, name, rows):
@@ -115,6 +121,21 @@ def test_upsert(spark, store, name, rows):
     assert rows(store.table(name)) == [(None, "m"), (1, "x"), (2, "b"), (3, "c")]
 
 
+def test_upsert_leaves_the_old_rows_in_place(spark, store, name, rows, plan):
+    old = spark.range(20_000).selectExpr("id AS k", "'old' AS v")
+    store.create_table_from(name, old)
+    batch = [(5, "x"), (5, "y"), (30_000, "z"), (None, "n"), (None, "m")]
+    store.create_table_from(f"{name}_new", frame(spark, batch, "k bigint, v string"))
+    df = keyed.upsert(store.table(name), store.table(f"{name}_new"), ["k"])
+    text = plan(df)
+    [join] = [line for line in text.splitlines() if "Join" in line]
+    assert "BroadcastHashJoin" in join and "LeftAnti" in join
+    old_side = text[text.index(join) : text.index("BroadcastExchange")]
+    assert "FileScan" in old_side and "Exchange" not in old_side and "Sort" not in old_side
+    got = {r["k"]: r["v"] for r in df.collect()}
+    assert len(got) == df.count() == 20_002 and (got[5], got[30_000], got[None], got[6]) == ("y", "z", "n", "old")
+
+
 def test_deduplicate_combines_before_the_shuffle(spark, plan):
     df = keyed.deduplicate(frame(spark, [(1, "a")]).repartition(3), ["k"], "last", ["v"])
     text = plan(df)
@@ -151,3 +172,22 @@ def test_partitioned_tables_stay_partitioned(spark, store, name, rows):
     assert store.append_to_table(name, frame(spark, [("c", 3)], "v string, k int")) == 1
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     assert parts == ["k"] and rows(store.table(name), "k", "v") == [(2, "b"), (3, "c")]
+
+
+def test_changes_rewrite_only_partitions_with_matches(spark, store, name, rows):
+    import glob
+    import os
+
+    data = frame(spark, [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e f'g")], "k int, v string")
+    store.create_table_from(name, data.selectExpr("v", "k"), partition_by=["k"])
+    folder = spark.sql(f"DESCRIBE EXTENDED `{name}`")
+    folder = folder.where("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+    before = {p: os.stat(p).st_ino for p in glob.glob(f"{folder}/*/part-*")}
+    assert store.update(name, {"v": "z"}, {"v": "b"}) == 1
+    after = {p: os.stat(p).st_ino for p in glob.glob(f"{folder}/*/part-*")}
+    assert {p for p in before if "k=1" not in p} <= after.keys() and not {p for p in before if "k=1" in p} & after.keys()
+    assert rows(store.table(name), "k", "v") == [(None, "d"), (1, "a"), (1, "z"), (2, "c"), (3, "e f'g")]
+    assert store.update(name, {"v": "null"}, {"v": "d"}) == 1
+    assert store.delete(name, {"k": 2}) == 1 and store.delete(name, {"v": "a"}) == 1
+    assert store.update(name, {"k": 9}, {"k": 3}) == 1
+    assert rows(store.table(name), "k", "v") == [(None, "null"), (1, "z"), (9, "e f'g")]
