@@ -237,10 +237,10 @@ class TableStore:
         touched = hits.groupBy(*map(c, parts)).count().collect()
         for row in touched:
             values = {name: row[name] for name in parts}
-            self._replace_partition(table, change(before.where(_same(values))), values)
+            self.replace_partition(table, change(before.where(_same(values))), values)
         return sum(row["count"] for row in touched)
 
-    def _replace_partition(self, table: str, rows: DataFrame, values: Mapping[str, Any]) -> None:
+    def replace_partition(self, table: str, rows: DataFrame, values: Mapping[str, Any]) -> None:
         """Write the rows of one partition anew, by way of a staging table, or drop it if none are left.
 
         A run cut off in between leaves the rows in ``<table>__partition``."""

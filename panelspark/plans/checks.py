@@ -39,7 +39,8 @@ from panelspark.operators.transforms import (
 from panelspark.plans.ingest import load_directories_into_tables
 from panelspark.plans.rates import CorrelationArtefacts, run_rates, since
 from panelspark.session import scratch_dir
-from panelspark.sources.files import locate
+from panelspark.sources import hadoop
+from panelspark.sources.files import opened
 from panelspark.sources.preview import preview_frame
 from panelspark.sources.readers import load_directory
 from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_friday, snapshot_path
@@ -588,8 +589,10 @@ def mixed_directory(spark, sf_dir):
 def _write_ipc(df: DataFrame, folder: str) -> None:
     """One Arrow IPC file per task, named by partition so that a retry replaces it."""
 
+    uri = hadoop.resolved(folder)
+
     def write(batches):
-        system, inner = locate(folder)
+        system, inner = opened(uri)
         system.create_dir(inner, recursive=True)
         part = TaskContext.get().partitionId()
         out = None

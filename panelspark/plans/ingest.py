@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelspark.operators.tables import TableStore
 from panelspark.operators.transforms import Transform
-from panelspark.sources.files import exists, is_file
+from panelspark.sources.hadoop import exists, is_file
 from panelspark.sources.readers import load_directory, load_files
 
 log = logging.getLogger(__name__)
@@ -19,8 +19,8 @@ def _present(found: bool, what: str, table: str, path: str, skip_missing: bool)
     if found:
         return True
     if not skip_missing:
-        raise FileNotFoundError(f"{what} for table {table} does not exist: {path}")
-    log.warning("Skipping %s: %s %s does not exist", table, what.lower(), path)
+        raise FileNotFoundError(f"Nothing to fill {table} from: no {what.lower()} {path}")
+    log.warning("%s stays as it is: no %s %s", table, what.lower(), path)
     return False
 
 

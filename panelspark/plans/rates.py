@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.config import (
@@ -22,9 +24,9 @@ from panelspark.operators.correlation import DCORR, PEARSON, window_correlations
 from panelspark.operators.coverage import coverage
 from panelspark.operators.keyed import deduplicate, matches, upsert
 from panelspark.operators.tables import TableStore, align_to
-from panelspark.operators.transforms import RenameTenors, SourceFromFilename
+from panelspark.operators.transforms import CastDate, RenameTenors, SourceFromFilename
 from panelspark.plans.ingest import load_directories_into_tables
-from panelspark.sources.files import exists
+from panelspark.sources import hadoop
 
 # Tables whose tenors are correlated; spot FX is loaded alongside but has none.
 CORRELATED_TABLES = ("zero_rates", "par_rates")
@@ -33,24 +35,28 @@ ARTEFACT_PREFIX = {PEARSON: "corr_dfs_melted", DCORR: "dcorr_dfs_melted"}
 
 
 def load_rates(spark: SparkSession, root: str, should_load: bool = True) -> dict[str, bool]:
-    """Load the curve folders under ``root``: file stem as source, tenor names normalised."""
+    """Load the curve folders under ``root``: file stem as source, tenor names normalised.
+
+    Dates are stored as dates, so that a first day is a filter of the scan."""
     return load_directories_into_tables(
         spark,
         {table: f"{root.rstrip('/')}/{folder}" for table, folder in RATE_FOLDERS.items()},
         extensions={".parquet"},
-        transforms=[SourceFromFilename(), RenameTenors()],
+        transforms=[SourceFromFilename(), RenameTenors(), CastDate("date")],
         should_load=should_load,
     )
 
 
 def rate_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    """The rate tables with ``date`` as a date; fails naming every missing one."""
+    """The rate tables, ``date`` as a date also where it was stored as text; fails naming every missing one."""
     store = TableStore(spark)
     missing = [name for name in RATE_TABLES if not store.exists(name)]
     if missing:
         raise LookupError(f"Missing rate tables: {', '.join(missing)}. Load them first.")
+    frames = {name: store.table(name) for name in RATE_TABLES}
     return {
-        name: store.table(name).withColumn("date", F.to_date("date")) for name in RATE_TABLES
+        name: df if dict(df.dtypes)["date"] == "date" else df.withColumn("date", F.to_date("date"))
+        for name, df in frames.items()
     }
 
 
@@ -73,8 +79,9 @@ def last_date(df: DataFrame, table: str) -> str:
 class CorrelationArtefacts:
     """Computed correlations kept as parquet under one folder.
 
-    ``{prefix}_{table}_{start}_{last}/window_size={W}``. A window folder appears by
-    one rename after its rows are complete, so an existing folder can be reused.
+    ``{prefix}_{table}_{start}_{last}/window_size={W}``, with a note ``_complete`` of the tenors
+    and window sizes that are there, written last. What the note does not vouch for counts as
+    absent, so a job that was cut off is computed again.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -84,6 +91,10 @@ class CorrelationArtefacts:
     def path(self, method: str, table: str, start: dt.date, last: str) -> str:
         return f"{self.folder}/{ARTEFACT_PREFIX[method]}_{table}_{start:%Y%m%d}_{last}"
 
+    def _complete(self, path: str) -> dict[str, list]:
+        note = hadoop.read_text(f"{path}/_complete")
+        return json.loads(note) if note else {"tenors": [], "windows": []}
+
     def write(
         self,
         df: DataFrame,
@@ -94,43 +105,64 @@ class CorrelationArtefacts:
         start: dt.date = DEFAULT_START,
         overwrite: bool = False,
     ) -> list[str]:
-        """Compute what is missing (or everything); returns all artefact paths."""
+        """Compute what is missing (or everything), all methods in one job; returns the folders asked for.
+
+        Where other tenors are kept, they are computed again along with the new ones.
+        """
         df = since(df, start)
         last = last_date(df, table)
-        paths = []
-        for method in ARTEFACT_PREFIX:
-            path = self.path(method, table, start, last)
-            todo = [w for w in windows if overwrite or not exists(f"{path}/window_size={w}")]
-            if todo:
-                rows = window_correlations(df, tenors, todo, [method])
-                (
-                    rows.write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("window_size")
-                    .parquet(path)
-                )
-            paths += [f"{path}/window_size={w}" for w in windows]
-        return paths
+        paths = {method: self.path(method, table, start, last) for method in ARTEFACT_PREFIX}
+        kept = {m: {"tenors": [], "windows": []} if overwrite else self._complete(p) for m, p in paths.items()}
+        asked = [f"{path}/window_size={w}" for path in paths.values() for w in windows]
+        known = set.intersection(*(set(k["tenors"]) for k in kept.values()))
+        ready = set.intersection(*(set(k["windows"]) for k in kept.values()))
+        if set(tenors) <= known and set(windows) <= ready:
+            return asked
+        if set(tenors) <= known:
+            todo = [w for w in windows if w not in ready]
+        else:
+            known, todo = known | set(tenors), sorted(ready | set(windows))
+            ready = set()
+        staged = f"{self.folder}/_staged-{uuid.uuid4().hex}"
+        rows = window_correlations(df, sorted(known), todo, list(ARTEFACT_PREFIX))
+        rows.write.partitionBy("corr_type", "window_size").parquet(staged)
+        for method, path in paths.items():
+            hadoop.delete(f"{path}/_complete")
+            if not ready:
+                hadoop.delete(path)
+            for w in todo:
+                part = f"corr_type={method}/window_size={w}"
+                hadoop.delete(f"{path}/window_size={w}")
+                if hadoop.exists(f"{staged}/{part}"):  # a window may be longer than the history
+                    hadoop.move(f"{staged}/{part}", f"{path}/window_size={w}")
+            note = {"tenors": sorted(known), "windows": sorted(ready.union(todo))}
+            hadoop.write_text(f"{path}/_complete", json.dumps(note))
+        hadoop.delete(staged)
+        return asked
 
     def read(
         self,
         df: DataFrame,
         table: str,
         *,
+        tenors: Sequence[str] | None = None,
         windows: Sequence[int] = DEFAULT_WINDOWS,
         start: dt.date = DEFAULT_START,
     ) -> DataFrame | None:
-        """The kept rows of one rate table, or None if there are none."""
+        """The kept rows of one rate table, or None if nothing complete is kept."""
         last = last_date(since(df, start), table)
+        schema = "date date, Correlation double, observable string, source1 string, source2 string, window_size int"
         parts = []
         for method in ARTEFACT_PREFIX:
             path = self.path(method, table, start, last)
-            have = [f"{path}/window_size={w}" for w in windows if exists(f"{path}/window_size={w}")]
+            have = set(self._complete(path)["windows"]).intersection(windows)
             if have:
-                parts.append(self.spark.read.option("basePath", path).parquet(*have))
+                rows = self.spark.read.schema(schema).parquet(path).where(F.col("window_size").isin(sorted(have)))
+                parts.append(rows.withColumn("corr_type", F.lit(method)))
         if not parts:
             return None
-        return reduce(DataFrame.unionByName, parts).withColumn("rate_table", F.lit(table))
+        rows = reduce(DataFrame.unionByName, parts).withColumn("rate_table", F.lit(table))
+        return rows if tenors is None else rows.where(F.col("observable").isin(list(tenors)))
 
 
 def save_window_corr(
@@ -140,8 +172,8 @@ def save_window_corr(
 
     Zero and par curves yield rows with the same seven columns, so ``rate_table`` is
     part of the table and of its key. ``strict`` leaves it out; later rows then
-    replace those of the other curve. Only the partitions (method, window) that the
-    new rows touch are rewritten.
+    replace those of the other curve. Only partitions (curve, method, window) in which some row
+    is new or other than before are written, each by way of a staging table.
     """
     key = list(WINDOW_CORR_KEY)
     extra = [] if strict else ["rate_table"]
@@ -149,27 +181,20 @@ def save_window_corr(
         rows = deduplicate(
             rows.withColumn("__par", F.col("rate_table") == "par_rates"), key, "last", ["__par"]
         )
-    rows = rows.select("date", "Correlation", "observable", "source1", "source2", *extra,
-                       "corr_type", "window_size")
+    partitions = [*extra, "corr_type", "window_size"]
+    rows = rows.select("date", "Correlation", "observable", "source1", "source2", *partitions)
     store = TableStore(spark)
-    partitions = ["corr_type", "window_size"]
     if not store.exists(table):
         store.create_table(table, rows.schema, partition_by=partitions)
     existing = store.table(table)
-    # methods x window sizes: a handful of values, so that the scan skips the rest
-    touched = rows.select(*partitions).distinct().collect()
-    if not touched:
-        return
-    kept = existing.where(reduce(Column.__or__, [matches(row.asDict()) for row in touched]))
-    merged = upsert(kept, align_to(rows, existing.schema), key + extra)
-    # insertInto heeds the session setting only, not a writer option
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        merged.select(*existing.columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    rows = align_to(rows, existing.schema)
+    # curves x methods x window sizes: a handful
+    changed = rows.exceptAll(existing).select(*partitions).distinct().collect()
+    for part in changed:
+        values = part.asDict()
+        held = existing.where(matches(values))
+        merged = upsert(held, rows.where(matches(values)), key + extra)
+        store.replace_partition(table, merged, values)
 
 
 def window_corr_strict(spark: SparkSession, table: str = WINDOW_CORR_TABLE) -> DataFrame:
@@ -243,12 +268,10 @@ def run_rates(
             spark, folder, tenors=tenors, windows=windows, start=start, overwrite=overwrite
         )
     if populate_from_files:
-        parts = [
-            artefacts.read(frames[table], table, windows=windows, start=start)
-            for table in CORRELATED_TABLES
-        ]
-        parts = [part for part in parts if part is not None]
-        if parts:
-            save_window_corr(spark, reduce(DataFrame.unionByName, parts))
+        for table in CORRELATED_TABLES:
+            rows = artefacts.read(frames[table], table, tenors=tenors, windows=windows, start=start)
+            if rows is None:
+                raise LookupError(f"No complete correlation files of {table} in {folder}")
+            save_window_corr(spark, rows)
     summary["zero_rates_rows"] = frames["zero_rates"].count()
     return summary

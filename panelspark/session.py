@@ -43,10 +43,12 @@ def build_session(
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate files that every executor can reach.
 
-    Uses the shared folder named by ``spark.checkpoint.dir``; only when the
-    session names none (local tests) does it fall back to a temporary folder.
+    Lies in the shared folder named by ``spark.checkpoint.dir``. Where that is unset, a local
+    session (one process) uses a temporary folder; a cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "panelspark-scratch")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

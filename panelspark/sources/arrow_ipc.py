@@ -15,7 +15,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from panelspark.names import PATH_COL
-from panelspark.sources.files import inspect_file, locate
+from panelspark.sources.files import inspect_file, opened
 
 FORMAT = "panelspark_ipc"
 # Record batches per task; writers commonly put 64k rows or more in one.
@@ -54,62 +54,80 @@ def readable_schema(schema: pa.Schema) -> pa.Schema:
 
 @dataclass
 class BatchRange(InputPartition):
+    uri: str
     path: str
     start: int
     stop: int
 
 
 class ArrowIpcSource(DataSource):
-    """Option ``files``: JSON list of [path, number of record batches or null]."""
+    """Options: ``files``, a JSON list of [URI, number of record batches or null, path to show];
+    ``columns``, a JSON list of the columns to read; ``path_column``, whether rows carry their path."""
 
     @classmethod
     def name(cls) -> str:
         return FORMAT
 
-    def _files(self) -> list[tuple[str, int | None]]:
+    def _files(self) -> list[tuple[str, int | None, str]]:
         if "files" in self.options:
             return [tuple(entry) for entry in json.loads(self.options["files"])]
-        return [(self.options["path"], None)]
+        return [(self.options["path"], None, self.options["path"])]
 
     def _columns(self) -> pa.Schema:
-        system, inner = locate(self._files()[0][0])
+        system, inner = opened(self._files()[0][0])
         with system.open_input_file(inner) as handle, pa.ipc.open_file(handle) as reader:
-            return readable_schema(reader.schema)
+            schema = readable_schema(reader.schema)
+        wanted = self.options.get("columns")
+        if wanted is None:
+            return schema
+        missing = [name for name in json.loads(wanted) if name not in schema.names]
+        if missing:
+            raise ValueError(f"No columns {missing} in {self._files()[0][2]}; it has {schema.names}")
+        return pa.schema([schema.field(name) for name in json.loads(wanted)])
+
+    def _with_path(self) -> bool:
+        return self.options.get("path_column", "True") == "True"
 
     def schema(self):
-        return from_arrow_schema(
-            self._columns().append(pa.field(PATH_COL, pa.string())),
-            prefer_timestamp_ntz=True,
-        )
+        columns = self._columns()
+        if self._with_path():
+            columns = columns.append(pa.field(PATH_COL, pa.string()))
+        return from_arrow_schema(columns, prefer_timestamp_ntz=True)
 
     def reader(self, schema):
-        return _Reader(self._files(), self._columns())
+        return _Reader(self._files(), self._columns(), self._with_path())
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, files: list[tuple[str, int | None]], columns: pa.Schema):
+    def __init__(self, files: list[tuple[str, int | None, str]], columns: pa.Schema, with_path: bool):
         self._files = files
         self._columns = columns
+        self._with_path = with_path
 
     def partitions(self) -> list[BatchRange]:
         ranges = []
-        for path, batches in self._files:
+        for uri, batches, path in self._files:
             if batches is None:
-                batches = inspect_file(path).batches
+                batches = inspect_file(uri).batches
             for start in range(0, batches, _BATCHES_PER_TASK):
-                ranges.append(BatchRange(path, start, min(start + _BATCHES_PER_TASK, batches)))
-        return ranges or [BatchRange(self._files[0][0], 0, 0)]
+                ranges.append(BatchRange(uri, path, start, min(start + _BATCHES_PER_TASK, batches)))
+        return ranges or [BatchRange(self._files[0][0], self._files[0][2], 0, 0)]
 
     def read(self, partition: BatchRange) -> Iterator[pa.RecordBatch]:
-        system, inner = locate(partition.path)
-        with system.open_input_file(inner) as handle, pa.ipc.open_file(handle) as reader:
-            for number in range(partition.start, partition.stop):
-                batch = reader.get_batch(number)
-                columns = [
-                    column.cast(field.type)
-                    for column, field in zip(batch.columns, self._columns)
-                ]
-                columns.append(pa.array([partition.path] * batch.num_rows, pa.string()))
-                yield pa.RecordBatch.from_arrays(
-                    columns, schema=self._columns.append(pa.field(PATH_COL, pa.string()))
-                )
+        system, inner = opened(partition.uri)
+        with system.open_input_file(inner) as handle:
+            with pa.ipc.open_file(handle) as reader:
+                names = reader.schema.names
+            # a file stores its columns apart: those not named are not read
+            chosen = pa.ipc.IpcReadOptions(included_fields=[names.index(n) for n in self._columns.names])
+            with pa.ipc.open_file(handle, options=chosen) as reader:
+                for number in range(partition.start, partition.stop):
+                    yield self._shaped(reader.get_batch(number), partition.path)
+
+    def _shaped(self, batch: pa.RecordBatch, path: str) -> pa.RecordBatch:
+        columns = [batch.column(field.name).cast(field.type) for field in self._columns]
+        schema = self._columns
+        if self._with_path:
+            columns.append(pa.repeat(path, batch.num_rows))
+            schema = schema.append(pa.field(PATH_COL, pa.string()))
+        return pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -2,8 +2,8 @@
 
 Files of one directory may differ in format and columns. Spark reads such a set
 wrongly if it is handed over as one scan (CSV columns are matched by position), so
-files are first sorted into groups of equal layout. Only headers, footers and the
-first rows are read for this; with many files the reading runs as Spark tasks.
+files are first sorted into groups of equal layout. Spark tasks read the headers and
+footers for this; the driver gets each distinct layout once.
 """
 
 from __future__ import annotations
@@ -14,28 +14,27 @@ import json
 import os
 import re
 from collections.abc import Collection, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 import pyarrow.ipc
 import pyarrow.parquet
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelspark.names import c
+from panelspark.sources import hadoop
+from panelspark.sources.hadoop import exists, qualified
 
 # File suffixes by kind of file.
 KINDS = {".csv": "csv", ".feather": "ipc", ".ipc": "ipc", ".parquet": "parquet"}
 SUPPORTED_EXTENSIONS = frozenset(KINDS)
 
-# Rows looked at to type CSV columns unless the caller says otherwise.
-DEFAULT_INFER_ROWS = 100
-# Directories with more files than this are inspected by Spark tasks.
-_INSPECT_ON_DRIVER = 64
-# Bytes of a CSV file read to find its header and first rows.
-_CSV_HEAD = 1 << 20
-
-_INTEGER = re.compile(r"[+-]?\d{1,18}")
-_FLOAT = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[+-]?inf|nan", re.IGNORECASE)
-_BOOLEAN = re.compile(r"true|false", re.IGNORECASE)
+# What texts of a CSV column look like, for Python and Java alike.
+_INTEGER = r"[+-]?[0-9]{1,18}"
+_FLOAT = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|-?Inf|NaN"
+_BOOLEAN = r"[Tt][Rr][Uu][Ee]|[Ff][Aa][Ll][Ss][Ee]"
 
 
 @dataclass(frozen=True)
@@ -44,10 +43,14 @@ class FileLayout:
 
     path: str
     kind: str
-    # CSV: JSON list of [name, Spark type]; others: text of the stored schema
+    # CSV: JSON list of names; others: text of the stored schema
     columns: str
     # Arrow IPC: number of record batches
     batches: int = 0
+    # the path without mount tables, for readers other than Spark's
+    uri: str = ""
+    # CSV: JSON list of the kinds of text seen in each column, if rows were looked at
+    kinds: str | None = None
 
 
 def suffix_of(path: str) -> str:
@@ -64,29 +67,11 @@ def kind_of(path: str) -> str:
     return kind
 
 
-def locate(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and inner path of a local path or a URI."""
-    if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", path):
-        if path.startswith("file:"):
-            return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
-        return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
-    return fs.LocalFileSystem(), os.path.abspath(path)
-
-
-def exists(path: str, kind: fs.FileType | None = None) -> bool:
-    system, inner = locate(str(path))
-    found = system.get_file_info(inner).type
-    return found != fs.FileType.NotFound if kind is None else found == kind
-
-
-def is_file(path: str) -> bool:
-    return exists(path, fs.FileType.File)
-
-
-def absolute(path: str) -> str:
-    """Local paths made absolute; URIs unchanged."""
-    remote = "://" in path and not path.startswith("file:")
-    return path if remote else locate(path)[1]
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system and inner path of a full URI (or a plain local path)."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", uri) and not uri.startswith("file:"):
+        return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+    return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", uri)
 
 
 def list_data_files(
@@ -101,27 +86,25 @@ def list_data_files(
     ``recursive``. Names Spark would silently ignore raise instead.
     """
     wanted = SUPPORTED_EXTENSIONS if extensions is None else frozenset(extensions)
-    system, inner = locate(str(directory))
-    prefix = str(directory).rstrip("/") if "://" in str(directory) else inner.rstrip("/")
-    found, hidden = [], []
-    for info in system.get_file_info(fs.FileSelector(inner, recursive=recursive)):
-        if info.type == fs.FileType.File and suffix_of(info.path) in wanted:
-            relative = info.path[len(inner.rstrip("/")) :].lstrip("/")
+    root, found, hidden = qualified(directory).rstrip("/"), [], []
+    full = re.sub(r"^file:/+", "/", hadoop.resolved(directory) if root.startswith("/") else root).rstrip("/")
+    for path in hadoop.list_files(directory, recursive) if exists(directory) else ():
+        relative = re.sub(r"^file:/+", "/", path).removeprefix(re.sub(r"^file:/+", "/", full)).lstrip("/")
+        if suffix_of(relative) in wanted:
             is_hidden = any(part[0] in "._" for part in relative.split("/"))
-            (hidden if is_hidden else found).append(f"{prefix}/{relative}")
+            (hidden if is_hidden else found).append(f"{root}/{relative}")
     if hidden:
         raise ValueError(f"Spark does not read names starting with '_' or '.': {sorted(hidden)}")
     if not found:
-        raise FileNotFoundError(
-            f"No supported files ({', '.join(sorted(wanted))}) found in {directory}"
-        )
+        raise FileNotFoundError(f"{directory} holds no file ending in {', '.join(sorted(wanted))}")
     return sorted(found)
 
 
 def inspect_file(path: str, infer_rows: int | None = None) -> FileLayout:
-    """Layout of one file, from its header, footer or first rows."""
+    """Layout of one file (a full URI), from its header or footer, and of a CSV file the kinds of
+    text in its first ``infer_rows`` rows if a number is given."""
     kind = kind_of(path)
-    system, inner = locate(path)
+    system, inner = opened(path)
     if kind == "parquet" and system.get_file_info(inner).type == fs.FileType.Directory:
         return FileLayout(path, kind, f"dataset {path}")  # a folder of parts, one scan
     if kind == "parquet":
@@ -133,75 +116,98 @@ def inspect_file(path: str, infer_rows: int | None = None) -> FileLayout:
             schema = reader.schema.remove_metadata().to_string()
             return FileLayout(path, kind, schema, reader.num_record_batches)
     with system.open_input_stream(inner, compression=None) as handle:
-        head = handle.read(_CSV_HEAD)
-        while b"\n" not in head:
-            more = handle.read(_CSV_HEAD)
-            if not more:
-                break
-            head += more
-        whole = not handle.read(1)
-    return FileLayout(path, kind, json.dumps(_csv_columns(path, head, whole, infer_rows)))
-
-
-def _csv_columns(path: str, head: bytes, whole: bool, infer_rows: int | None) -> list[list[str]]:
-    if not whole:  # the last line may be cut short
-        head = head[: head.rindex(b"\n") + 1]
-    rows = csv.reader(io.StringIO(head.decode("utf-8-sig"), newline=""))
+        lines = io.TextIOWrapper(io.BufferedReader(handle, 1 << 16), "utf-8-sig", newline="")
+        header, kinds = _csv_head(path, csv.reader(lines), infer_rows)
+    return FileLayout(path, kind, json.dumps(header), kinds=kinds and json.dumps(kinds))
+
+
+def _csv_head(path: str, rows: Iterator[list[str]], infer_rows: int | None):
     header = next(rows, None)
     if not header:
         raise ValueError(f"CSV file {path} has no header")
     if len(set(header)) != len(header):
         raise ValueError(f"CSV file {path} repeats column names: {header}")
-    limit = DEFAULT_INFER_ROWS if infer_rows is None else infer_rows
+    if not infer_rows:
+        return header, None
     seen: list[set[str]] = [set() for _ in header]
-    for _, row in zip(range(limit), rows):
+    for _, row in zip(range(infer_rows), rows):
         for kinds, text in zip(seen, row):
             if text:
                 kinds.add(_type_of(text))
-    return [[name, _column_type(kinds)] for name, kinds in zip(header, seen)]
+    return header, [sorted(kinds) for kinds in seen]
 
 
 def _type_of(text: str) -> str:
-    if _INTEGER.fullmatch(text):
+    if re.fullmatch(_INTEGER, text):
         return "bigint"
-    if _FLOAT.fullmatch(text):
+    if re.fullmatch(_FLOAT, text):
         return "double"
-    return "boolean" if _BOOLEAN.fullmatch(text) else "string"
+    return "boolean" if re.fullmatch(_BOOLEAN, text) else "string"
 
 
-def _column_type(kinds: set[str]) -> str:
-    """One type for a column; dates stay text, mixed columns too."""
+def column_type(kinds: Collection[str]) -> str:
+    """One type for the texts of a column; dates stay text, mixed columns too."""
+    kinds = set(kinds)
     if len(kinds) == 1:
-        return next(iter(kinds))
+        return kinds.pop()
     return "double" if kinds == {"bigint", "double"} else "string"
 
 
+def kinds_of_all(texts: DataFrame) -> list[list[str]]:
+    """The kinds of text in each column over all rows, in one aggregate."""
+
+    def kinds(name: str) -> Column:
+        is_kind = {k: c(name).rlike(f"^(?:{p})$") for k, p in (("bigint", _INTEGER), ("double", _FLOAT), ("boolean", _BOOLEAN))}
+        kind = F.when(c(name).isNotNull(), F.lit("string"))
+        for k in ("boolean", "double", "bigint"):
+            kind = F.when(is_kind[k], F.lit(k)).otherwise(kind)
+        return F.collect_set(kind)  # four values at most
+
+    names = texts.columns
+    if not names:
+        return []
+    found = texts.agg(*[kinds(name).alias(f"c{i}") for i, name in enumerate(names)]).first()
+    return [sorted(found[f"c{i}"]) for i in range(len(names))]
+
+
 def inspect_files(
     spark: SparkSession, paths: Iterable[str], infer_rows: int | None = None
 ) -> list[FileLayout]:
-    """Layouts of many files; the driver receives one small row per file."""
-    paths = list(paths)
+    """Layouts of files; a distinct layout comes to the driver once, a file as a few numbers."""
+    paths = [qualified(path) for path in paths]
     for path in paths:
         kind_of(path)  # unsupported suffixes fail before anything is read
-    if len(paths) <= _INSPECT_ON_DRIVER:
-        return [inspect_file(path, infer_rows) for path in paths]
+    folders = {folder: hadoop.resolved(folder) for folder in {os.path.dirname(p) for p in paths}}
+    uris = [f"{folders[os.path.dirname(p)].rstrip('/')}/{os.path.basename(p)}" for p in paths]
 
     def inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [("number", pa.int64()), ("kind", pa.string()), ("columns", pa.string())]
+        fields += [("batches", pa.int64()), ("kinds", pa.string())]
         for batch in batches:
-            found = [inspect_file(path, infer_rows) for path in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_pylist(
-                [vars(layout) for layout in found],
-                schema=pa.schema(
-                    [("path", pa.string()), ("kind", pa.string()),
-                     ("columns", pa.string()), ("batches", pa.int64())]
-                ),
-            )
-
-    tasks = min(len(paths), 4 * spark.sparkContext.defaultParallelism)
+            found = [vars(inspect_file(uri, infer_rows)) for uri in batch.column(1).to_pylist()]
+            rows = [{"number": n} | layout for n, layout in zip(batch.column(0).to_pylist(), found)]
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields))
+
+    tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
     rows = (
-        spark.createDataFrame([(path,) for path in paths], "path string")
+        spark.createDataFrame(list(enumerate(uris)), "number bigint, uri string")
         .repartition(tasks)
-        .mapInArrow(inspect, "path string, kind string, columns string, batches bigint")
-        .collect()
+        .mapInArrow(inspect, "number bigint, kind string, columns string, batches bigint, kinds string")
+        .withColumn("layout", F.xxhash64("kind", "columns"))
+        .persist()
     )
-    return sorted((FileLayout(**row.asDict()) for row in rows), key=lambda layout: layout.path)
+    try:
+        layouts = {
+            row["layout"]: row
+            for row in rows.groupBy("layout", "kind", "columns").agg(F.collect_set("kinds").alias("kinds")).collect()
+        }
+        files = rows.select("number", "layout", "batches").collect()
+    finally:
+        rows.unpersist()
+    out = []
+    for row in sorted(files, key=lambda row: paths[row["number"]]):
+        layout = layouts[row["layout"]]
+        merged = [sorted(set().union(*column)) for column in zip(*map(json.loads, layout["kinds"]))]
+        made = FileLayout(paths[row["number"]], layout["kind"], layout["columns"], row["batches"])
+        out.append(replace(made, uri=uris[row["number"]], kinds=json.dumps(merged) if merged else None))
+    return out

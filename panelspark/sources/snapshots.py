@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.config import RATE_FOLDERS
-from panelspark.sources.files import exists, list_data_files
+from panelspark.sources.files import list_data_files
+from panelspark.sources.hadoop import exists
 from panelspark.sources.readers import load_files
 
 

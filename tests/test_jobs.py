@@ -11,7 +11,8 @@ from panelspark.plans.ingest import (
     load_directories_into_tables, load_equity_eod, load_files_into_tables, load_world_bank,
 )
 from panelspark.plans.rates import (
-    create_correlation_files, rates_coverage, run_rates, save_window_corr, window_corr_strict,
+    CorrelationArtefacts, create_correlation_files, rate_tables, rates_coverage, run_rates, save_window_corr,
+    since, window_corr_strict,
 )
 from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_friday, snapshot_path
 
@@ -28,15 +29,15 @@ def database(spark):
 
 
 def test_files_into_tables(spark, tmp_path, rows):
-    (tmp_path / "topics.csv").write_text("id,name,topic\nIND1,Indicator One,Health\n")
+    (tmp_path / "topics.csv").write_text("id,name,topic\nRAIN,Yearly rain,Climate\nROAD,Paved roads,Transport\n")
     (tmp_path / "long.csv").write_text(
-        "Country Name,Country Code,Series Code,Year,Value,Topic\nFrance,FRA,IND1,2023,1.5,Health\n"
+        "Country Name,Country Code,Series Code,Year,Value,Topic\nChad,TCD,RAIN,1998,312.25,Climate\n"
     )
     done = load_world_bank(spark, str(tmp_path / "topics.csv"), str(tmp_path / "long.csv"))
     assert done == {"topic_mapping": True, "indicators": True}
     store = TableStore(spark)
-    assert rows(store.table("topic_mapping")) == [("IND1", "Indicator One", "Health")]
-    assert rows(store.table("indicators")) == [("France", "FRA", "IND1", 2023, 1.5, "Health")]
+    assert rows(store.table("topic_mapping"))[0] == ("RAIN", "Yearly rain", "Climate")
+    assert rows(store.table("indicators")) == [("Chad", "TCD", "RAIN", 1998, 312.25, "Climate")]
     assert load_files_into_tables(spark, {"x": str(tmp_path / "none.csv")}) == {"x": False}
     with pytest.raises(FileNotFoundError):
         load_files_into_tables(spark, {"x": str(tmp_path / "none.csv")}, skip_missing=False)
@@ -56,10 +57,10 @@ def test_directories_into_tables(spark, tmp_path):
 
 
 def test_equity(spark, tmp_path, rows):
-    (tmp_path / "CAC40_daily.csv").write_text("Index,AC.PA.Open,AC.PA.Volume\n2024-01-01 16:00:00,1.5,4e+05\n")
+    (tmp_path / "OSE_2019.csv").write_text("Index,EQN.OL.Low,EQN.OL.Trades\n2019-08-05 12:30:00,88.5,6e+02\n")
     assert load_equity_eod(spark, str(tmp_path)) == {"equity_eod": True}
-    assert rows(spark.table("equity_eod"), "Index", "Stock", "Open", "Volume", "EqIndex") == [
-        (dt.date(2024, 1, 1), "AC.PA", 1.5, 400000.0, "CAC40")
+    assert rows(spark.table("equity_eod"), "Index", "Stock", "Low", "Trades", "EqIndex") == [
+        (dt.date(2019, 8, 5), "EQN.OL", 88.5, 600.0, "OSE")
     ]
 
 
@@ -129,6 +130,51 @@ def test_artefacts_are_reused(spark, tmp_path, curves):
     assert stamps == {p: os.stat(p).st_mtime_ns for p in paths}
 
 
+def test_artefacts_grow_by_tenors_and_a_half_written_one_is_computed_again(spark, tmp_path, curves):
+    run_rates(spark, root=curves, load_from_files=True)
+    zero, start = spark.table("zero_rates"), dt.date(2020, 1, 1)
+    kept = CorrelationArtefacts(spark, str(tmp_path / "corr"))
+    one = dict(tenors=["Y001p0"], windows=[3], start=start)
+    kept.write(zero, "zero_rates", **one)
+    paths = kept.write(zero, "zero_rates", tenors=["Y002p0"], windows=[3], start=start)
+    rows = kept.read(zero, "zero_rates", windows=[3], start=start)
+    assert {r[0] for r in rows.select("observable").distinct().collect()} == {"Y001p0", "Y002p0"}
+    assert {r[0] for r in rows.select("corr_type").distinct().collect()} == {"pearson", "dcorr"}
+    only = kept.read(zero, "zero_rates", tenors=["Y001p0"], windows=[3], start=start)
+    assert only.count() * 2 == rows.count()
+    before = rows.count()
+    for path in paths:  # as if the run had ended between its folders
+        os.remove(f"{os.path.dirname(path)}/_complete")
+        for part in os.listdir(path):
+            os.remove(f"{path}/{part}")
+    assert kept.read(zero, "zero_rates", windows=[3], start=start) is None
+    kept.write(zero, "zero_rates", tenors=["Y001p0", "Y002p0"], windows=[3], start=start)
+    assert kept.read(zero, "zero_rates", windows=[3], start=start).count() == before
+    assert [n for n in os.listdir(tmp_path / "corr") if n.startswith("_staged")] == []
+
+
+def test_nothing_to_populate_from(spark, tmp_path, curves):
+    run_rates(spark, root=curves, load_from_files=True)
+    with pytest.raises(LookupError, match="zero_rates"):
+        run_rates(spark, folder=str(tmp_path / "none"), populate_from_files=True, **SMALL)
+
+
+def test_first_day_is_a_filter_of_the_scan(spark, curves, plan):
+    run_rates(spark, root=curves, load_from_files=True)
+    frames = rate_tables(spark)
+    assert dict(frames["zero_rates"].dtypes)["date"] == "date"
+    assert "GreaterThanOrEqual(date," in plan(since(frames["zero_rates"], dt.date(2024, 1, 5)))
+
+
+def test_unchanged_partitions_are_not_written(spark, tmp_path, curves):
+    options = dict(root=curves, folder=str(tmp_path / "corr"), load_from_files=True, create_corr_files=True,
+                   populate_from_files=True, **SMALL)
+    run_rates(spark, **options)
+    files = {r[0] for r in spark.table("window_corr").select("_metadata.file_path").distinct().collect()}
+    run_rates(spark, **options)
+    assert files == {r[0] for r in spark.table("window_corr").select("_metadata.file_path").distinct().collect()}
+
+
 def test_coverage(spark, curves, rows):
     run_rates(spark, root=curves, load_from_files=True)
     got = rates_coverage(spark).collect()
