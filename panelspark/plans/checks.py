@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.names import PATH_COL
 from panelspark.operators import keyed
 from panelspark.operators.concat import strict_concat
 from panelspark.operators.correlation import DCORR, PEARSON, correlation_matrix, window_correlations
@@ -36,12 +37,18 @@ from panelspark.operators.transforms import (
     SourceFromFilename,
     apply_transforms,
 )
-from panelspark.plans.ingest import load_directories_into_tables
+from panelspark.config import RATE_FOLDERS
+from panelspark.plans.ingest import (
+    load_directories_into_tables,
+    load_equity_eod,
+    load_files_into_tables,
+    load_world_bank,
+)
 from panelspark.plans.rates import CorrelationArtefacts, run_rates, since
 from panelspark.session import scratch_dir
 from panelspark.sources import hadoop
-from panelspark.sources.files import opened
-from panelspark.sources.preview import preview_frame
+from panelspark.sources.files import list_data_files, opened
+from panelspark.sources.preview import preview_file, preview_frame
 from panelspark.sources.readers import load_directory
 from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_friday, snapshot_path
 
@@ -62,6 +69,44 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+class Workspace:
+    """Folders, tables and databases of one query, gone once its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._folders, self._tables, self._databases = spark, [], [], []
+
+    def folder(self, label: str) -> str:
+        self._folders.append(scratch_dir(self.spark, label))
+        return self._folders[-1]
+
+    def table(self, label: str) -> str:
+        self._tables.append(f"panelspark_{label}_{uuid.uuid4().hex}")
+        return self._tables[-1]
+
+    @contextlib.contextmanager
+    def database(self, label: str):
+        """A database of its own, current inside the block, as jobs use fixed table names."""
+        name, outer = f"panelspark_{label}_{uuid.uuid4().hex}", self.spark.catalog.currentDatabase()
+        self.spark.sql(f"CREATE DATABASE {name}")
+        self._databases.append(name)
+        self.spark.catalog.setCurrentDatabase(name)
+        try:
+            yield name
+        finally:
+            self.spark.catalog.setCurrentDatabase(outer)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        path = scratch_dir(self.spark, "result")
+        df.write.parquet(path)
+        for name in self._databases:
+            self.spark.sql(f"DROP DATABASE {name} CASCADE")
+        for name in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        for folder in self._folders:
+            hadoop.delete(folder)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -260,10 +305,25 @@ def correlation_artefacts(spark, sf_dir):
     """Correlations written once and read back from their artefacts."""
     panel = orders_panel(spark, sf_dir)
     start = dt.date(1990, 1, 1)
-    artefacts = CorrelationArtefacts(spark, scratch_dir(spark, "corr"))
+    work = Workspace(spark)
+    artefacts = CorrelationArtefacts(spark, work.folder("corr"))
     artefacts.write(panel, "zero_rates", tenors=["price"], windows=[20], start=start)
     rows = artefacts.read(panel, "zero_rates", windows=[20], start=start)
-    return rounded(rows.drop("rate_table"))
+    return work.result(rounded(rows.drop("rate_table")))
+
+
+@query(
+    f"""{pearson_sql(ORDERS_PANEL, "price", [20])}
+UNION ALL SELECT * FROM ({pearson_sql(ORDERS_PANEL, "n", [20])})"""
+)
+def artefact_tenors(spark, sf_dir):
+    """Artefacts asked for one observable, then for two: the second call adds to the first."""
+    panel, start, work = orders_panel(spark, sf_dir), dt.date(1990, 1, 1), Workspace(spark)
+    artefacts = CorrelationArtefacts(spark, work.folder("corr"))
+    for tenors in (["price"], ["price", "n"]):
+        artefacts.write(panel, "zero_rates", tenors=tenors, windows=[20], start=start)
+    rows = artefacts.read(panel, "zero_rates", windows=[20], start=start)
+    return work.result(rounded(rows.where("corr_type = 'pearson'").drop("rate_table")))
 
 
 MAX_PANEL = ORDERS_PANEL.replace("sum(o_totalprice)", "max(o_totalprice)")
@@ -284,26 +344,40 @@ FROM ({_curve_sql(ORDERS_PANEL, "zero_rates")} UNION ALL {_curve_sql(MAX_PANEL,
 def rates_job(spark, sf_dir):
     """The rates job over its tables: artefacts, then the window_corr table, twice."""
     orders = read(spark, sf_dir, "orders")
-    store, outer = TableStore(spark), spark.catalog.currentDatabase()
-    database = f"panelspark_job_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database}")
-    spark.catalog.setCurrentDatabase(database)
-    try:
+    store, work = TableStore(spark), Workspace(spark)
+    with work.database("job") as database:
         for table, pick in (("zero_rates", "sum"), ("par_rates", "max"), ("spotfx", "min")):
             curve = orders.groupBy(
                 F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
                 F.col("o_orderpriority").alias("source"),
             ).agg(F.expr(f"{pick}(o_totalprice)").alias("Y001p0"))
             store.create_table_from(table, curve)
-        folder = scratch_dir(spark, "rates-job")
+        folder = work.folder("rates-job")
         for _ in range(2):  # the second run reuses the artefacts and changes nothing
             run_rates(
                 spark, folder=folder, create_corr_files=True, populate_from_files=True,
                 tenors=["Y001p0"], windows=[20], start=dt.date(1990, 1, 1),
             )
-    finally:
-        spark.catalog.setCurrentDatabase(outer)
-    return rounded(spark.table(f"{database}.window_corr"))
+    return work.result(rounded(spark.table(f"{database}.window_corr")))
+
+
+@query(
+    """
+SELECT CAST(o_orderdate AS DATE) AS date, 'part' AS source, sum(o_totalprice) AS "Y000p5",
+  CAST(count(*) AS DOUBLE) AS "Y010p0" FROM orders GROUP BY 1"""
+)
+def curve_load(spark, sf_dir):
+    """Curve files as they arrive, one folder per table, loaded by the rates job."""
+    work = Workspace(spark)
+    root = work.folder("curves")
+    curve = read(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
+    curve = curve.agg(F.sum("o_totalprice").alias("0.5"), F.count(F.lit(1)).cast("double").alias("10"))
+    for folder in RATE_FOLDERS.values():
+        curve.write.parquet(f"{root}/{folder}")
+    with work.database("curves") as database:
+        run_rates(spark, root=root, load_from_files=True)
+        zero = spark.table(f"{database}.zero_rates")
+        return work.result(zero.withColumn("source", F.regexp_extract("source", "^[a-z]+", 0)))
 
 
 @query(
@@ -559,7 +633,8 @@ def step_definitions(spark, sf_dir):
 @query(DAILY_LONG.replace('d AS "Index"', 'd AS "Index", \'part\' AS "EqIndex"'))
 def wide_csv_job(spark, sf_dir):
     """CSV files with different columns in one folder, melted into one table."""
-    folder = scratch_dir(spark, "wide-csv")
+    work = Workspace(spark)
+    folder = work.folder("wide-csv")
     wide = daily_wide(spark, sf_dir).withColumn("Index", F.date_format("Index", "yyyy-MM-dd HH:mm:ss"))
     for names in (EVENT_TYPES[:2], EVENT_TYPES[2:]):
         columns = [f"`{name}.{metric}`" for name in names for metric in ("n", "value")]
@@ -569,7 +644,7 @@ def wide_csv_job(spark, sf_dir):
     df = load_directory(
         spark, folder, extensions={".csv"}, transforms=steps, csv_infer_schema_length=0
     )
-    return df.drop("file_source").withColumn("n", F.col("n").cast("bigint"))
+    return work.result(df.drop("file_source").withColumn("n", F.col("n").cast("bigint")))
 
 
 @query(
@@ -579,11 +654,12 @@ UNION ALL SELECT o_orderkey, o_orderpriority, o_totalprice, 'part' FROM orders""
 )
 def mixed_directory(spark, sf_dir):
     """One folder holding parquet and CSV files; CSV types are inferred."""
-    folder = scratch_dir(spark, "mixed")
+    work = Workspace(spark)
+    folder = work.folder("mixed")
     df = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     df.write.mode("append").parquet(folder)
     df.write.mode("append").csv(folder, header=True)
-    return load_directory(spark, folder, transforms=[FilenamePart("origin", "-")])
+    return work.result(load_directory(spark, folder, transforms=[FilenamePart("origin", "-")]))
 
 
 def _write_ipc(df: DataFrame, folder: str) -> None:
@@ -615,12 +691,12 @@ SELECT l_orderkey, l_shipdate, l_returnflag, l_tax, 'part' AS origin FROM lineit
 )
 def feather_directory(spark, sf_dir):
     """A folder of Arrow IPC files, read by ranges of record batches."""
-    folder = scratch_dir(spark, "feather")
+    work = Workspace(spark)
+    folder = work.folder("feather")
     columns = ["l_orderkey", "l_shipdate", "l_returnflag", "l_tax"]
     _write_ipc(read(spark, sf_dir, "lineitem").select(*columns), folder)
-    return load_directory(
-        spark, folder, extensions={".feather"}, transforms=[FilenamePart("origin", "-")]
-    )
+    df = load_directory(spark, folder, extensions={".feather"}, transforms=[FilenamePart("origin", "-")])
+    return work.result(df)
 
 
 @query(
@@ -630,19 +706,19 @@ UNION ALL SELECT 'zero_rates', l_returnflag, count(*) FROM lineitem GROUP BY 2""
 )
 def snapshot_read(spark, sf_dir):
     """Datasets of one dated snapshot folder, subfolders included."""
-    root = scratch_dir(spark, "snapshots")
+    work = Workspace(spark)
+    root = work.folder("snapshots")
     friday = last_friday(dt.date(2024, 5, 1))
     par = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("kind"))
     zero = read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("kind"))
     par.write.parquet(snapshot_path(root, "curves", friday, "par") + "/eur")
     zero.write.parquet(snapshot_path(root, "curves", friday, "zero_coupon"))
     found = read_snapshot(spark, root, "curves", friday)
-    return strict_concat(
-        [
-            df.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).withColumn("dataset", F.lit(name))
-            for name, df in found.items()
-        ]
-    )
+    counts = [
+        df.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).withColumn("dataset", F.lit(name))
+        for name, df in found.items()
+    ]
+    return work.result(strict_concat(counts))
 
 
 @query(
@@ -807,14 +883,15 @@ FROM orders WHERE NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')"""
 )
 def update_partitioned(spark, sf_dir):
     """Update and delete on a partitioned table."""
-    store, name = TableStore(spark), f"panelspark_parts_{uuid.uuid4().hex}"
+    store, work = TableStore(spark), Workspace(spark)
+    name = work.table("parts")
     orders = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"
     )
     store.create_table_from(name, orders, partition_by=["o_orderstatus"])
     store.update(name, {"o_totalprice": 0.5}, {"o_custkey": 11})
     store.delete(name, {"o_orderpriority": "1-URGENT", "o_orderstatus": "F"})
-    return store.select(name, ["o_orderkey", "o_totalprice", "o_orderstatus"])
+    return work.result(store.select(name, ["o_orderkey", "o_totalprice", "o_orderstatus"]))
 
 
 @query(
@@ -837,7 +914,8 @@ SELECT * FROM u UNION ALL SELECT -1, 'extra', 0.0"""
 )
 def table_lifecycle(spark, sf_dir):
     """Create, append, skip known keys, insert, update, delete, drop duplicates."""
-    store, name = TableStore(spark), f"panelspark_lifecycle_{uuid.uuid4().hex}"
+    store, work = TableStore(spark), Workspace(spark)
+    name = work.table("lifecycle")
     suppliers = read(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS id", "s_name AS name", "s_acctbal AS balance"
     )
@@ -849,7 +927,7 @@ def table_lifecycle(spark, sf_dir):
     store.remove_duplicates(name)
     store.update(name, {"balance": 1.5}, {"id": 7})
     store.delete(name, {"id": 3})
-    return store.select(name)
+    return work.result(store.select(name))
 
 
 @query(
@@ -858,13 +936,202 @@ SELECT o_orderkey, o_totalprice, 'part' AS origin FROM orders"""
 )
 def directory_to_table(spark, sf_dir):
     """The directory job: scan, transform, create the table, read it."""
-    folder = scratch_dir(spark, "to-table")
+    work = Workspace(spark)
+    folder = work.folder("to-table")
     read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").write.parquet(folder)
-    name = f"panelspark_rates_{uuid.uuid4().hex}"
+    name = work.table("rates")
     load_directories_into_tables(
         spark,
         {name: folder, f"{name}_absent": f"{folder}-absent"},
         extensions={".parquet"},
         transforms=[FilenamePart("origin", "-")],
     )
-    return TableStore(spark).select(name)
+    return work.result(TableStore(spark).select(name))
+
+
+# -- jobs ------------------------------------------------------------------------
+
+
+@query(DAILY_LONG.replace('d AS "Index"', 'd AS "Index", \'part\' AS "EqIndex", TRUE AS traced'))
+def equity_job(spark, sf_dir):
+    """The equity job with its preset as it is; Spark's file names are cut to their first word after it."""
+    work = Workspace(spark)
+    folder, table = work.folder("equity"), work.table("equity")
+    wide = daily_wide(spark, sf_dir).withColumn("Index", F.date_format("Index", "yyyy-MM-dd HH:mm:ss"))
+    for names in (EVENT_TYPES[:2], EVENT_TYPES[2:]):
+        columns = [f"`{name}.{metric}`" for name in names for metric in ("n", "value")]
+        wide.select("Index", *columns).write.mode("append").csv(folder, header=True)
+    load_equity_eod(spark, folder, table)
+    rows = spark.table(table)
+    return work.result(
+        rows.select(
+            "Index", "Stock", F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("n"), F.round("value", 2).alias("value"),
+            F.regexp_extract("EqIndex", "^[a-z]+", 0).alias("EqIndex"),
+            F.endswith("file_source", F.concat("EqIndex", F.lit(".csv"))).alias("traced"),
+        )
+    )
+
+
+def _one_file(df: DataFrame, folder: str, form: str) -> str:
+    """The path of the single file that a table was written to."""
+    df.coalesce(1).write.format(form).option("header", True).save(folder)
+    [path] = list_data_files(folder)
+    return path
+
+
+@query(
+    """
+SELECT c_custkey AS "key", c_name AS name, 'customers' AS "table" FROM customer
+UNION ALL SELECT s_suppkey, s_name, 'suppliers' FROM supplier"""
+)
+def files_to_tables(spark, sf_dir):
+    """One file per table; a file that is not there is skipped."""
+    work = Workspace(spark)
+    names = {kind: work.table(kind) for kind in ("customers", "suppliers", "nothing")}
+    customers = read(spark, sf_dir, "customer").selectExpr("c_custkey AS key", "c_name AS name")
+    suppliers = read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS key", "s_name AS name")
+    paths = {
+        names["customers"]: _one_file(customers, work.folder("customers"), "csv"),
+        names["suppliers"]: _one_file(suppliers, work.folder("suppliers"), "parquet"),
+        names["nothing"]: work.folder("nothing") + "/none.csv",
+    }
+    done = load_files_into_tables(spark, paths)
+    loaded = [kind for kind, name in names.items() if done[name]]
+    return work.result(strict_concat([spark.table(names[k]).withColumn("table", F.lit(k)) for k in loaded]))
+
+
+@query(
+    """
+SELECT n_name AS country, o_orderpriority AS series, year(o_orderdate) AS "year",
+  CAST(count(*) AS DOUBLE) / 2 AS value, substr(o_orderpriority, 1, 1) AS topic
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+GROUP BY 1, 2, 3, 5"""
+)
+def world_bank_job(spark, sf_dir):
+    """Indicator values and their topics from two CSV files into tables, joined again."""
+    work, orders = Workspace(spark), read(spark, sf_dir, "orders")
+    customers, nations = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
+    values = (
+        orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(F.col("n_name").alias("Country Name"), F.col("o_orderpriority").alias("Series Code"), F.year("o_orderdate").alias("Year"))
+        .agg((F.count(F.lit(1)) / 2).alias("Value"))
+    )
+    topics = orders.select(F.col("o_orderpriority").alias("id"), F.substring("o_orderpriority", 1, 1).alias("topic")).distinct()
+    with work.database("bank") as database:
+        load_world_bank(
+            spark,
+            _one_file(topics, work.folder("topics"), "csv"),
+            _one_file(values, work.folder("values"), "csv"),
+        )
+        indicators, mapping = spark.table(f"{database}.indicators"), spark.table(f"{database}.topic_mapping")
+        joined = indicators.join(mapping, indicators["Series Code"] == mapping["id"])
+        return work.result(
+            joined.select(
+                F.col("Country Name").alias("country"), F.col("Series Code").alias("series"),
+                F.col("Year").alias("year"), F.col("Value").alias("value"), F.col("topic").cast("string").alias("topic"),
+            )
+        )
+
+
+@query("SELECT o_orderkey, o_orderstatus, FALSE AS before, TRUE AS after FROM orders")
+def gated_run(spark, sf_dir):
+    """A directory job that is switched off does nothing; switched on it loads."""
+    work = Workspace(spark)
+    folder, name = work.folder("gated"), work.table("gated")
+    read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").write.parquet(folder)
+    seen = []
+    for should_load in (False, True):
+        load_directories_into_tables(spark, {name: folder}, should_load=should_load)
+        seen.append(TableStore(spark).exists(name))
+    return work.result(spark.table(name).withColumns({"before": F.lit(seen[0]), "after": F.lit(seen[1])}))
+
+
+@query(
+    """
+WITH f AS (SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_custkey LIMIT 50),
+n AS (SELECT count(*) AS n FROM customer)
+SELECT c_custkey, 'before' AS side, c_name AS name, c_acctbal AS value, n AS row_count FROM f, n
+UNION ALL SELECT c_custkey, 'after', 'c_acctbal', c_acctbal, n FROM f, n"""
+)
+def preview_sides(spark, sf_dir):
+    """The first rows of a file and of what its transforms make of it."""
+    work = Workspace(spark)
+    rows = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal").orderBy("c_custkey")
+    steps = [{"type": "melt", "index": ["c_custkey", "c_name"], "variable_name": "name"}]
+    before, after = preview_file(spark, _one_file(rows, work.folder("preview"), "csv"), 50, transforms=steps)
+    sides = [
+        before.sample.selectExpr("c_custkey", "'before' AS side", "c_name AS name", "c_acctbal AS value"),
+        after.sample.selectExpr("c_custkey", "'after' AS side", "name", "value"),
+    ]
+    counts = [F.lit(side.row_count).cast("bigint") for side in (before, after)]
+    return work.result(strict_concat([df.withColumn("row_count", n) for df, n in zip(sides, counts)]))
+
+
+@query(
+    """
+SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total, 'parquet' AS kind FROM orders GROUP BY 1
+UNION ALL SELECT o_orderpriority, count(*), round(sum(o_totalprice), 2), 'csv' FROM orders GROUP BY 1"""
+)
+def whole_frame(spark, sf_dir):
+    """A function of the whole frame runs on each group of files, where it finds their paths."""
+    work = Workspace(spark)
+    folder = work.folder("whole-frame")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    orders.write.mode("append").parquet(folder)
+    orders.write.mode("append").csv(folder, header=True)
+
+    def summed(df: DataFrame) -> DataFrame:
+        kind = F.substring_index(PATH_COL, ".", -1).alias("kind")
+        return df.groupBy("o_orderpriority", kind).agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
+        )
+
+    return work.result(load_directory(spark, folder, transform=summed))
+
+
+@query(
+    """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN floor(o_totalprice) ELSE o_totalprice END AS amount,
+  o_orderstatus || CASE WHEN o_orderstatus = 'F' THEN '' ELSE '-open' END AS state FROM orders"""
+)
+def csv_late_types(spark, sf_dir):
+    """CSV files of one header whose first rows, or all rows, look like integers."""
+    work = Workspace(spark)
+    folder = work.folder("late")
+    done = F.col("o_orderstatus") == "F"
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(done, F.floor("o_totalprice").cast("string")).otherwise(F.col("o_totalprice").cast("string")).alias("amount"),
+        F.when(done, F.col("o_orderstatus")).otherwise(F.concat("o_orderstatus", F.lit("-open"))).alias("state"),
+    )
+    first = F.col("state") == "F"
+    orders.where("o_orderkey % 3 = 0").coalesce(1).sortWithinPartitions(~first).write.mode("append").csv(folder, header=True)
+    orders.where("o_orderkey % 3 > 0").where(first).write.mode("append").csv(folder, header=True)
+    orders.where("o_orderkey % 3 > 0").where(~first).write.mode("append").csv(folder, header=True)
+    return work.result(load_directory(spark, folder))
+
+
+@query(
+    """
+SELECT 'appended' AS step, count(*) AS n FROM supplier
+UNION ALL SELECT 'new keys', count(*) FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'inserted', 2
+UNION ALL SELECT 'updated', count(*) FROM supplier WHERE s_nationkey = 3
+UNION ALL SELECT 'deleted', count(*) FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier) AND c_nationkey = 4"""
+)
+def changed_rows(spark, sf_dir):
+    """The numbers of rows that table operations report."""
+    store, work = TableStore(spark), Workspace(spark)
+    name = work.table("counts")
+    suppliers = read(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", "s_nationkey AS a", "-1L AS b")
+    customers = read(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "-1L AS a", "CAST(c_nationkey AS BIGINT) AS b")
+    store.create_table(name, {"id": "bigint", "a": "bigint", "b": "bigint"})
+    counts = {
+        "appended": store.append_to_table(name, suppliers),
+        "new keys": store.append_to_table(name, customers, ["id"]),
+        "inserted": store.insert(name, [{"id": -1, "a": 3}, {"id": -2, "a": 5}]),
+        "updated": store.update(name, {"b": 9}, {"a": 3}) - 1,  # one of them was inserted
+        "deleted": store.delete(name, {"b": 4}),
+    }
+    return work.result(spark.createDataFrame(list(counts.items()), "step string, n bigint"))
