@@ -84,7 +84,9 @@ def pieces(column: pa.Array, size: int = PIECE) -> Iterator[tuple[int, int, np.n
     """(first row, last row + 1, bytes, offsets from 0) of runs of rows of about ``size`` bytes; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -125,8 +127,9 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, which: int = 0) -> np.ndar
         return np.zeros(0, np.uint64)
     data = data[starts[0] :]
     starts = starts - starts[0]
-    at = np.arange(len(data))
-    at -= np.repeat(starts, np.diff(np.append(starts, len(data))))
+    small = np.int32 if len(data) < 1 << 31 else np.int64
+    at = np.arange(len(data), dtype=small)
+    at -= np.repeat(starts.astype(small), np.diff(np.append(starts, len(data))))
     powers = np.full(int(at.max()) + 1, _BASE[which], np.uint64)
     powers[0] = 1
     values = _BYTE[which][data]

@@ -141,18 +141,22 @@ def predict(docs: DataFrame, model: dict, text: str = "text", *columns: Column |
     Texts that are null or without a letter, and all texts under a model that learned nothing,
     are ``und`` with score 0. Ties go to the name that sorts first.
     """
+    asked = docs.select(*columns)
+    with_text = text in asked.columns  # then it travels once
+    rest = [c for c in columns if c != text]
     rows = docs.select(
-        F.struct(*columns).alias("_in"),
-        F.when(F.col(text).rlike(r"\p{L}"), F.col(text)).alias("text"),
+        F.struct(F.lit(0).alias("_"), *rest).alias("_in"),
+        F.col(text).alias("_text"),
+        F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"),
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_BYTES and the sample
-    schema = rows.select("_in").schema.add("lang_pred", "string").add("score", "double")
+    schema = rows.select("_in", *["_text"] * with_text).schema.add("lang_pred", "string").add("score", "double")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            column = batch.column("text")
-            valid = np.array(column.is_valid())
+            column = batch.column("_text")
+            valid = batch.column("_letters").to_numpy(zero_copy_only=False)
             names, scores = np.full(batch.num_rows, UNDETERMINED, object), np.zeros(batch.num_rows)
             if model["langs"]:
                 for first, last, data, offsets in pieces(column):
@@ -162,7 +166,10 @@ def predict(docs: DataFrame, model: dict, text: str = "text", *columns: Column |
                     names[first:last] = np.array(model["langs"], object)[best]
                     scores[first:last] = 1 / np.exp2(-more).sum(axis=1)
             names[~valid], scores[~valid] = UNDETERMINED, 0.0
-            made = [batch.column("_in"), pa.array(names.tolist(), pa.string()), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(made, ["_in", "lang_pred", "score"])
+            made = {"_in": batch.column("_in")} | ({"_text": column} if with_text else {})
+            made |= {"lang_pred": pa.array(names.tolist(), pa.string()), "score": pa.array(scores)}
+            yield pa.RecordBatch.from_arrays(list(made.values()), list(made))
 
-    return rows.mapInArrow(work, schema).select("_in.*", "lang_pred", "score")
+    told = rows.mapInArrow(work, schema)
+    given = [F.col("_text").alias(c) if c == text else F.col("_in").getField(c).alias(c) for c in asked.columns]
+    return told.select(*given, "lang_pred", "score")

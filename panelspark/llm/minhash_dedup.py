@@ -9,7 +9,8 @@ Equal sets are one set from the start. Candidates share a band. Instead of all p
 stars are verified: in each round every document is compared with one pivot of one of its
 buckets, which joins a group of any size in a few linear rounds. Only what then still lies apart
 in a bucket is compared pair by pair: in blocks by signature, then on the full sets, documents of
-the smaller component visiting pages of the larger one. Nothing is capped and no pair is a row.
+the smaller component visiting the pages of the larger one until one links them. Nothing is
+capped and no pair is a row.
 """
 
 from __future__ import annotations
@@ -152,7 +153,7 @@ def _stars(members: DataFrame, round_no: int) -> DataFrame:
 
 def _undecided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """(bucket, doc, component) of the buckets that still hold several components."""
-    members = members.select("bucket", "doc")
+    members = members.select("bucket", "band", "doc")
     if labels is None:
         return members.withColumn("component", F.col("doc"))
     labels = labels.withColumnRenamed("node", "doc")
@@ -161,45 +162,49 @@ def _undecided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(several.filter("lo < hi").select("bucket"), "bucket")
 
 
-def _paged(members: DataFrame) -> DataFrame:
-    """members with their component's size in documents and a page: up to about BLOCK of its documents."""
+def _sized(members: DataFrame) -> DataFrame:
+    """(doc, component, size, page): a component's size in documents; pages hold about BLOCK of them."""
     docs = members.select("doc", "component").distinct()
     sizes = docs.groupBy("component").agg(F.count("*").alias("size"))
-    page = F.xxhash64("component", F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / BLOCK)))
-    return docs.join(sizes, "component").select("doc", "size", page.alias("page"))
+    page = F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / BLOCK))
+    return docs.join(sizes, "component").select("doc", "component", "size", page.alias("page"))
+
+
+def _least_agreement(threshold: int) -> int:
+    share = threshold / 100
+    return int(np.ceil(LANES * share - SIGMAS * np.sqrt(LANES * share * (1 - share))))
+
+
+def _lanes(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, LANES)
 
 
 def _rest(members: DataFrame, lanes: DataFrame, threshold: int) -> DataFrame:
-    """(doc, page, partners): for pairs of one bucket and different components whose signatures are
-    close, the document of the smaller component with its partners on a page of the other."""
+    """(doc, other): documents and the components, no smaller than their own, in which some document
+    shares a bucket with them and has a signature close to theirs. A pair counts in the first of
+    the buckets that it shares."""
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
-    rows = members.join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("n")))
+    rows = members.drop("component").join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("n")))
     rows = rows.join(lanes, "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     rows = rows.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
-    keys = ["bucket", "i", "j"]
-    share = threshold / 100
-    least = np.ceil(LANES * share - SIGMAS * np.sqrt(LANES * share * (1 - share)))
+    keys, least = ["bucket", "i", "j"], _least_agreement(threshold)
 
-    def close(lanes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        parts = range(0, len(a), 20_000)
-        return np.concatenate([(lanes[a[p : p + 20_000]] == lanes[b[p : p + 20_000]]).sum(axis=1) >= least for p in parts])
-
-    def packed(doc, page, size, a, b) -> pa.Table:
-        turn = (size[b] < size[a]) | (size[b] == size[a]) & (doc[b] < doc[a])
-        a, b = np.where(turn, b, a), np.where(turn, a, b)
-        order = np.lexsort((doc[b], page[b], doc[a]))
-        visitor, where, partner = doc[a][order], page[b][order], doc[b][order]
-        new = np.flatnonzero(np.append(True, (visitor[1:] != visitor[:-1]) | (where[1:] != where[:-1]))[: len(order)])
-        partners = pa.ListArray.from_arrays(pa.array(np.append(new, len(order)).astype(np.int32)), pa.array(partner))
-        return pa.table({"doc": visitor[new], "page": where[new], "partners": partners})
+    def close(lanes: np.ndarray, band: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        near = []
+        for p in range(0, len(a), 20_000):
+            same = lanes[a[p : p + 20_000]] == lanes[b[p : p + 20_000]]
+            enough = np.flatnonzero(same.sum(axis=1) >= least)
+            first = same[enough].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+            near.append(p + enough[first == band[a[p + enough]]])
+        return np.concatenate(near)
 
     def work(table: pa.Table) -> pa.Table:
-        doc, component, mine, bucket, i, j, page, size = (
-            table[c].to_numpy() for c in ("doc", "component", "mine", "bucket", "i", "j", "page", "size")
+        doc, component, mine, bucket, band, i, j, size = (
+            table[c].to_numpy() for c in ("doc", "component", "mine", "bucket", "band", "i", "j", "size")
         )
-        lanes = np.frombuffer(b"".join(table["lanes"].to_pylist()), np.uint16).reshape(-1, LANES)
+        lanes = _lanes(table["lanes"])
         new = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
-        out, held, looked = [], [], 0
+        out, held, looked = [np.zeros((0, 2), np.int64)], [], 0
         for lo, hi in zip(new, np.append(new[1:], len(doc))):
             a, b = np.triu_indices(hi - lo, 1)
             a, b = a + lo, b + lo
@@ -211,46 +216,61 @@ def _rest(members: DataFrame, lanes: DataFrame, threshold: int) -> DataFrame:
             if looked > 200_000 or hi == len(doc):
                 a, b = (np.concatenate(x) for x in zip(*held))
                 if len(a):
-                    near = close(lanes, a, b)
-                    out.append(packed(doc, page, size, a[near], b[near]))
+                    near = close(lanes, band, a, b)
+                    a, b = a[near], b[near]
+                    turn = (size[b] < size[a]) | (size[b] == size[a]) & (component[b] < component[a])
+                    a, b = np.where(turn, b, a), np.where(turn, a, b)
+                    out.append(np.unique(np.stack([doc[a], component[b]], axis=1), axis=0))
                 held, looked = [], 0
-        return pa.concat_tables(out) if out else None
+        pairs = np.unique(np.concatenate(out), axis=0)
+        return pa.table({"doc": pairs[:, 0], "other": pairs[:, 1]})
 
-    rows = rows.select(*keys, "doc", "component", "mine", "page", "size", "lanes")
+    rows = rows.select(*keys, "band", "doc", "component", "mine", "size", "lanes")
     rows = rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-    found = rows.mapInArrow(in_runs(keys, work), "doc long, page long, partners array<long>")
-    return found.groupBy("doc", "page").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
-
-
-def _visited(visits: DataFrame, paged: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
-    """The links (a, b) among visits: a page's documents lie ready and visitors pass by, so pairs are
-    never rows; a page with many visitors is laid out several times."""
-    times = visits.groupBy("page").agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("n"))
-    guests = visits.join(times, "page").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("n"))).drop("n")
-    homes = paged.select("doc", "page").join(times, "page")
-    homes = homes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n")
-    homes = homes.withColumn("partners", F.lit(None).cast("array<long>"))
-    columns = ["page", "part", "guest", "doc", "partners"]
-    rows = homes.withColumn("guest", F.lit(0)).select(columns).unionAll(guests.withColumn("guest", F.lit(1)).select(columns))
-    rows = rows.join(texts, "doc").repartition(partitions(rows.sparkSession), "page", "part")
+    return rows.mapInArrow(in_runs(keys, work), "doc long, other long").distinct()
+
+
+def _visited(visits: DataFrame, sized: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """Links (a, b) between visitors and components, one for each page at most.
+
+    The documents of a page lie ready and visitors pass by, so pairs are never rows. A page with
+    many visitors is laid out several times. ``texts`` has doc, text and lanes.
+    """
+    pages = sized.groupBy("component").agg(F.max("page").alias("last")).withColumnRenamed("component", "other")
+    guests = visits.join(pages, "other").withColumn("page", F.explode(F.sequence(F.lit(0), "last"))).drop("last")
+    times = guests.groupBy("other", "page").agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("n"))
+    guests = guests.join(times, ["other", "page"]).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("n")))
+    homes = sized.select("doc", F.col("component").alias("other"), "page").join(times, ["other", "page"])
+    homes = homes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    keys, least = ["other", "page", "part"], _least_agreement(threshold)
+    rows = homes.select(*keys, F.lit(0).alias("guest"), "doc").unionAll(guests.select(*keys, F.lit(1).alias("guest"), "doc"))
+    rows = rows.join(texts, "doc").repartition(partitions(rows.sparkSession), *keys)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, at = {}, None
+        here, at = [], None  # (doc, set, lanes) of the page
         for batch in batches:
             sets = [s for _, sets in shingle_sets(batch.column("text"), width) for s in sets]
-            names = [batch.column(c).to_pylist() for c in columns]
+            names = [batch.column(c).to_pylist() for c in (*keys, "guest", "doc")]
             links = []
-            for mine, page, part, guest, doc, partners in zip(sets, *names):
-                if at != (page, part):
-                    here, at = {}, (page, part)
+            for mine, lane, *key, guest, doc in zip(sets, _lanes(batch.column("lanes")), *names):
+                if at != key:
+                    here, at, table = [], key, None
                 if not guest:
-                    here.setdefault(doc, []).append(mine)
+                    here.append((doc, mine, lane))
                     continue
-                links += [(doc, b) for b in partners if any(_linked(mine, s, threshold) for s in here.get(b, ()))]
+                if table is None:
+                    table = np.array([x[2] for x in here])
+                near = (table == lane).sum(axis=1)
+                for k in np.argsort(-near, kind="stable"):
+                    if near[k] < least:
+                        break
+                    if _linked(mine, here[k][1], threshold):
+                        links.append((doc, here[k][0]))
+                        break
             a, b = (pa.array(c, pa.int64()) for c in (zip(*links) if links else ([], [])))
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
-    return rows.sortWithinPartitions("page", "part", "guest").mapInArrow(work, "a long, b long")
+    return rows.sortWithinPartitions(*keys, "guest").mapInArrow(work, "a long, b long")
 
 
 def near_duplicates(
@@ -273,7 +293,7 @@ def near_duplicates(
     copies = saved(of_set.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "near-copies")
     reps = features.join(copies.select(F.col("a").alias("doc_id")), "doc_id", "left_anti").filter("n_shingles > 0")
     reps = reps.filter("doc_id IS NOT NULL")
-    buckets = reps.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"))
+    buckets = reps.select(F.posexplode("bands").alias("band", "bucket"), F.col("doc_id").alias("doc"))
     shared = buckets.groupBy("bucket").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi")
     members = saved(buckets.join(shared.select("bucket"), "bucket"), "near-buckets")
     involved = members.select("doc").distinct()
@@ -286,10 +306,11 @@ def near_duplicates(
         links = found if links is None else links.unionAll(found)
         labels = saved(components(links, f"near-{round_no}"), f"near-labels-{round_no}")
     members = saved(_undecided(members, labels), "near-open")
-    paged = saved(_paged(members), "near-pages")
-    lanes = reps.select(F.col("doc_id").alias("doc"), "lanes").join(paged, "doc")
-    visits = saved(_rest(members, lanes, threshold), "near-visits")
-    links = links.unionAll(saved(_visited(visits, paged, texts, width, threshold), "near-links"))
+    sized = saved(_sized(members), "near-sizes")
+    lanes = reps.select(F.col("doc_id").alias("doc"), "lanes")
+    visits = saved(_rest(members, lanes.join(sized.drop("page"), "doc"), threshold), "near-visits")
+    texts = texts.join(lanes, "doc")
+    links = links.unionAll(saved(_visited(visits, sized, texts, width, threshold), "near-links"))
     groups = components(links.unionAll(copies), "near").withColumnRenamed("node", "doc_id")
     out = features.select("doc_id", "n_shingles").join(groups, "doc_id", "left")
     component = F.coalesce("component", "doc_id")

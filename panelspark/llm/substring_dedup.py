@@ -35,7 +35,7 @@ from panelspark.llm.common import (
 )
 
 #: Words of the shortest repeat; bytes of text per chunk.
-SPAN, CHUNK = 35, 1 << 21
+SPAN, CHUNK = 35, 1 << 20
 
 _BASES = (0xD1342543DE82EF95, 0x2545F4914F6CDD1D)
 _CHUNKS = "chunk long, ids array<long>, ends array<long>, data binary"
@@ -63,9 +63,8 @@ class _Chunk:
     def __init__(self, row: dict):
         self.data = row["data"]
         data, self.offsets = np.frombuffer(self.data, np.uint8), np.append(0, row["ends"]).astype(np.int64)
-        starts, self.before = word_starts(data, self.offsets)
-        self.n = len(starts)
-        self._words = [word_hashes(data, starts, which) for which in (0, 1)]
+        self._starts, self.before = word_starts(data, self.offsets)
+        self.n = len(self._starts)
         self._left = np.repeat(self.before[1:], np.diff(self.before)) - np.arange(self.n)
         self.in_text = np.arange(self.n) - np.repeat(self.before[:-1], np.diff(self.before))
 
@@ -79,7 +78,8 @@ class _Chunk:
         powers, back = np.full(self.n + 1, base, np.uint64), np.full(self.n + 1, pow(base, -1, 2**64), np.uint64)
         powers[0] = back[0] = 1
         sums = np.zeros(self.n + 1, np.uint64)
-        np.cumsum(self._words[which] * np.multiply.accumulate(powers)[: self.n], out=sums[1:])
+        words = word_hashes(np.frombuffer(self.data, np.uint8), self._starts, which)
+        np.cumsum(words * np.multiply.accumulate(powers)[: self.n], out=sums[1:])
         return mix((sums[starts + length] - sums[starts]) * np.multiply.accumulate(back)[starts])
 
 
