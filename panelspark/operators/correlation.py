@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from panelspark.config import DEFAULT_TENORS, DEFAULT_WINDOWS
 from panelspark.functions.rolling import rolling_distance_correlation, rolling_pearson
 from panelspark.names import c
-from panelspark.operators.panel import Calendar, Layout, packed_series, source_pairs
+from panelspark.operators.panel import Layout, PanelIndex, packed_series, source_pairs
 
 PEARSON = "pearson"
 DCORR = "dcorr"
@@ -79,13 +79,15 @@ def window_correlations(
     *,
     block: int | None = None,
     tile: int = TILE_SOURCES,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Rolling correlations of every source pair, all windows and methods at once.
 
     ``panel`` has ``date``, ``source`` and one numeric column per observable. Rows
     without a date are left out; NaN and infinite values count as missing.
     Result: ``date, Correlation, observable, source1, source2, window_size,
-    corr_type`` with ``source1 < source2``.
+    corr_type`` with ``source1 < source2``. ``tasks`` divides the work over more tasks than
+    there are shuffle partitions; :func:`tasks_for` tells how many it is worth.
 
     * ``pearson``: a row for every calendar date and pair; partial frames count,
       null below ``window // 3`` complete observations.
@@ -105,8 +107,8 @@ def window_correlations(
         F.coalesce(F.col("source").cast("string"), F.lit("null")).alias("source"),
         *[c(name).cast("double").alias(name) for name in observables],
     )
-    cal = Calendar(panel)
-    pairs = source_pairs(packed_series(panel, observables, cal, layout))
+    index = PanelIndex(panel, layout.tile)
+    pairs = source_pairs(packed_series(panel, observables, index, layout), tasks)
     lists = [f"{method}_{w}" for method in methods for w in windows]
     results = [
         f"struct({w} AS window_size, '{method}' AS corr_type, cell.{method}_{w} AS Correlation)"
@@ -131,12 +133,25 @@ def window_correlations(
         # distance correlation is reported for full windows only
         .where(f"corr_type = '{PEARSON}' OR d_idx >= window_size - 1")
         .select(
-            cal.date_at(F.col("d_idx")).alias("date"),
+            index.date_at(F.col("d_idx")).alias("date"),
             "Correlation", "observable", "source1", "source2", "window_size", "corr_type",
         )
     )
 
 
+# Pair blocks (two tiles of sources over one block of dates, one observable) per task.
+_PAIR_BLOCKS = 8
+
+
+def tasks_for(
+    dates: int, sources: int, observables: int, windows: Sequence[int], tile: int = TILE_SOURCES
+) -> int:
+    """Tasks that a panel of this size is worth."""
+    block = max(BLOCK_DATES, max(windows) - 1)
+    tiles = -(-max(sources, 1) // tile)
+    return -(-(-(-dates // block) * tiles * (tiles + 1) // 2 * observables) // _PAIR_BLOCKS)
+
+
 def rolling_correlation(
     panel: DataFrame,
     window: int = 252,

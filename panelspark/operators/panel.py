@@ -21,24 +21,29 @@ from pyspark.sql import functions as F
 from panelspark.names import c, literal
 
 
-class Calendar:
-    """Numbering of the distinct dates of a panel, usable inside expressions.
-
-    Held as one scalar subquery: the sorted days and, per calendar day since the
-    first, the number of the latest panel date. Its size depends on the span of
-    the dates alone (Spark's date type ends at 3.65 million days, about 30 MB;
-    20 years of history are 60 KB), never on the number of rows or sources.
+class PanelIndex:
+    """Dates and sources of a panel, usable inside expressions; found in one pass over it.
+
+    Held as one scalar subquery: the sorted days and, per calendar day since the first, the
+    number of the latest panel date; and the sorted sources. Its size depends on the span of
+    the dates (Spark's date type ends at 3.65 million days, about 30 MB; 20 years of history are
+    60 KB) and on the number of sources, whose pairs are the result; never on the number of rows.
+    Both sets are combined on the map side.
     """
 
-    def __init__(self, panel: DataFrame, date: str = "date"):
+    def __init__(self, panel: DataFrame, tile: int, date: str = "date", source: str = "source"):
         by_day = """flatten(transform(days, (day, i) ->
             array_repeat(i, coalesce(datediff(get(days, i + 1), day), 1))))"""
+        self._spark = panel.sparkSession
         self._value = (
-            panel.select(c(date).alias("date"))
-            .where("date IS NOT NULL")
-            .distinct()
-            .agg(F.expr("sort_array(collect_list(date))").alias("days"))
-            .selectExpr(f"struct(days, size(days) AS n, get(days, 0) AS first, {by_day} AS by_day)")
+            panel.agg(
+                F.sort_array(F.collect_set(c(date))).alias("days"),
+                F.sort_array(F.collect_set(c(source))).alias("sources"),
+            )
+            .selectExpr(
+                f"""struct(days, size(days) AS n, get(days, 0) AS first, {by_day} AS by_day, sources,
+                int(ceil(greatest(size(sources), 1) / {tile})) AS tiles)"""
+            )
             .scalar()
         )
 
@@ -46,12 +51,23 @@ class Calendar:
     def size(self) -> Column:
         return self._value["n"]
 
+    @property
+    def tiles(self) -> Column:
+        """Number of tiles the sources are to be spread over."""
+        return self._value["tiles"]
+
     def index_of(self, date: Column) -> Column:
         return F.get(self._value["by_day"], F.datediff(date, self._value["first"]))
 
     def date_at(self, index: Column) -> Column:
         return F.get(self._value["days"], index)
 
+    def sources(self) -> DataFrame:
+        """One row per source, with the numbers of dates (``n``) and tiles."""
+        one = self._spark.range(1, numPartitions=1)
+        whole = one.select(self._value["sources"].alias("all"), self.size.alias("n"), self.tiles.alias("tiles"))
+        return whole.select(F.explode("all").alias("source"), "n", "tiles")
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -92,7 +108,7 @@ class Layout:
 
 
 def packed_series(
-    panel: DataFrame, observables: Sequence[str], cal: Calendar, layout: Layout
+    panel: DataFrame, observables: Sequence[str], index: PanelIndex, layout: Layout
 ) -> DataFrame:
     """One aligned array per (observable, block, source): ``v[i]`` or null per date.
 
@@ -102,19 +118,14 @@ def packed_series(
     has a row for every block, as the pairs of a block are formed from all sources
     of the panel. A repeated (date, source) fails the query.
     """
-    sources = panel.select("source").distinct()
-    # asked for here, so that it is counted along with the calendar
-    tiles = sources.agg(
-        F.ceil(F.greatest(F.count(F.lit(1)), F.lit(1)) / layout.tile).cast("int")
-    ).scalar()
     names = [f"v{i}" for i in range(len(observables))]
     values = ", ".join(names)
     reports = (
         panel.select(
             "source",
-            cal.index_of(F.col("date")).alias("d_idx"),
-            cal.size.alias("n"),
-            tiles.alias("tiles"),
+            index.index_of(F.col("date")).alias("d_idx"),
+            index.size.alias("n"),
+            index.tiles.alias("tiles"),
             # NaN counts as missing
             *[F.nanvl(c(name), F.lit(None)).alias(v) for name, v in zip(observables, names)],
         )
@@ -125,7 +136,7 @@ def packed_series(
         )
     )
     presence = (
-        sources.select("source", cal.size.alias("n"), tiles.alias("tiles"))
+        index.sources()
         .selectExpr(
             "source",
             "n",
@@ -174,19 +185,20 @@ def packed_series(
 PAIR_KEYS = ("observable", "block", "tile1", "tile2")
 
 
-def source_pairs(series: DataFrame) -> DataFrame:
+def source_pairs(series: DataFrame, tasks: int | None = None) -> DataFrame:
     """All unordered source pairs of every (observable, block), as array pairs.
 
     Sources are hashed into about ``N / tile`` tiles; a pair belongs to exactly one
     (tile1 <= tile2), and each series is sent to the tile pairs it takes part in.
     A task therefore sees at most two tiles of one block, and the shuffle carries
     packed arrays, ``N / tile`` copies each, rather than ``N`` rows per value.
+    ``tasks`` is the number of tasks to divide them over, at least the usual number.
     """
     # not left to AQE: it would size partitions by these small arrays, although
     # each of them stands for all its pairs
     spark = series.sparkSession
     partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, tasks or 1
     )
     grouped = (
         series.selectExpr("*", "int(pmod(xxhash64(source), tiles)) AS tile")

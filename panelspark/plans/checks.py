@@ -272,6 +272,28 @@ def nations_pearson(spark, sf_dir):
     return rounded(window_correlations(panel, ["price"], [60], [PEARSON]))
 
 
+SEGMENTS_PANEL = """
+o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, n_name || c_mktsegment AS source,
+        sum(o_totalprice) AS price
+      FROM orders JOIN customer ON o_custkey = c_custkey
+      JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)"""
+
+
+@query(pearson_sql(SEGMENTS_PANEL, "price", [12]))
+def segments_pearson(spark, sf_dir):
+    """7,750 pairs in several tiles: monthly order value by customer nation and segment."""
+    panel = (
+        read(spark, sf_dir, "orders")
+        .join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(
+            F.trunc("o_orderdate", "month").alias("date"), F.concat("n_name", "c_mktsegment").alias("source")
+        )
+        .agg(F.sum("o_totalprice").alias("price"))
+    )
+    return rounded(window_correlations(panel, ["price"], [12], [PEARSON]))
+
+
 @query(
     f"""
 WITH zero AS ({pearson_sql(ORDERS_PANEL, "price", [20])}),

@@ -20,7 +20,7 @@ from panelspark.config import (
     WINDOW_CORR_KEY,
     WINDOW_CORR_TABLE,
 )
-from panelspark.operators.correlation import DCORR, PEARSON, window_correlations
+from panelspark.operators.correlation import DCORR, PEARSON, tasks_for, window_correlations
 from panelspark.operators.coverage import coverage
 from panelspark.operators.keyed import deduplicate, matches, upsert
 from panelspark.operators.tables import TableStore, align_to
@@ -124,7 +124,9 @@ class CorrelationArtefacts:
             known, todo = known | set(tenors), sorted(ready | set(windows))
             ready = set()
         staged = f"{self.folder}/_staged-{uuid.uuid4().hex}"
-        rows = window_correlations(df, sorted(known), todo, list(ARTEFACT_PREFIX))
+        size = df.agg(F.count_distinct("date").alias("dates"), F.count_distinct("source").alias("sources")).first()
+        tasks = tasks_for(size["dates"], size["sources"], len(known), todo)
+        rows = window_correlations(df, sorted(known), todo, list(ARTEFACT_PREFIX), tasks=tasks)
         rows.write.partitionBy("corr_type", "window_size").parquet(staged)
         for method, path in paths.items():
             hadoop.delete(f"{path}/_complete")

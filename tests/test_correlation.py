@@ -6,7 +6,7 @@ import pytest
 
 from panelspark.functions.rolling import rolling_distance_correlation, rolling_pearson
 from panelspark.operators.correlation import (
-    correlation_matrix, rolling_correlation, window_correlations,
+    correlation_matrix, rolling_correlation, tasks_for, window_correlations,
 )
 
 
@@ -136,3 +136,19 @@ def test_two_shuffles_of_values(spark, wide, plan):
     assert text.count("REPARTITION_BY_NUM") == 1 and text.count("REPARTITION_BY_COL") == 1
     assert "Cartesian" not in text and "NestedLoop" not in text and "Join" not in text
     assert text.count("ArrowEvalPython") == 1
+
+
+def test_panel_is_read_twice(spark, wide, plan, tmp_path):
+    panel = spark.createDataFrame(wide, "date date, source string, a double, b double")
+    panel.write.parquet(str(tmp_path / "panel"))
+    df = window_correlations(spark.read.parquet(str(tmp_path / "panel")), ["a", "b"], [5])
+    text = df._jdf.queryExecution().executedPlan().toString()
+    scans = {line.split("FileScan")[1].split("]")[0] for line in text.splitlines() if "FileScan" in line}
+    assert len(scans) == 2 and "subquery" in text.lower()
+    subqueries = {part.split()[0] for part in text.split("subquery#")[1:]}
+    assert len({name.rstrip(",") for name in subqueries}) <= 8
+
+
+def test_tasks_follow_the_work():
+    assert tasks_for(100, 3, 1, [20]) == 1
+    assert tasks_for(5000, 10_000, 13, [20, 90]) == -(-40 * 157 * 158 // 2 * 13 // 8)
