@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import language_id, line_dedup, minhash_dedup, mixing, packing
-from panelspark.llm.common import saved, table
+from panelspark.llm.common import done_with, saved, table
 
 #: A document whose best language has less than this share of the probability is rejected.
 LEAST_SCORE = 0.5
@@ -65,7 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before is not None:
+            done_with(before)
+        before = docs
+    return docs

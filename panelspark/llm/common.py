@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.session import scratch_dir
+from panelspark.sources import hadoop
 
 #: Whitespace of every contract here, as a Java and Python regular expression class.
 SPACES = r"[\x20\x09-\x0D]"
@@ -42,7 +43,14 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     with _setting(spark, _CLEANUP, "true"):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._scratch = path
+    return made
+
+
+def done_with(df: DataFrame) -> None:
+    """Delete what :func:`saved` wrote, once nothing that is still to run reads it."""
+    hadoop.delete(df._scratch)
 
 
 def set_aside(docs: DataFrame, text: str, *more) -> DataFrame:
@@ -176,6 +184,12 @@ def ranges(hashes: np.ndarray, n: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
+def n_ranges_for(chunks: DataFrame, chunk_bytes: int, range_bytes: int = 1 << 28) -> int:
+    """Hash ranges such that a range gets the hashes of about ``range_bytes`` of text, and no fewer
+    than shuffle partitions or 64."""
+    return max(64, partitions(chunks.sparkSession), chunks.count() * chunk_bytes // range_bytes)
+
+
 def groups(keys: np.ndarray) -> list[tuple[int, int]]:
     """(first, last + 1) of each run of equal keys."""
     new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
@@ -211,11 +225,13 @@ def components(edges: DataFrame, label: str, most: int = 40) -> DataFrame:
             break
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        edges = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        edges = saved(edges, f"{label}-large")
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        down = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = saved(large, f"{label}-large")
+        done_with(edges)
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        down = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = saved(down.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), f"{label}-small")
+        done_with(large)
         after = _digest(edges)
         if after == before:
             break

@@ -22,7 +22,7 @@ from panelspark.llm.common import (
     groups,
     in_runs,
     mix,
-    partitions,
+    n_ranges_for,
     pieces,
     ranges,
     saved,
@@ -308,7 +308,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         F.coalesce(training, F.lit(False)).alias("training"),
     )
     chunks = saved(rows.mapInArrow(_chunked, _CHUNKS), "lm-chunks")
-    n_ranges = max(64, partitions(spark))
+    n_ranges = n_ranges_for(chunks, CHUNK)
     bits = most_bytes * 8 // (2 * n_ranges)
 
     def by_range(packed: DataFrame, work, schema: str, label: str) -> DataFrame:

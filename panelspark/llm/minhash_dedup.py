@@ -22,7 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import LOWER, components, in_runs, mix, partitions, pieces, saved, word_hashes, word_starts
+from panelspark.llm.common import (
+    LOWER,
+    components,
+    done_with,
+    in_runs,
+    mix,
+    partitions,
+    pieces,
+    saved,
+    word_hashes,
+    word_starts,
+)
 
 #: Bands and lanes per band. Two sets of similarity 0.8 share no band with probability 5e-5.
 BANDS, ROWS = 25, 5
@@ -162,6 +173,12 @@ def _undecided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(several.filter("lo < hi").select("bucket"), "bucket")
 
 
+def _narrowed(members: DataFrame, labels: DataFrame | None, label: str) -> DataFrame:
+    left = saved(_undecided(members, labels), label)
+    done_with(members)
+    return left
+
+
 def _sized(members: DataFrame) -> DataFrame:
     """(doc, component, size, page): a component's size in documents; pages hold about BLOCK of them."""
     docs = members.select("doc", "component").distinct()
@@ -301,11 +318,11 @@ def near_duplicates(
 
     links, labels = None, None
     for round_no in range(rounds):
-        members = saved(_undecided(members, labels), f"near-open-{round_no}")
+        members = _narrowed(members, labels, f"near-open-{round_no}")
         found = saved(_verified(_stars(members, round_no), texts, width, threshold), f"near-links-{round_no}")
         links = found if links is None else links.unionAll(found)
         labels = saved(components(links, f"near-{round_no}"), f"near-labels-{round_no}")
-    members = saved(_undecided(members, labels), "near-open")
+    members = _narrowed(members, labels, "near-open")
     sized = saved(_sized(members), "near-sizes")
     lanes = reps.select(F.col("doc_id").alias("doc"), "lanes")
     visits = saved(_rest(members, lanes.join(sized.drop("page"), "doc"), threshold), "near-visits")

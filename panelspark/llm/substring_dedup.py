@@ -24,7 +24,7 @@ from panelspark.llm.common import (
     groups,
     in_runs,
     mix,
-    partitions,
+    n_ranges_for,
     pieces,
     ranges,
     saved,
@@ -242,10 +242,10 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, key: str = "doc_id", text:
     """
     if span < 3:
         raise ValueError("a span has at least three words")
-    spark, block = docs.sparkSession, (span + 1) // 2
+    block = (span + 1) // 2
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     chunks = saved(rows.mapInArrow(_chunked, _CHUNKS), "repeats-chunks")
-    n_ranges = max(64, partitions(spark))
+    n_ranges = n_ranges_for(chunks, CHUNK)
 
     def answers(sent: DataFrame, meet, name: str) -> DataFrame:
         dealt = sent.repartition(n_ranges, "range").sortWithinPartitions("range")
