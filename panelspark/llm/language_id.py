@@ -143,7 +143,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", *columns: Column |
     """
     asked = docs.select(*columns)
     with_text = text in asked.columns  # then it travels once
-    rest = [c for c in columns if c != text]
+    rest = [c for c in columns if not (isinstance(c, str) and c == text)]
     rows = docs.select(
         F.struct(F.lit(0).alias("_"), *rest).alias("_in"),
         F.col(text).alias("_text"),

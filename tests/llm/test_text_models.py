@@ -23,7 +23,9 @@ def test_languages_held_out(docs):
     df = docs(rows, clash=True)
     model = language_id.train(df)
     assert model["langs"] == ["aa", "bb", "cc"]
-    out = language_id.predict(df, model, "text", "doc_id", "component").collect()
+    flag = (F.col("doc_id") > 5).alias("flag")
+    out = language_id.predict(df, model, "text", "doc_id", flag, "component").collect()
+    assert all(r["flag"] == (r["doc_id"] > 5) for r in out)
     truth = {i: lang for i, lang in enumerate(sorted(SYLLABLES) * 40)}
     assert len(out) == 120 and sum(r["lang_pred"] == truth[r["doc_id"]] for r in out) >= 118
     assert all(0 <= r["score"] <= 1 and r["component"] == "x" for r in out)
