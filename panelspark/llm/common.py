@@ -42,7 +42,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     with _setting(spark, _CLEANUP, "true"):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     made = spark.read.schema(df.schema).parquet(path)
     made._scratch = path
     return made

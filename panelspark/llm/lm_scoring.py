@@ -42,7 +42,7 @@ PAIR, PRIOR = 0.5, 2.0
 _END, _START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
-_CHUNKS = "chunk long, ids array<long>, held array<boolean>, ends array<int>, words binary, trained binary, wide boolean, stream binary"
+_CHUNKS = "chunk long, ids array<long>, held array<boolean>, ends array<int>, words binary, trained binary, low binary, high binary"
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +63,8 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, stream = np.unique(tokens, return_inverse=True)
             training = np.repeat(trains[first:last], np.diff(np.append(0, ends)))
             trained = np.bincount(stream[training], minlength=len(words)).astype(np.int64)
-            wide = len(words) > 1 << 16
+            # numbers in two planes: the upper one is mostly zeros and packs well
+            high = (stream >> 16).astype(np.uint8 if len(words) <= 1 << 24 else np.uint32)
             columns = [
                 pa.array([number], pa.int64()),
                 pa.array([batch.column("doc_id").slice(first, n).to_pylist()], pa.list_(pa.int64())),
@@ -71,15 +72,19 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([ends.tolist()], pa.list_(pa.int32())),
                 pa.array([words.tobytes()], pa.binary()),
                 pa.array([trained.astype(np.uint32).tobytes()], pa.binary()),
-                pa.array([wide]),
-                pa.array([stream.astype(np.uint32 if wide else np.uint16).tobytes()], pa.binary()),
+                pa.array([stream.astype(np.uint16).tobytes()], pa.binary()),
+                pa.array([high.tobytes() if len(words) > 1 << 16 else b""], pa.binary()),
             ]
             number += 1
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CHUNKS.split(", ")])
 
 
 def _stream(row: dict) -> np.ndarray:
-    return np.frombuffer(row["stream"], np.uint32 if row["wide"] else np.uint16).astype(np.int64)
+    numbers = np.frombuffer(row["low"], np.uint16).astype(np.int64)
+    if row["high"]:
+        wide = np.uint8 if len(row["high"]) == len(numbers) else np.uint32
+        numbers |= np.frombuffer(row["high"], wide).astype(np.int64) << 16
+    return numbers
 
 
 def _pairs(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -319,7 +324,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     words = words.mapInArrow(_packed_words(n_ranges), "range long, chunk long, hashes binary, counts binary")
     schema = "range long, chunk long, counts binary, bits binary, size long, least double, n_words long, n_tokens long"
     answers = by_range(words, _answers(bits), schema, "lm-answers")
-    pairs = chunks.select("words", "held", "ends", "wide", "stream")
+    pairs = chunks.select("words", "held", "ends", "low", "high")
     pairs = pairs.mapInArrow(_packed_pairs(n_ranges), "range long, hashes binary, more binary")
     pair_filters = by_range(pairs, _pair_filters(bits), "range long, bits binary, size long, least double", "lm-pairs")
 
