@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,7 +49,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
         base = os.path.join(tempfile.gettempdir(), "panelspark-scratch")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ import pytest
 from panelspark.operators.concat import strict_concat
 from panelspark.operators.steps import build_transforms
 from panelspark.operators.transforms import FilenamePart, FileSource, LitColumn, Melt, SourceFromFilename
+from panelspark.session import scratch_dir
 from panelspark.sources import files
 from panelspark.sources.preview import preview_file
 from panelspark.sources.readers import load_directory, read_file
@@ -188,3 +189,17 @@ def test_parquet_folder_as_file(spark, tmp_path):
     path = str(tmp_path / "big.parquet")
     spark.range(10).repartition(3).write.parquet(path)
     assert read_file(spark, path).count() == 10
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    class Session:
+        def __init__(self, master, folder):
+            self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder)})
+            self.sparkContext = type("Context", (), {"master": master})
+
+    assert scratch_dir(Session("yarn", "hdfs://x/tmp/"), "a").startswith("hdfs://x/tmp/a-")
+    for master in ("local", "local[4]"):
+        assert "/panelspark-scratch/a-" in scratch_dir(Session(master, None), "a")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_dir(Session(master, None), "a")
