@@ -38,8 +38,9 @@ from panelspark.llm.common import (
 #: Bands and lanes per band. Two sets of similarity 0.8 share no band with probability 5e-5.
 BANDS, ROWS = 25, 5
 LANES = BANDS * ROWS
-#: Star rounds before the rest of a bucket is compared pair by pair, documents per block.
-ROUNDS, BLOCK = 3, 128
+#: Star rounds before the rest of a bucket is compared pair by pair: at most so many, and none
+#: after one that links under FEW of the documents still apart. Documents per block.
+ROUNDS, FEW, BLOCK = 6, 0.05, 128
 #: Signatures that agree in fewer lanes than this many standard deviations below the threshold
 #: are not candidates (one sided: 3e-5).
 SIGMAS = 4.0
@@ -321,7 +322,9 @@ def near_duplicates(
         members = _narrowed(members, labels, f"near-open-{round_no}")
         found = saved(_verified(_stars(members, round_no), texts, width, threshold), f"near-links-{round_no}")
         links = found if links is None else links.unionAll(found)
-        labels = saved(components(links, f"near-{round_no}"), f"near-labels-{round_no}")
+        labels = components(links, f"near-{round_no}")
+        if found.count() < FEW * members.select("doc").distinct().count():
+            break
     members = _narrowed(members, labels, "near-open")
     sized = saved(_sized(members), "near-sizes")
     lanes = reps.select(F.col("doc_id").alias("doc"), "lanes")
