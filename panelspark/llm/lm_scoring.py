@@ -312,7 +312,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         F.col(text).cast("string").alias("text"),
         F.coalesce(training, F.lit(False)).alias("training"),
     )
-    chunks = saved(rows.mapInArrow(_chunked, _CHUNKS), "lm-chunks")
+    chunks = saved(rows.mapInArrow(_chunked, _CHUNKS), "lm-chunks", "zstd")
     n_ranges = n_ranges_for(chunks, CHUNK)
     bits = most_bytes * 8 // (2 * n_ranges)
 

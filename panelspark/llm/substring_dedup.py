@@ -244,7 +244,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, key: str = "doc_id", text:
         raise ValueError("a span has at least three words")
     block = (span + 1) // 2
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    chunks = saved(rows.mapInArrow(_chunked, _CHUNKS), "repeats-chunks")
+    chunks = saved(rows.mapInArrow(_chunked, _CHUNKS), "repeats-chunks", "zstd")
     n_ranges = n_ranges_for(chunks, CHUNK)
 
     def answers(sent: DataFrame, meet, name: str) -> DataFrame:
