@@ -36,12 +36,17 @@ def _setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def letting_go(spark: SparkSession):
+    """Inside, shuffle files go with the query that made them."""
+    return _setting(spark, _CLEANUP, "true")
+
+
 def saved(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a table into the shared scratch folder and read it back: cuts the lineage, survives
     lost executors, and lets go of the shuffle files that made it."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    with _setting(spark, _CLEANUP, "true"):
+    with letting_go(spark):
         df.write.option("compression", compression).parquet(path)
     made = spark.read.schema(df.schema).parquet(path)
     made._scratch = path

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import saved
+from panelspark.llm.common import letting_go, saved
 from panelspark.session import scratch_dir
 
 #: Bytes of a block in one record, bytes of a chunk of an HTTP body, rows of an archive file.
@@ -145,7 +145,9 @@ def write_warc(
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["value"])
 
     made = rows.mapInArrow(work, "value binary").select(F.col("value").cast("string"))
-    made.write.option("lineSep", _GAP).option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).text(path)
+    writer = made.write.option("lineSep", _GAP).option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS)
+    with letting_go(pages.sparkSession):
+        writer.text(path)
 
 
 def _streamed(content: bytes) -> Iterator[bytes]:
