@@ -1,11 +1,12 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Texts become chunks: a row holds some texts as one stream of numbers of the chunk's own words.
-Words and pairs of words are sent, packed by hash range, to be counted; a range answers each
-chunk with exact word counts and adds its part of a Bloom filter, in which an n-gram of count c
-is entered once per step of its logarithm. The filter goes to all workers; probing an n-gram
-step by step until one is missing gives its quantised count, and smoothed counts give the
-probabilities. A word that is in every text is one number per chunk, so no key is hot.
+Words and pairs of words are sent, packed by hash range, to be counted. A range makes its part of
+a Bloom filter, in which an n-gram of count c is entered once per step of its logarithm, and
+answers each chunk with exact word counts and the steps of its n-grams: probing an n-gram step by
+step until one is missing gives its quantised count, and smoothed counts give the probabilities.
+The filter grows with the distinct n-grams and is never in one place. A word that is in every
+text is one number per chunk, so no key is hot.
 """
 
 from __future__ import annotations
@@ -34,9 +35,11 @@ from panelspark.llm.common import (
 
 #: Bytes of text per chunk.
 CHUNK = 1 << 21
-#: The filter's size is at most MOST_BYTES; an entry has BITS bits, an n-gram's count is kept to a
-#: factor of BASE. Where entries would not fit, those of the smallest counts are left to back-off.
+#: A hash range has the n-grams of about MOST_BYTES of text, all of which are entered; an entry has
+#: BITS bits, an n-gram's count is kept to a factor of BASE.
 MOST_BYTES, BITS, HASHES, BASE = 64 << 20, 8, 3, 1.5
+#: N-grams probed at a time.
+_PROBED = 1 << 20
 #: Weight of the count of a pair: count of the first word / (that + PRIOR), times PAIR.
 PAIR, PRIOR = 0.5, 2.0
 _END, _START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -124,7 +127,6 @@ def _packed_pairs(n_ranges: int):
                 _, which, hashes = _pairs(row)
                 training = np.repeat(~np.array(row["held"]), np.diff(np.append(0, row["ends"])))
                 counts = np.bincount(which[training], minlength=len(hashes))
-                hashes, counts = hashes[counts > 0], counts[counts > 0]
                 order = np.argsort(hashes)
                 hashes, counts = hashes[order], counts[order]
                 cuts = np.searchsorted(ranges(hashes, n_ranges), np.arange(n_ranges + 1))
@@ -132,10 +134,12 @@ def _packed_pairs(n_ranges: int):
                 # once, mostly: larger counts are listed apart, by their place
                 columns = [
                     pa.array(some),
+                    pa.array(np.full(len(some), row["chunk"])),
                     pa.array([short(hashes[cuts[r] : cuts[r + 1]]) for r in some], pa.binary()),
+                    pa.array([np.packbits(counts[cuts[r] : cuts[r + 1]] > 0).tobytes() for r in some], pa.binary()),
                     pa.array([_more(counts[cuts[r] : cuts[r + 1]]) for r in some], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["range", "hashes", "more"])
+                yield pa.RecordBatch.from_arrays(columns, ["range", "chunk", "hashes", "trained", "more"])
 
     return work
 
@@ -160,8 +164,8 @@ def _places(hashes: np.ndarray, level: int, sizes) -> np.ndarray:
     return np.stack([(one + np.uint64(i) * two) % np.asarray(sizes, np.uint64) for i in range(HASHES)]).astype(np.int64)
 
 
-def _filter(hashes: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[bytes, int, float]:
-    """(bits, number of bits, smallest count entered)."""
+def _filter(hashes: np.ndarray, counts: np.ndarray, most_bits: float = np.inf) -> tuple[bytes, int, float]:
+    """(bits, number of bits, smallest count entered); without ``most_bits`` every count is entered."""
     least = 1.0
     while True:
         levels = _levels(counts, least)
@@ -176,59 +180,64 @@ def _filter(hashes: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[byt
     return np.packbits(bits).tobytes(), size, least
 
 
-def _answers(most_bits: int):
-    def work(table: pa.Table) -> pa.Table:
-        """For each range: exact counts of the words of each chunk, and the range's filter."""
-        out = {k: [] for k in ("range", "chunk", "counts", "bits", "size", "least", "n_words", "n_tokens")}
-        for lo, hi in groups(table["range"].to_numpy()):
-            rows = table.slice(lo, hi - lo).to_pylist()
-            hashes = np.concatenate([np.frombuffer(r["hashes"], np.uint64) for r in rows])
-            trained = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows])
-            words, which = np.unique(hashes, return_inverse=True)
-            counts = np.bincount(which, trained).astype(np.int64)
-            found, at = counts[which], 0
-            bits, size, least = _filter(words[counts > 0], counts[counts > 0], most_bits)
-            for i, row in enumerate(rows):
-                n = len(row["hashes"]) // 8
-                out["range"].append(row["range"])
-                out["chunk"].append(row["chunk"])
-                out["counts"].append(found[at : at + n].tobytes())
-                out["bits"].append(None if i else bits)
-                out["size"].append(None if i else size)
-                out["least"].append(None if i else least)
-                out["n_words"].append(0 if i else int((counts > 0).sum()))
-                out["n_tokens"].append(0 if i else int(counts.sum()))
-                at += n
-        return pa.table({k: pa.array(v, _KINDS.get(k, pa.int64())) for k, v in out.items()})
-
-    return work
-
-
-_KINDS = {"counts": pa.binary(), "bits": pa.binary(), "least": pa.float64()}
-
-
-def _pair_filters(most_bits: int):
-    def work(table: pa.Table) -> pa.Table:
-        out = {"range": [], "bits": [], "size": [], "least": []}
-        for lo, hi in groups(table["range"].to_numpy()):
-            part = table.slice(lo, hi - lo)
-            hashes, counts = [], []
-            for packed, more in zip(part["hashes"].to_pylist(), part["more"].to_pylist()):
-                hashes.append(unshort(packed))
-                n = np.ones(len(hashes[-1]), np.int64)
-                at, larger = np.frombuffer(more, np.uint32).reshape(2, -1)
-                n[at] = larger
-                counts.append(n)
-            hashes, counts = np.concatenate(hashes), np.concatenate(counts)
-            order = np.argsort(hashes)
-            hashes, counts = hashes[order], counts[order]
-            new = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-            bits, size, least = _filter(hashes[new], np.add.reduceat(counts, new), most_bits)
-            for k, v in zip(out, (part["range"][0].as_py(), bits, size, least)):
-                out[k].append(v)
-        return pa.table({k: pa.array(v, _KINDS.get(k, pa.int64())) for k, v in out.items()})
-
-    return work
+def _steps(hashes: np.ndarray, counts: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """What a filter of all of ``hashes`` says of each n-gram asked for."""
+    bits, size, least = _filter(hashes, counts)
+    held = _joined([{"range": 0, "bits": bits, "size": size, "least": least}], 1)
+    parts = [probed(held, asked[at : at + _PROBED]) for at in range(0, len(asked), _PROBED)]
+    return np.concatenate(parts).astype(np.uint8) if parts else np.zeros(0, np.uint8)
+
+
+def _answers(table: pa.Table) -> pa.Table:
+    """For each range: exact counts and steps of the words of each chunk."""
+    out = {k: [] for k in ("range", "chunk", "counts", "steps", "n_words", "n_tokens")}
+    for lo, hi in groups(table["range"].to_numpy()):
+        rows = table.slice(lo, hi - lo).to_pylist()
+        hashes = np.concatenate([np.frombuffer(r["hashes"], np.uint64) for r in rows])
+        trained = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows])
+        words, which = np.unique(hashes, return_inverse=True)
+        counts = np.bincount(which, trained).astype(np.int64)
+        found, at = counts[which], 0
+        steps = _steps(words[counts > 0], counts[counts > 0], words)[which]
+        for i, row in enumerate(rows):
+            n = len(row["hashes"]) // 8
+            out["range"].append(row["range"])
+            out["chunk"].append(row["chunk"])
+            out["counts"].append(found[at : at + n].tobytes())
+            out["steps"].append(steps[at : at + n].tobytes())
+            out["n_words"].append(0 if i else int((counts > 0).sum()))
+            out["n_tokens"].append(0 if i else int(counts.sum()))
+            at += n
+    return pa.table({k: pa.array(v, _KINDS.get(k, pa.int64())) for k, v in out.items()})
+
+
+_KINDS = {"counts": pa.binary(), "steps": pa.binary()}
+
+
+def _pair_answers(table: pa.Table) -> pa.Table:
+    """For each range: steps of the pairs of each chunk."""
+    out = {"range": [], "chunk": [], "steps": []}
+    for lo, hi in groups(table["range"].to_numpy()):
+        part = table.slice(lo, hi - lo)
+        asked, counts = [], []
+        for packed, trained, more in zip(*(part[c].to_pylist() for c in ("hashes", "trained", "more"))):
+            asked.append(unshort(packed))
+            n = np.unpackbits(np.frombuffer(trained, np.uint8), count=len(asked[-1])).astype(np.int64)
+            at, larger = np.frombuffer(more, np.uint32).reshape(2, -1)
+            n[at] = larger
+            counts.append(n)
+        ends = np.cumsum([len(x) for x in asked])
+        asked, counts = np.concatenate(asked), np.concatenate(counts)
+        hashes, counts = asked[counts > 0], counts[counts > 0]
+        order = np.argsort(hashes)
+        hashes, counts = hashes[order], counts[order]
+        new = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
+        counts = np.add.reduceat(counts, new) if len(new) else counts
+        steps = _steps(hashes[new], counts, asked)
+        out["range"] += part["range"].to_pylist()
+        out["chunk"] += part["chunk"].to_pylist()
+        out["steps"] += [x.tobytes() for x in np.split(steps, ends[:-1])]
+    return pa.table({k: pa.array(v, _KINDS.get(k, pa.int64())) for k, v in out.items()})
 
 
 def _joined(rows: list, n_ranges: int) -> dict:
@@ -245,8 +254,8 @@ def _joined(rows: list, n_ranges: int) -> dict:
     return {"bits": b"".join(parts), "sizes": sizes, "bases": bases, "least": least}
 
 
-def probe(held: dict, hashes: np.ndarray) -> np.ndarray:
-    """Quantised count of each n-gram: the filter is asked level by level until one is missing."""
+def probed(held: dict, hashes: np.ndarray) -> np.ndarray:
+    """Steps of each n-gram: the filter is asked level by level until one is missing."""
     bits = np.frombuffer(held["bits"], np.uint8)
     where = ranges(hashes, len(held["sizes"]))
     sizes, bases = held["sizes"][where], held["bases"][where]
@@ -259,39 +268,53 @@ def probe(held: dict, hashes: np.ndarray) -> np.ndarray:
             there &= bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1 == 1
         left = left[there]
         levels[left] = level
-    low = held["least"][where] * BASE ** (levels - 1.0)
+    return levels
+
+
+def _count_of(levels: np.ndarray, least: np.ndarray | float = 1.0) -> np.ndarray:
+    """Quantised count after so many steps."""
+    low = least * BASE ** (levels - 1.0)
     # the whole numbers of a step lie evenly between its ends
     middle = (np.ceil(low - 1e-9) + np.maximum(np.ceil(low - 1e-9), np.ceil(low * BASE - 1e-9) - 1)) / 2
     return np.where(levels > 0, middle, 0.0)
 
 
-def _scores(row: dict, counts: np.ndarray, model: dict) -> tuple[np.ndarray, ...]:
+def probe(held: dict, hashes: np.ndarray) -> np.ndarray:
+    """Quantised count of each n-gram."""
+    return _count_of(probed(held, hashes), held["least"][ranges(hashes, len(held["sizes"]))])
+
+
+def _scores(row: dict, model: dict) -> tuple[np.ndarray, ...]:
+    counts, guessed, steps = (
+        np.frombuffer(b"".join(row[c]), kind) for c, kind in (("counts", np.int64), ("steps", np.uint8), ("pair_steps", np.uint8))
+    )
     stream, ends = _stream(row), np.array(row["ends"])
     starts = np.append(0, ends[:-1])
     n, v = model["n_tokens"], model["n_words"]
     base = np.log10((counts + 1) / (n + v + 1))
     words = np.frombuffer(row["words"], np.uint64)
-    guessed = probe(model["words"], words)
+    guessed = _count_of(guessed.astype(np.int64))
     single = (guessed + 1) / (n + v + 1)
     pairs, which, hashes = _pairs(row)
     first, second = pairs // (len(words) + 1), pairs % (len(words) + 1)
     before = np.append(guessed, model["n_texts"])[first]
-    together = np.minimum(probe(model["pairs"], hashes), before)
+    together = np.empty(len(pairs))
+    together[np.argsort(hashes)] = _count_of(steps.astype(np.int64))  # as they were sent
+    together = np.minimum(together, before)
     weight = PAIR * before / (before + PRIOR)
     chance = np.log10(weight * together / np.maximum(before, 1) + (1 - weight) * single[second])
     add = np.add.reduceat
     return np.diff(np.append(0, ends)), add((counts > 0)[stream].astype(np.int64), starts), add(base[stream], starts), add(chance[which], starts)
 
 
-def _scored(shared):
+def _scored(model: dict):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                counts = np.frombuffer(b"".join(row["answers"]), np.int64)
-                n_tokens, n_known, base, score = _scores(row, counts, shared.value)
+                n_tokens, n_known, base, score = _scores(row, model)
                 columns = [pa.array(row["ids"], pa.int64()), pa.array(row["held"]), *map(pa.array, (n_tokens, n_known))]
-                columns += [pa.array(np.full(len(base), shared.value["n_tokens"])), pa.array(base), pa.array(score)]
+                columns += [pa.array(np.full(len(base), model["n_tokens"])), pa.array(base), pa.array(score)]
                 names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -304,7 +327,8 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     ``training`` is the condition for rows to learn from. Words are runs of anything but ASCII
     whitespace with A-Z in lower case; a text ends with a token of its own, so null and blank texts
     have one token. ``base_score`` uses exact counts of single tokens; ``score`` is the model's
-    log10 probability. Words are told apart by 64 bits of hash.
+    log10 probability. Words are told apart by 64 bits of hash. ``most_bytes`` of text make a hash
+    range: fewer bytes, more and smaller filters, which hold the same n-grams.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -313,32 +337,28 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         F.coalesce(training, F.lit(False)).alias("training"),
     )
     chunks = saved(rows.mapInArrow(_chunked, _CHUNKS), "lm-chunks", "zstd")
-    n_ranges = n_ranges_for(chunks, CHUNK)
-    bits = most_bytes * 8 // (2 * n_ranges)
+    n_ranges = n_ranges_for(chunks, CHUNK, most_bytes)
 
     def by_range(packed: DataFrame, work, schema: str, label: str) -> DataFrame:
         dealt = packed.repartition(n_ranges, "range").sortWithinPartitions("range")
-        return saved(dealt.mapInArrow(in_runs(["range"], work), schema), label)
+        return saved(dealt.mapInArrow(in_runs(["range"], work), schema), label, "zstd")
+
+    def by_chunk(answers: DataFrame, *columns: str) -> DataFrame:
+        found = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("range", *columns))).alias("a"))
+        return found.select("chunk", *(F.col("a").getField(c).alias(c) for c in columns))
 
     words = chunks.select("chunk", "words", "trained")
     words = words.mapInArrow(_packed_words(n_ranges), "range long, chunk long, hashes binary, counts binary")
-    schema = "range long, chunk long, counts binary, bits binary, size long, least double, n_words long, n_tokens long"
-    answers = by_range(words, _answers(bits), schema, "lm-answers")
-    pairs = chunks.select("words", "held", "ends", "low", "high")
-    pairs = pairs.mapInArrow(_packed_pairs(n_ranges), "range long, hashes binary, more binary")
-    pair_filters = by_range(pairs, _pair_filters(bits), "range long, bits binary, size long, least double", "lm-pairs")
+    schema = "range long, chunk long, counts binary, steps binary, n_words long, n_tokens long"
+    answers = by_range(words, _answers, schema, "lm-answers")
+    pairs = chunks.select("chunk", "words", "held", "ends", "low", "high")
+    pairs = pairs.mapInArrow(_packed_pairs(n_ranges), "range long, chunk long, hashes binary, trained binary, more binary")
+    pair_answers = by_range(pairs, _pair_answers, "range long, chunk long, steps binary", "lm-pairs")
 
     totals = answers.agg(F.sum("n_words").alias("w"), F.sum("n_tokens").alias("t")).first()
     texts = chunks.agg(F.sum(F.size(F.filter("held", lambda x: ~x)))).first()[0]
-    model = {
-        "words": _joined(answers.filter("bits IS NOT NULL").select("range", "bits", "size", "least").collect(), n_ranges),
-        "pairs": _joined(pair_filters.collect(), n_ranges),
-        "n_words": totals["w"] or 0,
-        "n_tokens": totals["t"] or 0,
-        "n_texts": float(texts or 0),
-    }
-    shared = spark.sparkContext.broadcast(model)  # at most most_bytes
-    per_chunk = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("range", "counts"))).alias("a"))
-    per_chunk = per_chunk.select("chunk", F.col("a.counts").alias("answers"))
+    model = {"n_words": totals["w"] or 0, "n_tokens": totals["t"] or 0, "n_texts": float(texts or 0)}
+    given = chunks.drop("trained").join(by_chunk(answers, "counts", "steps"), "chunk")
+    given = given.join(by_chunk(pair_answers.withColumnRenamed("steps", "pair_steps"), "pair_steps"), "chunk")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return chunks.drop("trained").join(per_chunk, "chunk").mapInArrow(_scored(shared), schema)
+    return given.mapInArrow(_scored(model), schema)
