@@ -1,7 +1,9 @@
 """Near-duplicate vectors by sorted projection passes.
 
 Each pass orders the vectors of a label lexicographically by the concatenated signs of random
-projections and compares every vector with a bounded window of its neighbours. Pairs that reach
+projections and compares every vector with a bounded window of its neighbours. How many passes a
+label needs is measured on a sample of its own vectors, as vectors that lean one way share signs;
+where all pairs are fewer than the passes would compare, all are compared. Pairs that reach
 the threshold are united across passes; inside every group found, all pairs are then compared in
 blocks, which counts the links exactly however many there are. Equal vectors are one vector with
 a multiplicity throughout, and each window hands on a spanning forest of its links, so a group
@@ -22,8 +24,13 @@ from panelspark.llm.common import components, in_runs, partitions, saved
 
 #: Signs per pass, neighbours compared on either side, vectors per block of a group.
 BITS, WINDOW, BLOCK = 62, 256, 256
+#: Vectors per block of a label whose pairs are all compared.
+ALL_BLOCK = 512
 #: Share of links at the threshold that all passes together may miss.
 MISS = 1e-4
+#: To measure passes: vectors sampled from a label, pairs at the threshold made of them, passes tried.
+SAMPLE, PROBES, TRIALS = 8192, 256, 32
+LEAST_PASSES = 4
 
 _ROWS = "vec_id long, label string, dim int, vec binary"
 
@@ -33,7 +40,67 @@ def passes_for(rows: int, threshold: float, window: int = WINDOW, miss: float =
     share a sign with probability 1 - angle / pi and must share log2(rows / window) of them."""
     same = 1 - math.acos(threshold) / math.pi
     once = same ** max(1.0, math.log2(max(rows, 2) / window) + 1)
-    return max(4, math.ceil(math.log(miss) / math.log(1 - min(once, 0.999))))
+    return max(LEAST_PASSES, math.ceil(math.log(miss) / math.log(1 - min(once, 0.999))))
+
+
+def _planes(seed: int, p: int, dim: int, bits: int) -> np.ndarray:
+    return np.random.default_rng([seed, p, dim]).standard_normal((dim, bits))
+
+
+def _keys(m: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    return ((m @ planes) > 0) @ (1 << np.arange(planes.shape[1], dtype=np.int64)[::-1])
+
+
+def measured_passes(units: np.ndarray, rows: int, threshold: float, window: int = WINDOW, miss: float = MISS, seed: int = 7) -> int:
+    """:func:`passes_for` a label of so many rows, of which ``units`` are a sample; 0 where all
+    pairs are fewer than the passes would compare.
+
+    Pairs at the threshold, apart in a direction in which the label's vectors differ, are put into
+    the order of some passes; those with no more than a window's share of the sample between them
+    would have met. Shares too small for the sample are carried on from larger ones. The chance to
+    meet differs from pair to pair, as a beta distribution of the mean and spread found.
+    """
+    most = (rows - 1) // (2 * window)
+    dim, rng = units.shape[1], np.random.default_rng([seed, rows])
+    one, two, three = rng.integers(len(units), size=(3, PROBES))
+    apart = units[two] - units[three] + 1e-9 * rng.standard_normal((PROBES, dim))
+    apart -= (apart * units[one]).sum(axis=1, keepdims=True) * units[one]
+    apart /= np.maximum(np.sqrt((apart * apart).sum(axis=1, keepdims=True)), 1e-300)
+    other = threshold * units[one] + math.sqrt(max(0.0, 1 - threshold * threshold)) * apart
+    between = np.empty((TRIALS, PROBES), np.int64)
+    for p in range(TRIALS):
+        planes = _planes(seed, p, dim, BITS)
+        keys = _keys(units, planes)
+        ends = np.sort([keys[one], _keys(other, planes)], axis=0)
+        keys = np.sort(keys)
+        between[p] = np.searchsorted(keys, ends[1], "right") - np.searchsorted(keys, ends[0])
+    share = window / rows
+    seen = max(share, 8 / len(units))
+    met = between <= seen * len(units)
+    mean = met.mean()
+    chance = mean - met.mean(axis=1).std(ddof=1) / math.sqrt(TRIALS)
+    if chance <= 0:
+        return 0
+    if share < seen:
+        wider = (between <= 16 * seen * len(units)).mean()
+        chance *= (share / seen) ** (math.log(wider / mean) / math.log(16))
+    each = met.mean(axis=0)
+    spread = max(each.var() - (each * (1 - each)).mean() / (TRIALS - 1), 0) / mean**2
+    both = (1 - chance) / max(spread * chance, 1e-6) - 1
+    a, b = chance * both, (1 - chance) * both
+
+    def missed(n: int) -> float:
+        if chance >= 1 or both <= 0:
+            return -math.inf if chance >= 1 else 0.0
+        return math.lgamma(both) + math.lgamma(b + n) - math.lgamma(b) - math.lgamma(both + n)
+
+    low, high = passes_for(rows, threshold, window, miss), most
+    if low > most or missed(most) > math.log(miss):
+        return 0
+    while low < high:
+        n = (low + high) // 2
+        low, high = (low, n) if missed(n) <= math.log(miss) else (n + 1, high)
+    return low
 
 
 def valid_vectors(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
@@ -72,19 +139,47 @@ def _units(m: np.ndarray) -> np.ndarray:
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
 
-def _projected(rows: DataFrame, n_passes: int, bits: int, seed: int, dtype) -> DataFrame:
-    """rows once per pass, with the sort key of the pass."""
+def _with_passes(unique: DataFrame, threshold: float, window: int, passes: int | None, seed: int, dtype) -> DataFrame:
+    """(label, dim, rows, passes) of every label and dimension; no passes: all pairs."""
+    group = ["label", "dim"]
+    sizes = saved(unique.groupBy(*group).agg(F.count("*").alias("rows")), "vectors-sizes")
+    if passes:
+        return sizes.withColumn("passes", F.lit(passes))
+    large = sizes.filter(F.col("rows") > 2 * window * LEAST_PASSES)
+    sample = unique.join(large, group).filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col("rows")) < SAMPLE)
+
+    def work(table: pa.Table) -> pa.Table:
+        out = {"label": [], "dim": [], "passes": []}
+        for lo, hi, dim in _runs(table, group):
+            part = table.slice(lo, hi - lo)
+            units = _units(_matrix(part["vec"], dim, dtype))
+            n = measured_passes(units, part["rows"][0].as_py(), threshold, window, seed=seed)
+            for k, v in zip(out, (part["label"][0].as_py(), dim, n)):
+                out[k].append(v)
+        return pa.table({k: pa.array(v, pa.string() if k == "label" else pa.int32()) for k, v in out.items()})
+
+    sample = sample.select(*group, "rows", "vec_id", "vec").repartition(partitions(unique.sparkSession), *group)
+    sample = sample.sortWithinPartitions(*group, "vec_id")
+    measured = sample.mapInArrow(in_runs(group, work), "label string, dim int, passes int")
+    found = sizes.join(measured, group, "left").withColumn("passes", F.coalesce("passes", F.lit(0)))
+    return saved(found, "vectors-passes")
+
+
+def _projected(rows: DataFrame, bits: int, seed: int, dtype) -> DataFrame:
+    """rows once per pass of their label, with the sort key of the pass."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(bits, dtype=np.int64)[::-1]
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 mine = batch.filter(pa.array(dims == dim))
                 m = _matrix(mine.column("vec"), int(dim), dtype)
-                for p in range(n_passes):
-                    planes = np.random.default_rng([seed, p, int(dim)]).standard_normal((int(dim), bits))
-                    keys = ((m @ planes) > 0) @ weights
+                n_passes = mine.column("passes").to_numpy()
+                for p in range(n_passes.max()):
+                    if (n_passes <= p).any():
+                        more = n_passes > p
+                        mine, m, n_passes = mine.filter(pa.array(more)), m[more], n_passes[more]
+                    keys = _keys(m, _planes(seed, p, int(dim), bits))
                     pass_no = pa.array(np.full(len(keys), p, np.int32))
                     columns = [pass_no, mine.column("label"), mine.column("dim"), pa.array(keys, pa.int64())]
                     columns += [mine.column("vec_id"), mine.column("vec")]
@@ -193,6 +288,35 @@ def _at_borders(rows: DataFrame, threshold: float, window: int, dtype) -> DataFr
     return rows.sortWithinPartitions(*keys, "side", "vec_id").mapInArrow(in_runs(keys, work), "a long, b long")
 
 
+def _all_pairs(rows: DataFrame, threshold: float, block: int, dtype) -> DataFrame:
+    """(a, b) links from (vec_id, label, dim, vec, rows): all pairs of a label, block by block."""
+    blocks = F.ceil(F.col("rows") / block)
+    rows = rows.withColumn("_mine", F.pmod(F.xxhash64("vec_id"), blocks))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    rows = rows.withColumn("i", F.least("_mine", "_other")).withColumn("j", F.greatest("_mine", "_other"))
+    keys = ["label", "dim", "i", "j"]
+
+    def work(table: pa.Table) -> pa.Table:
+        pairs = []
+        for lo, hi, dim in _runs(table, keys):
+            part = table.slice(lo, hi - lo)
+            mine, ids = part["_mine"].to_numpy(), part["vec_id"].to_numpy()
+            units = _units(_matrix(part["vec"], dim, dtype))
+            # rows of the first block come before those of the second
+            cut = int((mine == mine[0]).sum())
+            if part["i"][0].as_py() == part["j"][0].as_py():
+                left, right = np.nonzero(np.triu(units @ units.T >= threshold, 1))
+            else:
+                left, right = np.nonzero(units[:cut] @ units[cut:].T >= threshold)
+                right = right + cut
+            pairs += _forest(ids, left, right)
+        a, b = zip(*pairs) if pairs else ([], [])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    rows = rows.select(*keys, "_mine", "vec_id", "vec").repartition(partitions(rows.sparkSession), *keys)
+    return rows.sortWithinPartitions(*keys, "_mine", "vec_id").mapInArrow(in_runs(keys, work), "a long, b long")
+
+
 def _counted(members: DataFrame, threshold: float, block: int, dtype) -> DataFrame:
     """(vec_id, n_links) from (component, vec_id, n, dim, vec): all pairs of a group, block by block."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / block).alias("_blocks"))
@@ -245,14 +369,16 @@ def near_vectors(
     reps = saved(reps, "vectors-same")
     unique = rows.join(reps, ["label", "dim", "same"]).filter("vec_id = rep")
     unique = saved(unique.dropDuplicates(["label", "dim", "same"]).select("vec_id", "label", "dim", "vec", "n"), "vectors-unique")
-    largest = unique.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    n_passes = passes or passes_for(largest, threshold, window)
-    n_parts = max(1, min(4 * partitions(rows.sparkSession), unique.count() * n_passes // (8 * window)))
+    plan = _with_passes(unique, threshold, window, passes, seed, dtype)
+    planned = unique.drop("n").join(plan, ["label", "dim"])
+    copies = plan.agg(F.sum(F.col("rows") * F.col("passes"))).first()[0] or 0
+    n_parts = max(1, min(4 * partitions(rows.sparkSession), copies // (8 * window)))
     order = ["pass", "label", "dim", "key", "vec_id"]
-    projected = _projected(unique.drop("n"), n_passes, BITS, seed, dtype)
+    projected = _projected(planned.filter("passes > 0"), BITS, seed, dtype)
     projected = projected.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     found = saved(_windows(projected, threshold, window, dtype), "vectors-windows")
     links = found.filter("a IS NOT NULL").select("a", "b").unionAll(_at_borders(found, threshold, window, dtype))
+    links = links.unionAll(_all_pairs(planned.filter("passes = 0 AND rows > 1"), threshold, ALL_BLOCK, dtype))
     copies = rows.join(reps, ["label", "dim", "same"]).select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
     groups = saved(components(links.unionAll(copies), "vectors"), "vectors-groups")
     members = unique.join(groups, unique["vec_id"] == groups["node"]).drop("node")

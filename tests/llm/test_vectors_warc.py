@@ -65,6 +65,32 @@ def test_passes_grow_with_the_table():
     assert 4 <= few < many < 200
 
 
+def leaning(seed, n, pairs, mean_cosine, dim=64):
+    """Vectors with a common direction, then partners of the first ``pairs`` at a cosine of 0.931 to 0.95."""
+    rng = np.random.default_rng(seed)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    side = lambda k: unit(np.hstack([np.zeros((k, 1)), rng.standard_normal((k, dim - 1))]))
+    head = np.eye(dim)[:1]
+    rest = side(n)
+    a = math.sqrt(mean_cosine) * head + math.sqrt(1 - mean_cosine) * rest
+    cosine = (rng.uniform(0.931, 0.95, (pairs, 1)) - mean_cosine) / (1 - mean_cosine)
+    other = side(pairs)
+    other = unit(other - (other * rest[:pairs]).sum(1, keepdims=True) * rest[:pairs])
+    b = math.sqrt(mean_cosine) * head + math.sqrt(1 - mean_cosine) * (cosine * rest[:pairs] + np.sqrt(1 - cosine**2) * other)
+    return np.vstack([a, b])
+
+
+@pytest.mark.parametrize(("window", "passed"), [(8, True), (64, False)])
+def test_links_of_a_label_that_leans_one_way(spark, window, passed):
+    m = leaning(3, 6000, 400, 0.8)
+    n = embedding_dedup.measured_passes(m, len(m), 0.93, window)
+    assert (n > 1.5 * embedding_dedup.passes_for(len(m), 0.93, window)) == passed and (n == 0) != passed
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(m.tolist())], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_vectors(df, window=window).collect()}
+    assert len(got) == len(m) and sum(got[i] == got[6000 + i] for i in range(400)) >= 399
+
+
+
 # -- warc
 
 HTML = [
