@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from panelspark.llm import language_id, line_dedup, minhash_dedup, mixing, packing
 from panelspark.llm.common import done_with, saved, table
 
-#: A document whose best language has less than this share of the probability is rejected.
-LEAST_SCORE = 0.5
-
 
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
     sized = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
@@ -23,12 +20,12 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled documents; drops those without a letter or a likely language."""
+    """Learns from the labelled documents; drops those without a letter and those that the best
+    language codes far worse than its own. Texts that several languages code alike stay."""
     model = language_id.train(docs)
+    model["usual"] = language_id.usual(docs)
     told = language_id.predict(docs, model, "text", *docs.columns)
-    return told.filter((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(
-        *docs.columns
-    )
+    return told.filter(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

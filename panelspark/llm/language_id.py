@@ -27,6 +27,9 @@ LEAST_SEEN, MOST_BYTES = 8, 160
 _UNIT = 1024
 UNDETERMINED = "und"
 _ORDER = 3
+#: A text is unlike a language if its bits per byte exceed the mean of other texts of the language by
+#: SPREADS standard deviations, each taken as LEAST_SPREAD of the mean at least; told from LEAST_TEXTS.
+SPREADS, LEAST_SPREAD, LEAST_TEXTS = 12, 0.05, 5
 
 
 def _padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,22 +119,77 @@ def code_lengths(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> dict:
     """Fit on about ``sample`` whole documents of each language (all, where there are fewer)."""
+    rows = _sampled(docs, text, lang, key, sample)
+    if rows is None:
+        return {"langs": []}
+    counted = rows.mapInArrow(_grams, "lang string, gram long, n long")
+    # bounded by the sample: at most the distinct runs of four bytes in it
+    grams = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    grams = grams.sort_values(["lang", "gram"])
+    if grams.empty:
+        return {"langs": []}
+    return fit(list(zip(grams["lang"].tolist(), grams["gram"].tolist(), grams["n"].tolist())))
+
+
+def _sampled(docs: DataFrame, text: str, lang: str, key: str, sample: int) -> DataFrame | None:
+    """(lang, text) of about ``sample`` labelled documents of each language; None without labels."""
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
     )
     sizes = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("part"))
     parts = {r["lang"]: r["part"] for r in sizes.collect()}  # one row per language
     if not parts:
-        return {"langs": []}
+        return None
     part = F.element_at(F.create_map(*(F.lit(x) for item in sorted(parts.items()) for x in item)), F.col("lang"))
     point = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit(4)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    counted = rows.filter(point < part).select("lang", "text").mapInArrow(_grams, "lang string, gram long, n long")
-    # bounded by the sample: at most the distinct runs of four bytes in it
-    grams = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    grams = grams.sort_values(["lang", "gram"])
-    if grams.empty:
-        return {"langs": []}
-    return fit(list(zip(grams["lang"].tolist(), grams["gram"].tolist(), grams["n"].tolist())))
+    return rows.filter(point < part).select("lang", "text")
+
+
+def usual(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> dict:
+    """language -> (mean, standard deviation) of the bits per byte of its texts, and their mean
+    length: a model of one half of the labelled documents tells it of a sample of the other half."""
+    half = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text).cast("string"), F.lit(5)), F.lit(2))
+    model = train(docs.filter(half == 0), text, lang, key, sample)
+    rows = _sampled(docs.filter((half == 1) & F.col(text).cast("string").rlike(r"\p{L}")), text, lang, key, sample)
+    if rows is None or not model["langs"]:
+        return {}
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_BYTES and the sample
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        at = {name: i for i, name in enumerate(model["langs"])}
+        for batch in batches:
+            langs = batch.column("lang").to_pylist()
+            for first, last, data, offsets in pieces(batch.column("text")):
+                bits, sizes = code_lengths(model, data, offsets), np.diff(offsets)
+                known = np.array([i for i, name in enumerate(langs[first:last]) if name in at], np.int64)
+                own = bits[known, [at[langs[first + i]] for i in known]] if len(known) else np.zeros(0)
+                columns = [pa.array([langs[first + i] for i in known], pa.string()), pa.array(own / _UNIT / sizes[known], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes[known], pa.int64())], ["lang", "x", "size"])
+
+    told = rows.mapInArrow(work, "lang string, x double, size long").groupBy("lang")
+    told = told.agg(F.count("*").alias("n"), F.avg("x").alias("x"), F.stddev("x").alias("sd"), F.avg("size").alias("size"))
+    return {r["lang"]: (r["x"], r["sd"], r["size"]) for r in told.collect() if r["n"] >= LEAST_TEXTS}  # a row per language
+
+
+def _unlike(model: dict, bits: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether the best language codes a text far worse than its own. A text varies as one of the
+    length of its distinct runs of four bytes: short texts and those that repeat a word, more."""
+    sizes, best, per_byte = np.diff(offsets), bits.argmin(axis=1), bits.min(axis=1) / _UNIT
+    per_byte = per_byte / np.maximum(sizes, 1)
+    far = np.flatnonzero(per_byte > _limits(model, best, sizes))
+    runs = [len({data[i : i + 4].tobytes() for i in range(offsets[k], offsets[k + 1])}) for k in far]
+    out = np.zeros(len(sizes), bool)
+    out[far] = per_byte[far] > _limits(model, best[far], np.array(runs, np.int64))
+    return out
+
+
+def _limits(model: dict, best: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Most bits per byte of texts like the language they are told to be."""
+    unknown = (np.inf, 0.0, 1.0)
+    mean, spread, size = np.array([model["usual"].get(name, unknown) for name in model["langs"]]).T[:, best]
+    spread = np.maximum(spread, LEAST_SPREAD * mean)
+    return mean + SPREADS * spread * np.sqrt(np.maximum(1.0, size / np.maximum(sizes, 1)))
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text", *columns: Column | str) -> DataFrame:
@@ -139,7 +197,8 @@ def predict(docs: DataFrame, model: dict, text: str = "text", *columns: Column |
     given the text if all are equally likely beforehand.
 
     Texts that are null or without a letter, and all texts under a model that learned nothing,
-    are ``und`` with score 0. Ties go to the name that sorts first.
+    are ``und`` with score 0. Ties go to the name that sorts first. If the model has ``usual``, of
+    :func:`usual`, texts that their best language codes far worse than its own are ``und`` too.
     """
     asked = docs.select(*columns)
     with_text = text in asked.columns  # then it travels once
@@ -156,7 +215,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", *columns: Column |
         model = shared.value
         for batch in batches:
             column = batch.column("_text")
-            valid = batch.column("_letters").to_numpy(zero_copy_only=False)
+            valid = batch.column("_letters").to_numpy(zero_copy_only=False).copy()
             names, scores = np.full(batch.num_rows, UNDETERMINED, object), np.zeros(batch.num_rows)
             if model["langs"]:
                 for first, last, data, offsets in pieces(column):
@@ -165,6 +224,8 @@ def predict(docs: DataFrame, model: dict, text: str = "text", *columns: Column |
                     more = (bits - bits.min(axis=1, keepdims=True)) / _UNIT
                     names[first:last] = np.array(model["langs"], object)[best]
                     scores[first:last] = 1 / np.exp2(-more).sum(axis=1)
+                    if "usual" in model:
+                        valid[first:last] &= ~_unlike(model, bits, data, offsets)
             names[~valid], scores[~valid] = UNDETERMINED, 0.0
             made = {"_in": batch.column("_in")} | ({"_text": column} if with_text else {})
             made |= {"lang_pred": pa.array(names.tolist(), pa.string()), "score": pa.array(scores)}

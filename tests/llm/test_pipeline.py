@@ -98,3 +98,15 @@ def test_registered():
     for n in range(1, 11):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= names
+
+
+def test_language_stage_tells_gibberish_from_ambiguous(spark, docs):
+    rng = random.Random(8)
+    rows = [(i, prose(lang, i, 40), lang) for i, lang in enumerate(sorted(SYLLABLES) * 40)]
+    # "dd" is a copy of "aa", "ee" another: three languages that code a text alike
+    rows += [(1000 + 200 * k + r[0], r[1], name) for k, name in enumerate(("dd", "ee")) for r in rows[:120] if r[2] == "aa"]
+    rows += [(5000 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)), None) for i in range(5)]
+    rows += [(6000 + i, "".join(rng.choice("žлщ юдфґñ") for _ in range(300)), None) for i in range(2)]
+    rows += [(7000, "kato", None), (7001, "mi re", None)] + [(7100 + i, prose("aa", 500 + i, 40), None) for i in range(20)]
+    kept = {r["doc_id"] for r in run_stage(spark, docs(rows), 0).collect()}
+    assert kept == {r[0] for r in rows if not 5000 <= r[0] < 7000}
