@@ -21,8 +21,11 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents; drops those without a letter and those that the best
-    language codes far worse than its own. Texts that several languages code alike stay."""
+    language codes far worse than its own. Texts that several languages code alike stay. Where no
+    document has a language to learn from, all with a letter stay."""
     model = language_id.train(docs)
+    if not model["langs"]:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     model["usual"] = language_id.usual(docs)
     told = language_id.predict(docs, model, "text", *docs.columns)
     return told.filter(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)

@@ -110,3 +110,9 @@ def test_language_stage_tells_gibberish_from_ambiguous(spark, docs):
     rows += [(7000, "kato", None), (7001, "mi re", None)] + [(7100 + i, prose("aa", 500 + i, 40), None) for i in range(20)]
     kept = {r["doc_id"] for r in run_stage(spark, docs(rows), 0).collect()}
     assert kept == {r[0] for r in rows if not 5000 <= r[0] < 7000}
+
+
+def test_language_stage_without_labels(spark, docs, raw):
+    rows = [(i, text, None, source) for i, text, _, source in raw]
+    kept = run_stage(spark, docs(rows), 0)
+    assert kept.columns == docs(rows).columns and {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {300, 301, 302}
