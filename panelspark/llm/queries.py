@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import (
+    conversation_repair,
+    decontamination,
     embedding_dedup,
     exact_dedup,
     language_id,
@@ -15,6 +17,7 @@ from panelspark.llm import (
     mixing,
     packing,
     substring_dedup,
+    vector_codes,
     warc,
 )
 from panelspark.llm.common import table
@@ -77,6 +80,34 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(rows, conversation_repair.damaged(rows))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.sha256()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -88,8 +119,51 @@ QUERIES = {
     "op6_embedding_dedup": op6_embedding_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
+    "op11_decontamination": op11_decontamination,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+
+def _codes_sql(rounds: int = 4) -> str:
+    """The rounds written out: books b0, b1, ... and the nearest entries n0, n1, ... under each."""
+    steps = [
+        r"""WITH v AS MATERIALIZED (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS k,
+                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (
+            SELECT k, part, e[part * (len(e) // 4) + 1 : (part + 1) * (len(e) // 4)] AS x
+            FROM v, range(4) AS r(part)),
+        b0 AS MATERIALIZED (SELECT part, k - 1 AS entry, x AS c FROM p WHERE k <= 256)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""
+        n{r} AS MATERIALIZED (
+            SELECT k, part, any_value(x) AS x,
+                   min({{'d': (list_dot_product(x, x) + list_dot_product(c, c) - 2 * list_dot_product(x, c))::BIGINT,
+                         'entry': entry}}) AS m
+            FROM p JOIN b{r} USING (part) GROUP BY k, part)""")
+        if r < rounds:
+            steps.append(f"""
+        b{r + 1} AS MATERIALIZED (
+            SELECT part, entry, coalesce(moved, c) AS c FROM b{r} LEFT JOIN (
+                SELECT part, entry, list(mean ORDER BY i) AS moved FROM (
+                    SELECT part, m.entry AS entry, i, sum(x[i]::HUGEINT) AS s, count(*)::HUGEINT AS n,
+                           ((s - (s % n + n) % n) // n)::DOUBLE AS mean
+                    FROM n{r}, unnest(range(1, len(x) + 1)) AS u(i) GROUP BY part, m.entry, i)
+                GROUP BY part, entry) USING (part, entry))""")
+    steps.append(f"""
+        e AS (SELECT k, string_agg(printf('%02x', m.entry), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error
+              FROM n{rounds} GROUP BY k),
+        h AS (SELECT sha256(string_agg(array_to_string(c::BIGINT[], ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+              FROM b{rounds})
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM v JOIN e USING (k), h""")
+    return ",".join(steps[:-1]) + "," + steps[-1]
+
+
 SQL = {
     "op1_minhash_dedup": r"""
         WITH RECURSIVE w AS (
@@ -199,4 +273,102 @@ SQL = {
                CASE WHEN payload_bytes >= 1000 AND page_id < head THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id < head THEN head END AS refers_to
         FROM h""",
+    "op11_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS passage
+            FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+        widths AS (SELECT DISTINCT k FROM win),
+        runs AS (
+            SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS passage
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, widths WHERE len(w) >= k)),
+        hits AS (SELECT doc_id, k, i, item_id FROM runs JOIN win USING (k, passage)),
+        words AS (SELECT doc_id, count(DISTINCT j)::BIGINT AS n_hit
+                  FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hits) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE raw AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+        way AS (
+            SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT),
+                   lambda crc, byte: list_reduce(range(8), lambda c, i: xor(c >> 1, (c & 1) * 3988292384), xor(crc, byte)),
+                   4294967295), 4294967295) % 20 AS way FROM raw),
+        hurt AS (
+            SELECT conv_id, turn, CASE WHEN way = 4 THEN 'user' ELSE role END AS role,
+                   CASE way WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE way WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM way),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i
+            FROM hurt),
+        facts AS (
+            SELECT *, left(role, 1) AS ini,
+                   CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault,
+                   lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM placed),
+        lists AS (SELECT conv_id, list({'ini': ini, 'fault': fault} ORDER BY i) AS f FROM facts GROUP BY conv_id),
+        dp AS (
+            SELECT conv_id, f, 0 AS i, [{'c': 0::BIGINT, 'a': ''}, NULL, NULL, NULL] AS s FROM lists
+            UNION ALL
+            SELECT conv_id, f, i + 1, [
+                list_min([{'c': z[1].c + 4, 'a': z[1].a || 'D'}]),
+                list_min([CASE WHEN z[2] IS NOT NULL THEN {'c': z[2].c + 4, 'a': z[2].a || 'D'} END,
+                          CASE WHEN ok AND ini = 's' AND z[1] IS NOT NULL THEN {'c': z[1].c + t, 'a': z[1].a || 'K'} END]),
+                list_min(list_concat([CASE WHEN z[3] IS NOT NULL THEN {'c': z[3].c + 4, 'a': z[3].a || 'D'} END],
+                    CASE WHEN ok THEN list_transform(list_filter([z[1], z[2], z[4]], lambda x: x IS NOT NULL),
+                         lambda x: CASE WHEN ini = 'u' THEN {'c': x.c + t, 'a': x.a || 'K'}
+                                        ELSE {'c': x.c + t + 3, 'a': x.a || 'R'} END) ELSE [] END)),
+                list_min([CASE WHEN z[4] IS NOT NULL THEN {'c': z[4].c + 4, 'a': z[4].a || 'D'} END,
+                          CASE WHEN ok AND z[3] IS NOT NULL THEN CASE WHEN ini = 'a'
+                               THEN {'c': z[3].c + t, 'a': z[3].a || 'K'} ELSE {'c': z[3].c + t + 3, 'a': z[3].a || 'R'} END END])]
+            FROM (SELECT conv_id, f, i, f[i + 1].ini AS ini, f[i + 1].fault IN (0, 3) AS ok,
+                         CASE WHEN f[i + 1].fault = 3 THEN 3 ELSE 0 END AS t, [s[1], s[2],
+                    list_min(list_concat([s[3]], list_transform(list_filter([s[1], s[2], s[4]], lambda x: x IS NOT NULL),
+                        lambda x: {'c': x.c + 3, 'a': x.a || 'I'}))),
+                    list_min(list_concat([s[4]], [CASE WHEN s[3] IS NOT NULL THEN {'c': s[3].c + 3, 'a': s[3].a || 'I'} END],
+                        list_transform(list_filter([s[1], s[2]], lambda x: x IS NOT NULL),
+                        lambda x: {'c': x.c + 6, 'a': x.a || 'II'})))] AS z
+                  FROM dp WHERE i < len(f))),
+        best AS (
+            SELECT conv_id, list_min([s[1], s[4], CASE WHEN s[3] IS NOT NULL THEN {'c': s[3].c + 3, 'a': s[3].a || 'I'} END,
+                       CASE WHEN s[2] IS NOT NULL THEN {'c': s[2].c + 6, 'a': s[2].a || 'II'} END]) AS m
+            FROM dp WHERE i = len(f)),
+        edits AS (
+            SELECT conv_id, unnest(string_split(m.a, '')) AS e, unnest(range(1, len(m.a) + 1)) AS pos,
+                   (len(m.a) - len(replace(m.a, 'D', ''))) AS deleted, len(m.a) AS n FROM best WHERE m.a <> ''),
+        steps AS (
+            SELECT *, sum((e <> 'I')::INT) OVER o AS i, sum((e <> 'D')::INT) OVER o AS j, (n - deleted) % 2 AS has_s
+            FROM edits WINDOW o AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+        fixed AS (
+            SELECT s.conv_id, string_agg(CASE WHEN e = 'K' THEN f.role
+                       ELSE CASE WHEN (j - has_s) % 2 = 1 THEN 'user' ELSE 'assistant' END END
+                       || ':' || CASE WHEN e = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY pos) AS repaired
+            FROM steps s LEFT JOIN facts f ON e <> 'I' AND f.i = s.i AND f.conv_id IS NOT DISTINCT FROM s.conv_id
+            WHERE e <> 'D' GROUP BY s.conv_id),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                   count(*) FILTER (fault = 3) AS truncated,
+                   count(*) FILTER (i > 1 AND left(before, 1) || '|' || ini NOT IN ('s|u', 'u|a', 'a|u')) AS illegal
+            FROM facts GROUP BY conv_id)
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+               coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+               coalesce(illegal, 0)::BIGINT AS illegal, coalesce(m.c, 0)::BIGINT AS cost, coalesce(m.a, '') AS audit,
+               sha256(coalesce(repaired, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN fixed x ON x.conv_id IS NOT DISTINCT FROM o.conv_id""",
+    "op13_vector_codes": _codes_sql(),
 }
