@@ -9,7 +9,10 @@ formed once; then
 * the sum of a_ij * b_ij over a window changes by one row entering and one leaving,
   each again a difference of such a prefix sum,
 
-which is O(T^2 + T * W) per pair and block instead of O(T * W^2) per window size.
+which is O(T^2 + T * W) per pair and block instead of O(T * W^2) per window size. In a block
+of many dates no distance is kept: the row sums of the current window and its sum of
+a_ij * b_ij are carried along, O(T * W) steps and O(T) numbers per pair. A single long window
+takes O(W log W) by sorting and sums over the values that are smaller on both sides.
 
 Prefix sums lose digits when a window is much quieter than the block around it, so
 such windows (and constant ones) are recomputed from their own values.
@@ -26,6 +29,8 @@ from numpy.lib.stride_tricks import as_strided
 _BATCH_CELLS = 1 << 16
 # Windows recomputed at a time.
 _REDO_ROWS = 4096
+# Longer windows are computed by sorting, longer blocks without a table of distances.
+_LONG_WINDOW, _LONG_BLOCK = 256, 512
 # A window whose spread is below this share of the block's is recomputed.
 _QUIET_SHARE = 1e-7
 # Below this squared correlation the rounding of the numerator matters.
@@ -39,12 +44,82 @@ def distance_correlation_windows(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """
     k, width = x.shape
     out = np.full(k, np.nan)
-    step = max(1, _BATCH_CELLS // max(1, width * width))
+    single, cells = (_direct, width * width) if width <= _LONG_WINDOW else (_by_sorting, width)
+    step = max(1, _BATCH_CELLS // max(1, cells))
     for lo in range(0, k, step):
-        out[lo : lo + step] = _direct(x[lo : lo + step], y[lo : lo + step])
+        out[lo : lo + step] = single(x[lo : lo + step], y[lo : lo + step])
     return out
 
 
+def _by_sorting(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """As :func:`_direct`, in O(W log W) time and O(W) numbers for each row."""
+    ok = np.isfinite(x) & np.isfinite(y)
+    n = ok.sum(axis=1)
+    m = np.maximum(n, 1)
+
+    def centred(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low, high = np.where(ok, v, np.inf).min(axis=1), np.where(ok, v, -np.inf).max(axis=1)
+        v = np.where(ok, v, 0.0)
+        return np.where(ok, v - v.sum(axis=1, keepdims=True) / m[:, None], 0.0), low < high
+
+    (x, varies_x), (y, varies_y) = centred(x), centred(y)
+    a, b = _distance_sums(x, ok, n), _distance_sums(y, ok, n)
+
+    def moment(product, total, rows):
+        return product / m**2 + total / m**4 - 2.0 * rows / m**3
+
+    def square(v, rows):
+        product = 2.0 * (n * (v * v).sum(axis=1) - v.sum(axis=1) ** 2)
+        return moment(product, rows.sum(axis=1) ** 2, (rows * rows).sum(axis=1))
+
+    cov = moment(_product_sum(x, y, ok), a.sum(axis=1) * b.sum(axis=1), (a * b).sum(axis=1))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        value = np.sqrt(np.clip(cov / np.sqrt(square(x, a) * square(y, b)), 0.0, None))
+    value = np.where(varies_x & varies_y, value, 0.0)
+    return np.where(n == 0, np.nan, value)
+
+
+def _distance_sums(v: np.ndarray, ok: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sum of the distances of each value to all others of its row; 0 where missing."""
+    order = np.argsort(np.where(ok, v, np.inf), axis=1)
+    ranked = np.take_along_axis(v, order, 1)  # missing values are 0 and come last
+    upto, rank = np.cumsum(ranked, axis=1), np.arange(v.shape[1])
+    sums = ranked * (2 * rank + 2 - n[:, None]) - 2.0 * upto + upto[:, -1:]
+    out = np.zeros_like(v)
+    np.put_along_axis(out, order, sums, 1)
+    return np.where(ok, out, 0.0)
+
+
+def _product_sum(x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> np.ndarray:
+    """Sum over all i, j of |x_i - x_j| * |y_i - y_j| in each row.
+
+    With i after j in the order of x, a product is (x_i - x_j)(y_i - y_j), negated unless y_j is
+    smaller, too. Sums over the j that are smaller on both sides come from one pass for every
+    power of two: the left half of each stretch of the order of x counts for its right half.
+    """
+    rows, width = x.shape
+    order = np.argsort(np.where(ok, x, np.inf), axis=1)
+    x, y, w = (np.take_along_axis(v, order, 1) for v in (x, y, ok.astype(float)))
+    terms = np.stack([w, w * x, w * y, w * x * y])
+    before = np.cumsum(terms, axis=2) - terms
+    smaller = np.zeros_like(terms)
+    by_y = np.argsort(y, axis=1, kind="stable")
+    half = 1
+    while half < width:
+        stretch = np.argsort((by_y // (2 * half)).astype(np.int32), axis=1, kind="stable")
+        place = np.take_along_axis(by_y, stretch, 1)  # stretch after stretch, each by rising y
+        left = (place // half) % 2 == 0
+        sums = np.cumsum(np.where(left, np.take_along_axis(terms, place[None], 2), 0.0), axis=2)
+        sums = np.concatenate([np.zeros((4, rows, 1)), sums], axis=2)
+        base = np.arange(width) // (2 * half) * (2 * half)
+        found = np.zeros_like(terms)
+        np.put_along_axis(found, np.broadcast_to(place, terms.shape), np.where(left, 0.0, sums[:, :, :-1] - sums[:, :, base]), 2)
+        smaller += found
+        half *= 2
+    count, sum_x, sum_y, sum_xy = 2.0 * smaller - before
+    return 2.0 * (w * (x * y * count - x * sum_y - y * sum_x + sum_xy)).sum(axis=1)
+
+
 def _direct(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     ok = np.isfinite(x) & np.isfinite(y)
     n = ok.sum(axis=1)
@@ -79,7 +154,10 @@ def rolling_distance_correlation(
 
     NaN where the window is not full yet or has no position with both values.
     """
-    return _in_batches(_dcor_batch, x, y, windows, first, x.shape[1] ** 2)
+    length = x.shape[1]
+    if length > _LONG_BLOCK:
+        return _in_batches(_dcor_carried, x, y, windows, first, length)
+    return _in_batches(_dcor_batch, x, y, windows, first, length**2)
 
 
 def rolling_pearson(
@@ -221,6 +299,77 @@ def _dcor_batch(
     return out
 
 
+def _dcor_carried(
+    x: np.ndarray, y: np.ndarray, windows: Sequence[int], first: int
+) -> dict[int, np.ndarray]:
+    """As :func:`_dcor_batch` with what one window needs carried to the next."""
+    pairs, length = x.shape
+    ok = np.isfinite(x) & np.isfinite(y)
+    weight = ok.astype(float)
+    seen = np.maximum(ok.sum(axis=1, keepdims=True), 1)
+
+    def prepare(v: np.ndarray):
+        v = np.where(ok, v, 0.0)
+        v = np.where(ok, v - v.sum(axis=1, keepdims=True) / seen, 0.0)
+        return v, _prefix(v, 1), _prefix(v * v, 1)
+
+    (vx, sum_x, sq_x), (vy, sum_y, sq_y) = prepare(x), prepare(y)
+    count = _prefix(weight, 1)
+    scale_x, scale_y = length * sq_x[:, -1], length * sq_y[:, -1]
+    out: dict[int, np.ndarray] = {}
+    for w in windows:
+        result = np.full((pairs, length - first), np.nan)
+        lowest = max(w, first + 1)
+        rows_x, rows_y, cross = np.zeros_like(vx), np.zeros_like(vy), np.zeros(pairs)
+
+        def distances(t: int, span: slice):
+            both = weight[:, span] * weight[:, t, None]
+            return both * np.abs(vx[:, span] - vx[:, t, None]), both * np.abs(vy[:, span] - vy[:, t, None])
+
+        begin = max(0, lowest - w)  # the first window that is reported starts here
+        for t in range(begin, length if lowest <= length else begin):
+            start = max(begin, t + 1 - w)
+            if t - w >= begin:  # the oldest value leaves
+                dx, dy = distances(t - w, slice(start, t))
+                rows_x[:, start:t] -= dx
+                rows_y[:, start:t] -= dy
+                cross -= 2.0 * np.einsum("pt,pt->p", dx, dy)
+            dx, dy = distances(t, slice(start, t))
+            rows_x[:, start:t] += dx
+            rows_y[:, start:t] += dy
+            rows_x[:, t], rows_y[:, t] = dx.sum(axis=1), dy.sum(axis=1)
+            cross += 2.0 * np.einsum("pt,pt->p", dx, dy)
+            if t + 1 < lowest:
+                continue
+            end, ax, ay = t + 1, rows_x[:, start : t + 1], rows_y[:, start : t + 1]
+            n = count[:, end] - count[:, start]
+            m = np.maximum(n, 1.0)
+            total_x, total_y = ax.sum(axis=1), ay.sum(axis=1)
+
+            def squares(sq, sm, rows, total):
+                product = 2.0 * (n * (sq[:, end] - sq[:, start]) - (sm[:, end] - sm[:, start]) ** 2)
+                return product / m**2 + total**2 / m**4 - 2.0 * np.einsum("pt,pt->p", rows, rows) / m**3
+
+            cov = cross / m**2 + total_x * total_y / m**4 - 2.0 * np.einsum("pt,pt->p", ax, ay) / m**3
+            var_x, var_y = squares(sq_x, sum_x, ax, total_x), squares(sq_y, sum_y, ay, total_y)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                square = cov / np.sqrt(var_x * var_y)
+                value = np.sqrt(square)
+                trusted = (
+                    (var_x * n**2 > _QUIET_SHARE * scale_x)
+                    & (var_y * n**2 > _QUIET_SHARE * scale_y)
+                    & (square > _SMALL_SQUARE)
+                )
+            value[n == 1] = 0.0
+            redo = np.flatnonzero(~trusted & (n > 1))
+            if len(redo):
+                value[redo] = distance_correlation_windows(x[redo, start:end], y[redo, start:end])
+            value[n == 0] = np.nan
+            result[:, t - first] = value
+        out[w] = result
+    return out
+
+
 def pearson_windows(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Pearson correlation of each row of two (k, W) arrays; NaN if a side is constant."""
     ok = np.isfinite(x) & np.isfinite(y)

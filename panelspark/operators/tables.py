@@ -1,16 +1,26 @@
 """Catalog tables: create, append, change, query.
 
-Plain parquet tables know no UPDATE, DELETE or MERGE, so changing operations write
-the new content to ``<table>__staging`` and swap it in. The swap is a drop and a
-rename: not atomic, but the staging table is complete before the old one goes, and
-``TableStore.recover`` finishes a swap that was cut off in between.
+Plain parquet tables know no UPDATE, DELETE or MERGE, so changing operations write the new
+content to a folder of its own, a version, and then point the catalog at it:
+
+* a table without partitions by one ``ALTER TABLE ... SET LOCATION``;
+* a partitioned one by a table property that names the version, then partition by partition.
+  Whoever reads through :class:`TableStore` finishes a switch that was cut off first, so rows
+  are those before the property was set, or those after the whole change.
+
+A table is never absent meanwhile. Only where a table is created anew with other columns, its
+content goes to ``<table>__staging``, the table is dropped and the staging table renamed;
+``TableStore.recover`` finishes that, too.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +28,12 @@ from pyspark.sql import types as T
 
 from panelspark.names import c, check_case_collisions, literal, q, qtable
 from panelspark.operators import keyed
+from panelspark.sources import hadoop
 
+# Names the version folder that a partitioned table is being switched to.
+_PENDING = "panelspark.pending"
+# Fixed value: how partition folders name a null.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 # Storage type names accepted besides Spark's own.
 TYPE_ALIASES = {"TEXT": "string", "INTEGER": "bigint", "REAL": "double"}
 
@@ -55,9 +70,19 @@ def _same(values: Mapping[str, Any]) -> Column:
     return reduce(Column.__and__, [c(name).eqNullSafe(F.lit(value)) for name, value in values.items()])
 
 
-def _sql_value(value: Any) -> str:
-    """A partition value in SQL; Spark casts the text to the column's type."""
-    return "NULL" if value is None else literal(str(value))
+def any_of(rows: Sequence[Mapping[str, Any]]) -> Column:
+    """Rows that agree with one of some sets of values, as a balanced tree of conditions."""
+    conditions = [_same(row) for row in rows]
+    while len(conditions) > 1:
+        conditions = [reduce(Column.__or__, conditions[i : i + 2]) for i in range(0, len(conditions), 2)]
+    return conditions[0]
+
+
+def _spec(folder: str) -> str:
+    """``a=1/b=x`` as a PARTITION clause; Spark casts the texts to the columns' types."""
+    pairs = (part.split("=", 1) for part in folder.split("/"))
+    values = [(unquote(name), None if value == _NULL_FOLDER else unquote(value)) for name, value in pairs]
+    return ", ".join(f"{q(name)} = {'NULL' if value is None else literal(value)}" for name, value in values)
 
 
 class TableStore:
@@ -72,6 +97,8 @@ class TableStore:
         return self.spark.catalog.tableExists(qtable(table))
 
     def table(self, name: str) -> DataFrame:
+        """The rows of a table, after a change that was cut off has been finished."""
+        self.recover(name)
         return self.spark.table(qtable(name))
 
     def require(self, tables: Sequence[str]) -> None:
@@ -203,7 +230,7 @@ class TableStore:
         self.require([table])
         before = self.table(table)
         unique = keyed.deduplicate(before, columns, keep, order_by)
-        return before.count() - self._replace(table, unique)
+        return before.count() - self._switch(table, unique)
 
     def upsert(
         self,
@@ -214,11 +241,17 @@ class TableStore:
     ) -> int:
         """Add rows, replacing those with the same key; returns the table's new size."""
         before = self.table(table)
-        return self._replace(table, keyed.upsert(before, align_to(df, before.schema), keys, order_by))
+        return self._switch(table, keyed.upsert(before, align_to(df, before.schema), keys, order_by))
 
     def recover(self, table: str) -> bool:
-        """Finish a swap cut off between its drop and its rename; True if there was one."""
-        if self.exists(table) or not self.exists(f"{table}__staging"):
+        """Finish a change that was cut off; True if there was one."""
+        if self.exists(table):
+            shown = self.spark.sql(f"SHOW TBLPROPERTIES {qtable(table)}").collect()
+            version = {row[0]: row[1] for row in shown}.get(_PENDING)
+            if version is not None:
+                self._finish(table, version)
+            return version is not None
+        if not self.exists(f"{table}__staging"):
             return False
         self._rename(f"{table}__staging", table)
         return True
@@ -231,32 +264,29 @@ class TableStore:
         if everywhere or not parts:
             found = hits.count()
             if found:
-                self._replace(table, change(before))
+                self._switch(table, change(before))
             return found
         # one row per partition that holds a match
         touched = hits.groupBy(*map(c, parts)).count().collect()
-        for row in touched:
-            values = {name: row[name] for name in parts}
-            self.replace_partition(table, change(before.where(_same(values))), values)
+        if touched:
+            values = [{name: row[name] for name in parts} for row in touched]
+            self.replace_partitions(table, change(before.where(any_of(values))), values)
         return sum(row["count"] for row in touched)
 
-    def replace_partition(self, table: str, rows: DataFrame, values: Mapping[str, Any]) -> None:
-        """Write the rows of one partition anew, by way of a staging table, or drop it if none are left.
+    def replace_partitions(self, table: str, rows: DataFrame, touched: Sequence[Mapping[str, Any]]) -> int:
+        """Make ``rows`` the content of some partitions, in one job; returns how many there are.
 
-        A run cut off in between leaves the rows in ``<table>__partition``."""
-        staging, names = f"{table}__partition", list(values)
-        plain = [name for name in rows.columns if name not in names]
-        self.drop(staging)
-        left = self._write(staging, rows.select(*map(c, plain)), ())
-        spec = ", ".join(f"{q(name)} = {_sql_value(value)}" for name, value in values.items())
-        if left:
-            columns = ", ".join(map(q, plain))
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {qtable(table)} PARTITION ({spec}) SELECT {columns} FROM {qtable(staging)}"
-            )
-        else:
-            self.spark.sql(f"ALTER TABLE {qtable(table)} DROP PARTITION ({spec})")
-        self.drop(staging)
+        Partitions of which no row is left are dropped, all others stay as they are."""
+        names = self._partitioning(table)
+        types = self.table(table).select(*map(c, names)).schema
+        given = self.spark.createDataFrame([tuple(row[n] for n in names) for row in touched], types)
+        return self._switch(table, rows, [r[0] for r in given.select(self._folder_of(names)).collect()])
+
+    @staticmethod
+    def _folder_of(names: Sequence[str]) -> Column:
+        """The folder of a row's partition, as far as it tells partitions apart."""
+        texts = [F.concat(F.lit(f"{n}="), F.coalesce(c(n).cast("string"), F.lit(_NULL_FOLDER))) for n in names]
+        return F.concat_ws("/", *texts)
 
     def _make_room(self, table: str, overwrite: bool) -> bool:
         if self.exists(table):
@@ -277,17 +307,72 @@ class TableStore:
         writer.saveAsTable(qtable(table))
         return seen.get["rows"]
 
-    def _replace(self, table: str, df: DataFrame, partition_by: Sequence[str] | None = None) -> int:
-        """Swap the content of a table; returns the rows written."""
+    def _replace(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> int:
+        """New content, columns and partitions for a table; returns the rows written."""
+        before, parts = self.table(table), list(partition_by)
+        plain = [name for name in df.columns if name not in parts]
+        same = [(n, df.schema[n].dataType) for n in [*plain, *parts]] == [(f.name, f.dataType) for f in before.schema]
+        if same and parts == self._partitioning(table):
+            return self._switch(table, df)
         staging = f"{table}__staging"
-        if partition_by is None:
-            partition_by = self._partitioning(table)
         self.drop(staging)
         rows = self._write(staging, df, partition_by)
         self.drop(table)
         self._rename(staging, table)
         return rows
 
+    def _detail(self, table: str, partition: str = "") -> dict[str, str]:
+        described = self.spark.sql(f"DESCRIBE EXTENDED {qtable(table)} {partition}").collect()
+        what = "# Detailed Partition" if partition else "# Detailed Table"
+        at = max(i for i, row in enumerate(described) if row[0].startswith(what))
+        # sections on the storage follow; of a name that comes twice the first counts
+        return {row[0]: row[1] for row in reversed(described[at:])}
+
+    def _switch(self, table: str, df: DataFrame, touched: Sequence[str] | None = None) -> int:
+        """Write a version of a table, or of the partitions ``touched``, and make it the content."""
+        detail, parts = self._detail(table), self._partitioning(table)
+        root = detail["Location"].rstrip("/")
+        version = f"{root}/_v-{uuid.uuid4().hex}" if parts else f"{root.split('__v-')[0]}__v-{uuid.uuid4().hex}"
+        seen = Observation()
+        df = df.select(*map(c, self.spark.table(qtable(table)).columns))
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        (writer.partitionBy(*parts) if parts else writer).parquet(version)
+        if not parts:
+            self.spark.sql(f"ALTER TABLE {qtable(table)} SET LOCATION {literal(version)}")
+            if detail.get("Type") == "MANAGED":
+                hadoop.delete(root)
+            return seen.get["rows"]
+        made = self._folders(version)
+        held = {unquote(row[0]): row[0] for row in self.spark.sql(f"SHOW PARTITIONS {qtable(table)}").collect()}
+        replaced = held if touched is None else {name: held[name] for name in touched if name in held}
+        old = {folder: self._detail(table, f"PARTITION ({_spec(folder)})")["Location"] for folder in replaced.values()}
+        hadoop.write_text(f"{version}/_switch", json.dumps({"made": made, "old": old}))
+        self.spark.sql(f"ALTER TABLE {qtable(table)} SET TBLPROPERTIES ({literal(_PENDING)} = {literal(version)})")
+        self._finish(table, version)
+        return seen.get["rows"]
+
+    def _folders(self, version: str) -> list[str]:
+        """The partition folders of a version."""
+        start = hadoop.qualified(version).removeprefix("file:").rstrip("/")
+        paths = (path.removeprefix("file:").replace("//", "/") for path in hadoop.list_files(version, True))
+        found = (path.removeprefix(start).strip("/").rpartition("/")[0] for path in paths)
+        return sorted({folder for folder in found if folder})
+
+    def _finish(self, table: str, version: str) -> None:
+        """Point partitions at a version. Can be cut off and done again at any step."""
+        note = json.loads(hadoop.read_text(f"{version}/_switch"))
+        held = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {qtable(table)}").collect()}
+        for folder in note["made"]:
+            place = f"LOCATION {literal(f'{version}/{folder}')}"
+            way = f"PARTITION ({_spec(folder)}) SET {place}" if folder in held else f"ADD PARTITION ({_spec(folder)}) {place}"
+            self.spark.sql(f"ALTER TABLE {qtable(table)} {way}")
+        for folder in note["old"].keys() & held - set(note["made"]):
+            self.spark.sql(f"ALTER TABLE {qtable(table)} DROP IF EXISTS PARTITION ({_spec(folder)})")
+        for folder, location in note["old"].items():
+            if location.rstrip("/").endswith("=" + folder.rpartition("=")[2]):  # a partition's own folder
+                hadoop.delete(location)
+        self.spark.sql(f"ALTER TABLE {qtable(table)} UNSET TBLPROPERTIES IF EXISTS ({literal(_PENDING)})")
+
     def _rename(self, old: str, new: str) -> None:
         self.spark.sql(f"ALTER TABLE {qtable(old)} RENAME TO {qtable(new)}")
         if self._partitioning(new):

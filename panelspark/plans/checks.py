@@ -197,6 +197,42 @@ SELECT e.date, e.source1, e.source2, '{observable}' AS observable, {w} AS window
 FROM e LEFT JOIN c USING (source1, source2, t) LEFT JOIN z USING (source1, source2, t)"""
 
 
+def long_dcorr_sql(panel: str, observable: str, w: int) -> str:
+    """As :func:`dcorr_sql` with running sums: what a date adds when it comes and takes when it goes."""
+    return f"""
+WITH {panel}, {_grid_sql(observable)},
+v AS (SELECT source1, source2, i, x, y FROM g WHERE x IS NOT NULL),
+d AS (SELECT a.source1, a.source2, a.i AS hi, b.i AS lo, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy
+      FROM v a JOIN v b ON b.source1 = a.source1 AND b.source2 = a.source2 AND b.i < a.i AND b.i > a.i - {w}),
+ab AS (SELECT source1, source2, t, sum(ab) OVER o AS ab, sum(aa) OVER o AS aa, sum(bb) OVER o AS bb, sum(n) OVER o AS n
+      FROM (SELECT source1, source2, t, sum(ab) AS ab, sum(aa) AS aa, sum(bb) AS bb, sum(n) AS n FROM (
+              SELECT source1, source2, hi AS t, 2 * sum(dx * dy) AS ab, 2 * sum(dx * dx) AS aa, 2 * sum(dy * dy) AS bb, 0 AS n
+              FROM d GROUP BY ALL UNION ALL
+              SELECT source1, source2, lo + {w}, -2 * sum(dx * dy), -2 * sum(dx * dx), -2 * sum(dy * dy), 0 FROM d GROUP BY ALL
+              UNION ALL SELECT source1, source2, i, 0, 0, 0, 1 FROM v
+              UNION ALL SELECT source1, source2, i + {w}, 0, 0, 0, -1 FROM v
+              UNION ALL SELECT source1, source2, i, 0, 0, 0, 0 FROM g) GROUP BY ALL)
+      WINDOW o AS (PARTITION BY source1, source2 ORDER BY t ROWS UNBOUNDED PRECEDING)),
+r AS (SELECT source1, source2, p, t, sum(dx) OVER o AS rx, sum(dy) OVER o AS ry
+      FROM (SELECT source1, source2, p, t, sum(dx) AS dx, sum(dy) AS dy FROM (
+              SELECT source1, source2, hi AS p, hi AS t, sum(dx) AS dx, sum(dy) AS dy FROM d GROUP BY ALL UNION ALL
+              SELECT source1, source2, lo, hi, dx, dy FROM d UNION ALL
+              SELECT source1, source2, hi, lo + {w}, -dx, -dy FROM d UNION ALL
+              SELECT source1, source2, i, unnest(range(i, i + {w})), 0, 0 FROM v) GROUP BY ALL)
+      WINDOW o AS (PARTITION BY source1, source2, p ORDER BY t ROWS UNBOUNDED PRECEDING)),
+h AS (SELECT source1, source2, t, sum(rx) AS a, sum(ry) AS b, sum(rx * ry) AS xy, sum(rx * rx) AS xx, sum(ry * ry) AS yy
+      FROM r GROUP BY ALL),
+z AS (SELECT source1, source2, t, n,
+        ab / n ** 2 + a * b / n ** 4 - 2 * xy / n ** 3 AS cv,
+        aa / n ** 2 + a * a / n ** 4 - 2 * xx / n ** 3 AS vx,
+        bb / n ** 2 + b * b / n ** 4 - 2 * yy / n ** 3 AS vy
+      FROM ab JOIN h USING (source1, source2, t))
+SELECT g.date, g.source1, g.source2, '{observable}' AS observable, {w} AS window_size, 'dcorr' AS corr_type,
+  CASE WHEN z.n IS NULL OR z.n = 0 THEN NULL WHEN z.vx > 0 AND z.vy > 0
+    THEN round(sqrt(greatest(cv, 0) / sqrt(vx * vy)) + 1e-9, 4) + 0.0 ELSE 0.0 END AS "Correlation"
+FROM g LEFT JOIN z ON z.source1 = g.source1 AND z.source2 = g.source2 AND z.t = g.i WHERE g.i >= {w}"""
+
+
 @query(pearson_sql(ORDERS_PANEL, "price", [20]))
 def rolling_pearson(spark, sf_dir):
     return rounded(window_correlations(orders_panel(spark, sf_dir), ["price"], [20], [PEARSON]))
@@ -207,6 +243,12 @@ def rolling_dcorr(spark, sf_dir):
     return rounded(window_correlations(orders_panel(spark, sf_dir), ["price"], [20], [DCORR]))
 
 
+@query(long_dcorr_sql(ORDERS_PANEL, "price", 520))
+def dcorr_long_window(spark, sf_dir):
+    """Windows of two years of trading days, for which no table of distances is kept."""
+    return rounded(window_correlations(orders_panel(spark, sf_dir), ["price"], [520], [DCORR]))
+
+
 @query(
     pearson_sql(ORDERS_PANEL, "price", [20, 40, 60, 90])
     + " UNION ALL SELECT * FROM ("

@@ -1,9 +1,11 @@
 import datetime as dt
+import tracemalloc
 
 import numpy as np
 import pandas as pd
 import pytest
 
+from panelspark.functions import rolling
 from panelspark.functions.rolling import rolling_distance_correlation, rolling_pearson
 from panelspark.operators.correlation import (
     correlation_matrix, rolling_correlation, tasks_for, window_correlations,
@@ -152,3 +154,38 @@ def test_panel_is_read_twice(spark, wide, plan, tmp_path):
 def test_tasks_follow_the_work():
     assert tasks_for(100, 3, 1, [20]) == 1
     assert tasks_for(5000, 10_000, 13, [20, 90]) == -(-40 * 157 * 158 // 2 * 13 // 8)
+
+
+def test_long_windows_by_sorting_and_carrying():
+    rng = np.random.default_rng(3)
+    for width in (3, 17, 64, 300):
+        x = rng.standard_normal((6, width))
+        y = np.where(rng.random(x.shape) < 0.5, x, rng.standard_normal(x.shape))
+        x[rng.random(x.shape) < 0.2] = np.nan
+        y[1], x[2] = 2.0, np.nan
+        x[3], y[3] = np.round(x[3]), np.round(y[3])
+        np.testing.assert_allclose(rolling._by_sorting(x, y), rolling._direct(x, y), atol=1e-7)
+    x = rng.standard_normal((4, 400))
+    y = x**2 + 0.3 * rng.standard_normal(x.shape)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[1, 50:200] = 3.0
+    y[2] *= np.where(np.arange(400) < 200, 1e6, 1e-6)
+    for first in (0, 90, 250):
+        for windows in ([1, 2, 20], [100, 300], [399, 400, 401]):
+            want = rolling._dcor_batch(x, y, windows, first)
+            got = rolling._dcor_carried(x, y, windows, first)
+            for w in windows:
+                np.testing.assert_allclose(got[w], want[w], atol=1e-7)
+
+
+def test_a_pair_at_a_window_of_ten_years_takes_little_memory():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1, 2700))
+    y = x + rng.standard_normal(x.shape)
+    tracemalloc.start()
+    got = rolling.rolling_distance_correlation(x, y, [2520], 2519)[2520]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+    want = rolling.distance_correlation_windows(x[:, -2520:], y[:, -2520:])
+    np.testing.assert_allclose(got[:, -1], want, atol=1e-9)
