@@ -32,6 +32,8 @@ from panelspark.sources import hadoop
 
 # Names the version folder that a partitioned table is being switched to.
 _PENDING = "panelspark.pending"
+# Partitions added by one statement.
+_AT_ONCE = 200
 # Fixed value: how partition folders name a null.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 # Storage type names accepted besides Spark's own.
@@ -71,11 +73,20 @@ def _same(values: Mapping[str, Any]) -> Column:
 
 
 def any_of(rows: Sequence[Mapping[str, Any]]) -> Column:
-    """Rows that agree with one of some sets of values, as a balanced tree of conditions."""
-    conditions = [_same(row) for row in rows]
-    while len(conditions) > 1:
-        conditions = [reduce(Column.__or__, conditions[i : i + 2]) for i in range(0, len(conditions), 2)]
-    return conditions[0]
+    """Rows that agree with one of some sets of values of the same columns.
+
+    Sets that differ in the last column alone are one condition, so that hundreds of partitions
+    do not make a plan of thousands of comparisons."""
+    *names, last = rows[0]
+    groups: dict[tuple, set] = {}
+    for row in rows:
+        groups.setdefault(tuple(row[name] for name in names), set()).add(row[last])
+    conditions = []
+    for first, values in groups.items():
+        here = c(last).isin(sorted(values - {None}))
+        here = here | c(last).isNull() if None in values else here
+        conditions.append(_same(dict(zip(names, first))) & here if names else here)
+    return reduce(Column.__or__, conditions)
 
 
 def _spec(folder: str) -> str:
@@ -101,6 +112,11 @@ class TableStore:
         self.recover(name)
         return self.spark.table(qtable(name))
 
+    def partitioning(self, table: str) -> list[str]:
+        """The columns a table is partitioned by."""
+        columns = self.spark.catalog.listColumns(qtable(table))
+        return [column.name for column in columns if column.isPartition]
+
     def require(self, tables: Sequence[str]) -> None:
         """Fail naming *all* missing tables."""
         missing = [name for name in tables if not self.exists(name)]
@@ -212,7 +228,7 @@ class TableStore:
 
         Of a partitioned table only the partitions that hold matches are written anew, unless
         a partition column itself is set."""
-        moves = {name.lower() for name in data} & {name.lower() for name in self._partitioning(table)}
+        moves = {name.lower() for name in data} & {name.lower() for name in self.partitioning(table)}
         return self._change(table, lambda df: keyed.update_rows(df, data, where), where, bool(moves))
 
     def delete(self, table: str, where: Mapping[str, Any]) -> int:
@@ -259,7 +275,7 @@ class TableStore:
     # -- helpers ---------------------------------------------------------------
 
     def _change(self, table: str, change, where: Mapping[str, Any], everywhere: bool) -> int:
-        before, parts = self.table(table), self._partitioning(table)
+        before, parts = self.table(table), self.partitioning(table)
         hits = before.where(keyed.matches(where))
         if everywhere or not parts:
             found = hits.count()
@@ -277,7 +293,7 @@ class TableStore:
         """Make ``rows`` the content of some partitions, in one job; returns how many there are.
 
         Partitions of which no row is left are dropped, all others stay as they are."""
-        names = self._partitioning(table)
+        names = self.partitioning(table)
         types = self.table(table).select(*map(c, names)).schema
         given = self.spark.createDataFrame([tuple(row[n] for n in names) for row in touched], types)
         return self._switch(table, rows, [r[0] for r in given.select(self._folder_of(names)).collect()])
@@ -295,10 +311,6 @@ class TableStore:
             self.drop(table)
         return True
 
-    def _partitioning(self, table: str) -> list[str]:
-        columns = self.spark.catalog.listColumns(qtable(table))
-        return [column.name for column in columns if column.isPartition]
-
     def _write(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> int:
         seen = Observation()
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet")
@@ -312,7 +324,7 @@ class TableStore:
         before, parts = self.table(table), list(partition_by)
         plain = [name for name in df.columns if name not in parts]
         same = [(n, df.schema[n].dataType) for n in [*plain, *parts]] == [(f.name, f.dataType) for f in before.schema]
-        if same and parts == self._partitioning(table):
+        if same and parts == self.partitioning(table):
             return self._switch(table, df)
         staging = f"{table}__staging"
         self.drop(staging)
@@ -330,12 +342,14 @@ class TableStore:
 
     def _switch(self, table: str, df: DataFrame, touched: Sequence[str] | None = None) -> int:
         """Write a version of a table, or of the partitions ``touched``, and make it the content."""
-        detail, parts = self._detail(table), self._partitioning(table)
+        detail, parts = self._detail(table), self.partitioning(table)
         root = detail["Location"].rstrip("/")
         version = f"{root}/_v-{uuid.uuid4().hex}" if parts else f"{root.split('__v-')[0]}__v-{uuid.uuid4().hex}"
         seen = Observation()
         df = df.select(*map(c, self.spark.table(qtable(table)).columns))
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        # rows of a partition come together, split where it is large: few files, whatever the number of tasks
+        writer = (df.hint("rebalance", *map(c, parts)) if parts else df).write
         (writer.partitionBy(*parts) if parts else writer).parquet(version)
         if not parts:
             self.spark.sql(f"ALTER TABLE {qtable(table)} SET LOCATION {literal(version)}")
@@ -362,10 +376,12 @@ class TableStore:
         """Point partitions at a version. Can be cut off and done again at any step."""
         note = json.loads(hadoop.read_text(f"{version}/_switch"))
         held = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {qtable(table)}").collect()}
-        for folder in note["made"]:
-            place = f"LOCATION {literal(f'{version}/{folder}')}"
-            way = f"PARTITION ({_spec(folder)}) SET {place}" if folder in held else f"ADD PARTITION ({_spec(folder)}) {place}"
-            self.spark.sql(f"ALTER TABLE {qtable(table)} {way}")
+        place = {folder: f"LOCATION {literal(f'{version}/{folder}')}" for folder in note["made"]}
+        for folder in place.keys() & held:
+            self.spark.sql(f"ALTER TABLE {qtable(table)} PARTITION ({_spec(folder)}) SET {place[folder]}")
+        new = [f"PARTITION ({_spec(folder)}) {place[folder]}" for folder in place.keys() - held]
+        for low in range(0, len(new), _AT_ONCE):
+            self.spark.sql(f"ALTER TABLE {qtable(table)} ADD {' '.join(new[low : low + _AT_ONCE])}")
         for folder in note["old"].keys() & held - set(note["made"]):
             self.spark.sql(f"ALTER TABLE {qtable(table)} DROP IF EXISTS PARTITION ({_spec(folder)})")
         for folder, location in note["old"].items():
@@ -375,6 +391,6 @@ class TableStore:
 
     def _rename(self, old: str, new: str) -> None:
         self.spark.sql(f"ALTER TABLE {qtable(old)} RENAME TO {qtable(new)}")
-        if self._partitioning(new):
+        if self.partitioning(new):
             # some catalogs leave partitions registered at the folder of the old name
             self.spark.sql(f"MSCK REPAIR TABLE {qtable(new)} SYNC PARTITIONS")

@@ -44,7 +44,7 @@ from panelspark.plans.ingest import (
     load_files_into_tables,
     load_world_bank,
 )
-from panelspark.plans.rates import CorrelationArtefacts, run_rates, since
+from panelspark.plans.rates import CorrelationArtefacts, extend_window_corr, run_rates, since
 from panelspark.session import scratch_dir
 from panelspark.sources import hadoop
 from panelspark.sources.files import list_data_files, opened
@@ -422,7 +422,33 @@ def rates_job(spark, sf_dir):
                 spark, folder=folder, create_corr_files=True, populate_from_files=True,
                 tenors=["Y001p0"], windows=[20], start=dt.date(1990, 1, 1),
             )
-    return work.result(rounded(spark.table(f"{database}.window_corr")))
+    return work.result(rounded(spark.table(f"{database}.window_corr").drop("year")))
+
+
+@query(
+    f"""
+SELECT date, "Correlation", 'Y001p0' AS observable, source1, source2, window_size, corr_type,
+  rate_table
+FROM ({_curve_sql(ORDERS_PANEL, "zero_rates")} UNION ALL {_curve_sql(MAX_PANEL, "par_rates")})"""
+)
+def rates_extended(spark, sf_dir):
+    """Correlations of the first dates, brought up to date twice as the rate tables grow."""
+    orders = read(spark, sf_dir, "orders")
+    store, work = TableStore(spark), Workspace(spark)
+    days = orders.agg(F.expr("percentile_approx(o_orderdate, array(0.9, 0.99))")).first()[0]
+    with work.database("extend") as database:
+        for low, high in zip([None, *days], [*days, None]):
+            for table, pick in (("zero_rates", "sum"), ("par_rates", "max"), ("spotfx", "min")):
+                curve = orders.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("source"))
+                curve = curve.agg(F.expr(f"{pick}(o_totalprice)").alias("Y001p0"))
+                if low is not None:
+                    curve = curve.where(F.col("date") > F.to_date(F.lit(low)))
+                if high is not None:
+                    curve = curve.where(F.col("date") <= F.to_date(F.lit(high)))
+                if not store.create_table_from(table, curve):
+                    store.append_to_table(table, curve)
+            extend_window_corr(spark, tenors=["Y001p0"], windows=[20], start=dt.date(1990, 1, 1))
+    return work.result(rounded(spark.table(f"{database}.window_corr").drop("year")))
 
 
 @query(
@@ -1176,6 +1202,29 @@ def csv_late_types(spark, sf_dir):
     return work.result(load_directory(spark, folder))
 
 
+@query(
+    """
+SELECT o_orderkey + 1234567890000000000 AS id, '9' || CAST(o_orderkey AS VARCHAR) || '00000000000000000001' AS big,
+  CASE WHEN o_orderkey % 7 = 0 THEN '9' || CAST(o_orderkey AS VARCHAR) || '00000000000000000000' ELSE CAST(o_orderkey AS VARCHAR) END AS mixed,
+  CAST(o_totalprice AS DOUBLE) AS price FROM orders"""
+)
+def csv_long_ids(spark, sf_dir):
+    """Keys of 19 digits, of more digits than 64 bits hold, and a few such among short ones."""
+    work = Workspace(spark)
+    folder = work.folder("ids")
+    key = F.col("o_orderkey").cast("string")
+    orders = read(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + F.lit(1234567890000000000)).alias("id"),
+        F.concat(F.lit("9"), key, F.lit("00000000000000000001")).alias("big"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("9"), key, F.lit("0" * 20))).otherwise(key).alias("mixed"),
+        F.col("o_totalprice").alias("price"),
+    )
+    for rest in (0, 1):
+        orders.where(F.col("id") % 2 == rest).write.mode("append").csv(folder, header=True)
+    ids = load_directory(spark, folder)
+    return work.result(ids.select("id", F.col("big").cast("string"), F.col("mixed").cast("string"), "price"))
+
+
 @query(
     """
 SELECT 'appended' AS step, count(*) AS n FROM supplier

@@ -22,8 +22,9 @@ from panelspark.config import (
 )
 from panelspark.operators.correlation import DCORR, PEARSON, tasks_for, window_correlations
 from panelspark.operators.coverage import coverage
-from panelspark.operators.keyed import deduplicate, matches, upsert
-from panelspark.operators.tables import TableStore, align_to
+from panelspark.names import c
+from panelspark.operators.keyed import deduplicate, upsert
+from panelspark.operators.tables import TableStore, align_to, any_of
 from panelspark.operators.transforms import CastDate, RenameTenors, SourceFromFilename
 from panelspark.plans.ingest import load_directories_into_tables
 from panelspark.sources import hadoop
@@ -167,6 +168,11 @@ class CorrelationArtefacts:
         return rows if tenors is None else rows.where(F.col("observable").isin(list(tenors)))
 
 
+# Partitions window_corr by time.
+YEAR = "year"
+_COLUMNS = ("date", "Correlation", "observable", "source1", "source2", "window_size", "corr_type")
+
+
 def save_window_corr(
     spark: SparkSession, rows: DataFrame, table: str = WINDOW_CORR_TABLE, strict: bool = False
 ) -> None:
@@ -174,8 +180,9 @@ def save_window_corr(
 
     Zero and par curves yield rows with the same seven columns, so ``rate_table`` is
     part of the table and of its key. ``strict`` leaves it out; later rows then
-    replace those of the other curve. Only partitions (curve, method, window) in which some row
-    is new or other than before are written, each by way of a staging table.
+    replace those of the other curve. The table is partitioned by curve, method, window and
+    year. Only partitions that the batch has rows of are read, and only those in which a row is
+    new or other than before are written, all in one job.
     """
     key = list(WINDOW_CORR_KEY)
     extra = [] if strict else ["rate_table"]
@@ -183,33 +190,106 @@ def save_window_corr(
         rows = deduplicate(
             rows.withColumn("__par", F.col("rate_table") == "par_rates"), key, "last", ["__par"]
         )
-    partitions = [*extra, "corr_type", "window_size"]
-    rows = rows.select("date", "Correlation", "observable", "source1", "source2", *partitions)
+    rows = rows.withColumn(YEAR, F.year("date"))
     store = TableStore(spark)
     if not store.exists(table):
-        store.create_table(table, rows.schema, partition_by=partitions)
+        partitions = [*extra, "corr_type", "window_size", YEAR]
+        plain = ["date", "Correlation", "observable", "source1", "source2"]
+        store.create_table(table, rows.select(*plain, *partitions).schema, partition_by=partitions)
     existing = store.table(table)
-    rows = align_to(rows, existing.schema)
-    # curves x methods x window sizes: a handful
-    changed = rows.exceptAll(existing).select(*partitions).distinct().collect()
-    for part in changed:
-        values = part.asDict()
-        held = existing.where(matches(values))
-        merged = upsert(held, rows.where(matches(values)), key + extra)
-        store.replace_partition(table, merged, values)
+    partitions = store.partitioning(table)
+    rows = align_to(rows.select(*_COLUMNS, *extra, *({YEAR} & set(existing.columns))), existing.schema)
+    # curves x methods x window sizes x years of the batch
+    touched = [part.asDict() for part in rows.select(*partitions).distinct().collect()]
+    if not touched:
+        return
+    held = existing.where(any_of(touched))
+    changed = [part.asDict() for part in rows.exceptAll(held).select(*partitions).distinct().collect()]
+    if changed:
+        here = any_of(changed)
+        store.replace_partitions(table, upsert(existing.where(here), rows.where(here), key + extra), changed)
+
+
+def watermarks(spark: SparkSession, table: str = WINDOW_CORR_TABLE) -> DataFrame:
+    """rate_table, corr_type, window_size, last: how far each kind of correlation is computed."""
+    by = ["rate_table", "corr_type", "window_size"]
+    return TableStore(spark).table(table).groupBy(*by).agg(F.max("date").alias("last"))
+
+
+def new_correlations(
+    panel: DataFrame,
+    last: dt.date | None,
+    tenors: Sequence[str] = DEFAULT_TENORS,
+    windows: Sequence[int] = DEFAULT_WINDOWS,
+    methods: Sequence[str] = tuple(ARTEFACT_PREFIX),
+) -> DataFrame:
+    """Correlations of the dates after ``last``, from these dates and the ``max(windows) - 1`` before.
+
+    The rows are those of the whole panel, sources without a value since then included.
+    """
+    if last is None:
+        return window_correlations(panel, tenors, windows, methods)
+    reach = max(windows) - 1
+    days = panel.where(F.col("date") <= F.lit(last)).select("date").distinct().orderBy(F.desc("date")).limit(max(reach, 1))
+    first = days.agg(F.min("date")).first()[0] if reach else None
+    lately = panel.where(F.col("date") >= F.lit(first) if first else F.col("date") > F.lit(last))
+    # a source that has gone quiet still has rows, which are null
+    quiet = panel.select("source").distinct().join(lately.select("source").distinct(), "source", "left_anti")
+    blank = [F.lit(None).cast("double").alias(t) for t in tenors]
+    start = lately.agg(F.min("date").alias("date")).where("date IS NOT NULL")
+    filled = lately.select("date", "source", *map(c, tenors)).unionByName(
+        quiet.crossJoin(F.broadcast(start)).select("date", "source", *blank)
+    )
+    return window_correlations(filled, tenors, windows, methods).where(F.col("date") > F.lit(last))
+
+
+def extend_window_corr(
+    spark: SparkSession,
+    *,
+    tenors: Sequence[str] = DEFAULT_TENORS,
+    windows: Sequence[int] = DEFAULT_WINDOWS,
+    start: dt.date = DEFAULT_START,
+    table: str = WINDOW_CORR_TABLE,
+) -> dict[str, int]:
+    """Bring ``window_corr`` up to the last dates of the rate tables; returns the dates added by table.
+
+    Each curve, method and window goes on from its own last date. New dates are computed from
+    the window before them, and written to the partitions of their years. Dates that were
+    changed after they had been computed need the whole run.
+    """
+    frames = rate_tables(spark)
+    known = {}
+    if TableStore(spark).exists(table):
+        known = {(r["rate_table"], r["corr_type"], r["window_size"]): r["last"] for r in watermarks(spark, table).collect()}
+    added = {}
+    for name in CORRELATED_TABLES:
+        panel = since(frames[name], start)
+        groups: dict[tuple, list] = {}
+        for method in ARTEFACT_PREFIX:
+            for window in windows:
+                groups.setdefault((method, known.get((name, method, window))), []).append(window)
+        days = 0
+        for (method, last), sizes in groups.items():
+            fresh = panel if last is None else panel.where(F.col("date") > F.lit(last))
+            new = fresh.select("date").distinct().count()
+            if new:
+                rows = new_correlations(panel, last, tenors, sizes, [method])
+                save_window_corr(spark, rows.withColumn("rate_table", F.lit(name)), table)
+            days = max(days, new)
+        added[name] = days
+    return added
 
 
 def window_corr_strict(spark: SparkSession, table: str = WINDOW_CORR_TABLE) -> DataFrame:
     """The seven result columns without ``rate_table``; par rows stand for shared keys."""
     df = TableStore(spark).table(table)
-    columns = ["date", "Correlation", "observable", "source1", "source2", "window_size", "corr_type"]
     if "rate_table" not in df.columns:
-        return df.select(*columns)
+        return df.select(*_COLUMNS)
     rank = F.when(F.col("rate_table") == "par_rates", 1).otherwise(0)
     best = df.groupBy(*WINDOW_CORR_KEY).agg(
         F.max_by("Correlation", F.struct(rank, F.col("rate_table"))).alias("Correlation")
     )
-    return best.select(*columns)
+    return best.select(*_COLUMNS)
 
 
 def create_correlation_files(

@@ -31,8 +31,10 @@ from panelspark.sources.hadoop import exists, qualified
 KINDS = {".csv": "csv", ".feather": "ipc", ".ipc": "ipc", ".parquet": "parquet"}
 SUPPORTED_EXTENSIONS = frozenset(KINDS)
 
+# Integers beyond 64 bits, up to 38 digits; longer ones stay text.
+_LONG_INTEGER = "decimal(38,0)"
 # What texts of a CSV column look like, for Python and Java alike.
-_INTEGER = r"[+-]?[0-9]{1,18}"
+_INTEGER = r"[+-]?[0-9]+"
 _FLOAT = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|-?Inf|NaN"
 _BOOLEAN = r"[Tt][Rr][Uu][Ee]|[Ff][Aa][Ll][Ss][Ee]"
 
@@ -139,29 +141,35 @@ def _csv_head(path: str, rows: Iterator[list[str]], infer_rows: int | None):
 
 def _type_of(text: str) -> str:
     if re.fullmatch(_INTEGER, text):
-        return "bigint"
+        if -(1 << 63) <= int(text) < 1 << 63:
+            return "bigint"
+        return _LONG_INTEGER if len(text.lstrip("+-")) <= 38 else "string"
     if re.fullmatch(_FLOAT, text):
         return "double"
     return "boolean" if re.fullmatch(_BOOLEAN, text) else "string"
 
 
 def column_type(kinds: Collection[str]) -> str:
-    """One type for the texts of a column; dates stay text, mixed columns too."""
+    """One type for the texts of a column; dates stay text, mixed columns too.
+
+    Integers of any length stay exact; only fractions among them make a column double."""
     kinds = set(kinds)
     if len(kinds) == 1:
         return kinds.pop()
-    return "double" if kinds == {"bigint", "double"} else "string"
+    if kinds == {"bigint", _LONG_INTEGER}:
+        return _LONG_INTEGER
+    return "double" if "double" in kinds and kinds <= {"bigint", _LONG_INTEGER, "double"} else "string"
 
 
 def kinds_of_all(texts: DataFrame) -> list[list[str]]:
     """The kinds of text in each column over all rows, in one aggregate."""
 
     def kinds(name: str) -> Column:
-        is_kind = {k: c(name).rlike(f"^(?:{p})$") for k, p in (("bigint", _INTEGER), ("double", _FLOAT), ("boolean", _BOOLEAN))}
-        kind = F.when(c(name).isNotNull(), F.lit("string"))
-        for k in ("boolean", "double", "bigint"):
-            kind = F.when(is_kind[k], F.lit(k)).otherwise(kind)
-        return F.collect_set(kind)  # four values at most
+        text, looks = c(name), lambda pattern: c(name).rlike(rf"^(?:{pattern})\z")
+        digits = F.length(F.regexp_replace(text, "^[+-]", ""))
+        integer = F.when(text.try_cast("bigint").isNotNull(), "bigint").when(digits <= 38, _LONG_INTEGER).otherwise("string")
+        kind = F.when(looks(_INTEGER), integer).when(looks(_FLOAT), "double").when(looks(_BOOLEAN), "boolean")
+        return F.collect_set(F.when(text.isNotNull(), kind.otherwise("string")))  # five values at most
 
     names = texts.columns
     if not names:

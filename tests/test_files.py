@@ -203,3 +203,24 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     for master in ("yarn", "local-cluster[2,1,1024]"):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             scratch_dir(Session(master, None), "a")
+
+
+@pytest.mark.parametrize("look", [None, 100])
+def test_csv_integers_of_any_length_stay_exact(spark, tmp_path, look):
+    columns = {
+        "id": ["1234567890123456789", "1234567890123456788", "-9223372036854775808"],
+        "big": ["9223372036854775808", "1", "-99999999999999999999999999999999999999"],
+        "text": ["9" * 39, "1", "2"],
+        "zeros": ["0000000000000000000000000000000000000000012", "+5", "7"],
+        "real": ["12345678901234567890", "0.5", "1"],
+        "flag": ["true", "9223372036854775808", ""],
+    }
+    lines = [",".join(columns), *map(",".join, zip(*columns.values()))]
+    (tmp_path / "ids.csv").write_text("\n".join(lines) + "\n")
+    df = read_file(spark, tmp_path / "ids.csv", csv_infer_schema_length=look)
+    assert dict(df.dtypes) == {
+        "id": "bigint", "big": "decimal(38,0)", "text": "string", "zeros": "bigint", "real": "double", "flag": "string"
+    }
+    got = df.collect()
+    assert [str(r["big"]) for r in got] == columns["big"] and [r["id"] for r in got] == [int(x) for x in columns["id"]]
+    assert [r["zeros"] for r in got] == [12, 5, 7] and got[0]["text"] == "9" * 39

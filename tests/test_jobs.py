@@ -4,6 +4,7 @@ import uuid
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from panelspark.operators.coverage import coverage
 from panelspark.operators.tables import TableStore
@@ -12,7 +13,7 @@ from panelspark.plans.ingest import (
 )
 from panelspark.plans.rates import (
     CorrelationArtefacts, create_correlation_files, rate_tables, rates_coverage, run_rates, save_window_corr,
-    since, window_corr_strict,
+    extend_window_corr, new_correlations, since, watermarks, window_corr_strict,
 )
 from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_friday, snapshot_path
 
@@ -219,3 +220,33 @@ def test_strict_save_keeps_par_and_other_partitions(spark, rows):
     assert rows(table, "Correlation", "window_size") == [(0.1, 20), (0.5, 40)]
     save_window_corr(spark, batch((0.7, 20, "zero_rates")), strict=True)
     assert rows(spark.table("window_corr"), "Correlation", "window_size") == [(0.5, 40), (0.7, 20)]
+
+
+def test_new_days_come_from_the_days_before_them(spark, rows, plan):
+    data = [
+        (dt.date(2024, 1, 1) + dt.timedelta(d), source, float((d * 7 + len(source) * d * d) % 11), float(d % 5))
+        for d in range(60) for source in ("a", "bb", "ccc") if not (source == "ccc" and d > 20)
+    ]
+    panel = spark.createDataFrame(data, "date date, source string, Y001p0 double, Y002p0 double")
+    last = dt.date(2024, 2, 27)
+    whole = new_correlations(panel, None, ["Y001p0", "Y002p0"], [3, 5])
+    got = new_correlations(panel, last, ["Y001p0", "Y002p0"], [3, 5])
+    # two new days, pearson and dcorr, two windows, three pairs (one of them of a quiet source), two tenors
+    assert got.count() == 2 * 2 * 2 * 3 * 2
+    same = lambda df: rows(df.withColumn("Correlation", F.round("Correlation", 9) + F.lit(0.0)))
+    assert same(got) == same(whole.where(F.col("date") > last))
+    spark.createDataFrame(data, panel.schema).where("date < '2024-02-20'").write.saveAsTable("zero_rates")
+    for name in ("par_rates", "spotfx"):
+        spark.table("zero_rates").write.saveAsTable(name)
+    options = dict(tenors=["Y001p0"], windows=[3, 5])
+    assert extend_window_corr(spark, **options) == {"zero_rates": 50, "par_rates": 50}
+    files = {r[0] for r in spark.table("window_corr").select("_metadata.file_path").distinct().collect()}
+    assert extend_window_corr(spark, **options) == {"zero_rates": 0, "par_rates": 0}
+    panel.where("date >= '2024-02-20'").write.insertInto("zero_rates")
+    assert extend_window_corr(spark, **options) == {"zero_rates": 10, "par_rates": 0}
+    after = {r[0] for r in spark.table("window_corr").select("_metadata.file_path").distinct().collect()}
+    assert {f for f in files if "zero_rates" not in f} <= after  # the other curve is left alone
+    assert {str(r["last"]) for r in watermarks(spark).where("rate_table = 'zero_rates'").collect()} == {"2024-02-29"}
+    kept = spark.table("window_corr").where("rate_table = 'zero_rates'").drop("rate_table", "year")
+    want = whole.where("observable = 'Y001p0'")
+    assert same(kept.select(want.columns)) == same(want)
