@@ -1,11 +1,14 @@
 """Language identification by prediction by partial matching.
 
 For each language the bytes of a bounded sample of labelled documents make a context tree of
-variable order: a context of three bytes is a node where it was seen often enough, else its
-suffix stands for it. Escape probabilities (method C) hand what a node has not seen to its
-suffix. The statistics are frozen, so the cost of a byte in bits is a function of its three
-predecessors: all costs are laid out as one table with a row per node, and a text's exact code
-length under every language is a sum of table look-ups.
+variable order: a context of three bytes is a node where the language has it often enough, else
+its suffix stands for it. Escape probabilities (method C) hand what a node has not seen to its
+suffix, down to 1/256 for every byte. A tree is kept sparse, as sorted runs of the bytes it has
+seen and of its nodes, about 1 MB for 9 MB of text; it is fitted in a task of its language.
+
+The statistics are frozen, so the cost of a byte is a function of its three predecessors. A piece
+of text looks its distinct runs of four bytes up in every tree, once each; a text's exact code
+length under a language is the sum over its bytes.
 """
 
 from __future__ import annotations
@@ -21,8 +24,8 @@ from panelspark.llm.common import LOWER, pieces
 
 #: Documents per language that the model is fitted on (the expected number; whole texts, by hash).
 SAMPLE = 3000
-#: A context of three bytes is a node from this many bytes seen after it; distinct byte values.
-LEAST_SEEN, MOST_BYTES = 8, 160
+#: A context of three bytes is a node of a language from this many bytes seen after it.
+LEAST_SEEN = 8
 #: Fixed point of costs: 1/1024 bit, so sums are whole numbers and do not depend on their order.
 _UNIT = 1024
 UNDETERMINED = "und"
@@ -56,51 +59,74 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
 
-def _nodes(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Probabilities in each context (rows) of each byte, from counts and those of the suffix."""
-    total, kinds = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
-    seen = np.where(counts > 0, counts, kinds * lower)
-    return np.where(total > 0, seen / np.maximum(total + kinds, 1), lower)
+def fit_language(gram: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """The tree of one language from runs of four bytes (as numbers, the last byte lowest) and counts.
+
+    For orders 0 to 3: (runs of context and byte, their costs, contexts, costs of escaping them),
+    runs and contexts in rising order, costs in units of 1/1024 bit.
+    """
+    tree = []
+    for order in range(_ORDER + 1):
+        run, which = np.unique(gram & np.uint32((1 << 8 * (order + 1)) - 1), return_inverse=True)
+        seen = np.bincount(which, n)
+        context, owner = np.unique(run >> np.uint32(8), return_inverse=True)
+        total, kinds = np.bincount(owner, seen), np.bincount(owner)
+        kept = total >= LEAST_SEEN if order == _ORDER else np.ones(len(context), bool)
+        all_of = total + kinds
+        cost = np.round(-np.log2(seen / all_of[owner]) * _UNIT).astype(np.int32)
+        escape = np.round(-np.log2(kinds / all_of) * _UNIT).astype(np.int32)
+        tree.append((run[kept[owner]], cost[kept[owner]], context[kept], escape[kept]))
+    return tree
 
 
 def fit(grams: list[tuple[str, int, int]]) -> dict:
     """The model from (language, four bytes as a number, count)."""
     langs = sorted({g[0] for g in grams})
-    lang = np.array([langs.index(g[0]) for g in grams], np.int64)
-    gram = np.array([g[1] for g in grams], np.int64)
-    n = np.array([g[2] for g in grams], np.float64)
-    seen = np.bincount(gram & 255, n, 256)
-    kept = np.flatnonzero(seen)
-    kept = np.sort(kept[np.argsort(-seen[kept], kind="stable")[:MOST_BYTES]])
-    classes = np.zeros(256, np.int64)  # class 0: every other byte
-    classes[kept] = np.arange(1, len(kept) + 1)
-    k = len(kept) + 1
-    c = [classes[gram >> s & 255] for s in (24, 16, 8, 0)]
-    triple = (c[0] * k + c[1]) * k + c[2]
-    often = np.bincount(triple, n, k**3) >= LEAST_SEEN
-    index = np.empty(k**3, np.int32)  # deepest node of each context: 0, order 1, order 2, order 3
-    suffix = np.arange(k**3) % (k * k)
-    pairs = np.bincount(c[1] * k + c[2], n, k * k) > 0
-    pair_row = np.where(pairs, 1 + k + np.cumsum(pairs) - 1, 1 + np.arange(k * k) % k)
-    n_pairs, n_triples = int(pairs.sum()), int(often.sum())
-    index[:] = pair_row[suffix]
-    index[often] = 1 + k + n_pairs + np.arange(n_triples)
-    costs = np.empty((1 + k + n_pairs + n_triples, k, len(langs)), np.uint16)
-    for i in range(len(langs)):
-        mine = lang == i
-        s, w = c[3][mine], n[mine]
-        p0 = _nodes(np.bincount(s, w, k), np.full(k, 1 / 256))
-        p1 = _nodes(np.bincount(c[2][mine] * k + s, w, k * k).reshape(k, k), p0)
-        two = (c[1] * k + c[2])[mine]
-        p2 = _nodes(np.bincount(two * k + s, w, k**3).reshape(k * k, k), np.tile(p1, (k, 1)))
-        rows = np.cumsum(often) - 1
-        deep = often[triple[mine]]
-        three = rows[triple[mine][deep]]
-        counts = np.bincount(three * k + s[deep], w[deep], n_triples * k).reshape(n_triples, k)
-        p3 = _nodes(counts, p2[np.flatnonzero(often) % (k * k)])
-        p = np.concatenate([p0[None], p1, p2[pairs], p3])
-        costs[:, :, i] = np.minimum(np.round(-np.log2(p) * _UNIT), 65535)
-    return {"langs": langs, "classes": classes.astype(np.int32), "k": k, "index": index, "costs": costs.reshape(-1, len(langs))}
+    mine = {lang: [g[1:] for g in grams if g[0] == lang] for lang in langs}
+    return {"langs": langs, "trees": [fit_language(*(np.array(x, t) for x, t in zip(zip(*mine[lang]), (np.uint32, np.float64)))) for lang in langs]}
+
+
+def _look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each of ``asked`` is among the keys, and its value."""
+    if not len(keys):
+        return np.zeros(len(asked), bool), np.zeros(len(asked), values.dtype)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return keys[at] == asked, values[at]
+
+
+def _costs(tree: list, grams: np.ndarray) -> np.ndarray:
+    """Cost of the last byte of each run of four under one tree."""
+    out, left = np.zeros(len(grams), np.int32), np.arange(len(grams))
+    for order in range(_ORDER, -1, -1):
+        runs, costs, contexts, escapes = tree[order]
+        asked = grams[left] & np.uint32((1 << 8 * (order + 1)) - 1)
+        found, cost = _look_up(runs, costs, asked)
+        out[left[found]] += cost[found]
+        left, asked = left[~found], asked[~found]
+        is_node, escape = _look_up(contexts, escapes, asked >> np.uint32(8))
+        out[left[is_node]] += escape[is_node]
+    out[left] += 8 * _UNIT
+    return out
+
+
+def _distinct(padded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct runs of four bytes that end at some places, and which of them ends at each."""
+    low = padded[at].astype(np.uint16) | padded[at - 1].astype(np.uint16) << 8
+    high = padded[at - 2].astype(np.uint16) | padded[at - 3].astype(np.uint16) << 8
+    met = np.zeros(1 << 16, bool)
+    met[low] = met[high] = True
+    pairs = np.flatnonzero(met)
+    if len(pairs) > 1 << 12:
+        return np.unique(low | high.astype(np.uint32) << 16, return_inverse=True)
+    number = np.zeros(1 << 16, np.int32)
+    number[pairs] = np.arange(len(pairs))
+    cell = number[high] * np.int32(len(pairs)) + number[low]
+    met = np.zeros(len(pairs) ** 2, bool)
+    met[cell] = True
+    cells = np.flatnonzero(met)
+    number = np.zeros(len(met), np.int32)
+    number[cells] = np.arange(len(cells))
+    return (pairs[cells // len(pairs)] << 16 | pairs[cells % len(pairs)]).astype(np.uint32), number[cell]
 
 
 def code_lengths(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -108,27 +134,43 @@ def code_lengths(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
     out = np.zeros((len(offsets) - 1, len(model["langs"])), np.int64)
     if not len(data):
         return out
-    padded, at = _padded(data, offsets)
-    c, k = model["classes"][padded], model["k"]
-    context = (c[at - 3] * k + c[at - 2]) * k + c[at - 1]
-    costs = model["costs"][model["index"][context].astype(np.int64) * k + c[at]]
+    grams, which = _distinct(*_padded(data, offsets))
     full = np.flatnonzero(np.diff(offsets))
-    out[full] = np.add.reduceat(costs, offsets[:-1][full], axis=0, dtype=np.int64)
+    for i, tree in enumerate(model["trees"]):
+        out[full, i] = np.add.reduceat(_costs(tree, grams)[which], offsets[:-1][full], dtype=np.int64)
     return out
 
 
+def _packed(tree: list) -> bytes:
+    return b"".join(np.int64(len(x)).tobytes() + x.astype("<u4" if j % 2 == 0 else "<i4").tobytes() for part in tree for j, x in enumerate(part))
+
+
+def _unpacked(blob: bytes) -> list[tuple[np.ndarray, ...]]:
+    parts, low = [], 0
+    for j in range(4 * (_ORDER + 1)):
+        size = int(np.frombuffer(blob, "<i8", 1, low)[0])
+        parts.append(np.frombuffer(blob, "<u4" if j % 2 == 0 else "<i4", size, low + 8))
+        low += 8 + 4 * size
+    return [tuple(parts[j : j + 4]) for j in range(0, len(parts), 4)]
+
+
+def _fitted(table: pa.Table) -> pa.Table:
+    gram, n = table["gram"].to_numpy().astype(np.uint32), table["n"].to_numpy().astype(np.float64)
+    tree = _packed(fit_language(gram, n))
+    return pa.table({"lang": pa.array([table["lang"][0].as_py()], pa.string()), "tree": pa.array([tree], pa.binary())})
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> dict:
     """Fit on about ``sample`` whole documents of each language (all, where there are fewer)."""
     rows = _sampled(docs, text, lang, key, sample)
     if rows is None:
         return {"langs": []}
     counted = rows.mapInArrow(_grams, "lang string, gram long, n long")
-    # bounded by the sample: at most the distinct runs of four bytes in it
-    grams = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    grams = grams.sort_values(["lang", "gram"])
-    if grams.empty:
-        return {"langs": []}
-    return fit(list(zip(grams["lang"].tolist(), grams["gram"].tolist(), grams["n"].tolist())))
+    grams = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # a group: the distinct runs of four bytes of a language's sample; a tree comes back for each
+    trees = grams.groupBy("lang").applyInArrow(_fitted, "lang string, tree binary").collect()
+    trees = sorted((r["lang"], bytes(r["tree"])) for r in trees)
+    return {"langs": [lang for lang, _ in trees], "trees": [_unpacked(tree) for _, tree in trees]}
 
 
 def _sampled(docs: DataFrame, text: str, lang: str, key: str, sample: int) -> DataFrame | None:
@@ -153,7 +195,7 @@ def usual(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     rows = _sampled(docs.filter((half == 1) & F.col(text).cast("string").rlike(r"\p{L}")), text, lang, key, sample)
     if rows is None or not model["langs"]:
         return {}
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_BYTES and the sample
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample of each language
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -208,7 +250,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", *columns: Column |
         F.col(text).alias("_text"),
         F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"),
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_BYTES and the sample
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample of each language
     schema = rows.select("_in", *["_text"] * with_text).schema.add("lang_pred", "string").add("score", "double")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

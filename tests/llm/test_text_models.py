@@ -2,7 +2,7 @@
 
 import math
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -48,9 +48,8 @@ def test_code_lengths_follow_the_escapes():
     grams = [("l", ord("c") | ord("b") << 8 | ord("a") << 16 | 10 << 24, 9), ("l", ord("b") | ord("a") << 8 | 10 << 16 | 10 << 24, 9)]
     model = language_id.fit(grams)
     bits = language_id.code_lengths(model, np.frombuffer(b"ab", np.uint8), np.array([0, 2]))[0, 0] / 1024
-    # "a" and the line feed were never predicted: both are the class of all other bytes, and each
-    # context of that class has seen nine times "b"; order 0 has seen two bytes nine and nine times
-    first = -math.log2((1 / 10) ** 3 * 2 / 20 / 256)
+    # no context of line feeds alone was seen; order 0 has seen two bytes, nine times each, and not "a"
+    first = -math.log2(2 / 20 / 256)
     second = -math.log2(9 / 10)
     assert abs(bits - first - second) < 0.01
     assert language_id.code_lengths(model, np.zeros(0, np.uint8), np.array([0, 0])).tolist() == [[0]]
@@ -132,3 +131,65 @@ def test_no_ngram_is_left_out_however_small_the_ranges(docs):
     got = {r["doc_id"]: r["score"] for r in lm_scoring.score(docs(rows), F.col("doc_id") < 1000, most_bytes=1 << 14).collect()}
     close = [abs(got[i] - expected(text)) < 2 for i, text in rows[400:]]  # of about 45; false steps move a score a little
     assert np.mean(close) > 0.95
+
+
+def ppm(grams, order=3, least=8):
+    """Cost function of one language by the definition, in units of 1/1024 bit."""
+    counts = [defaultdict(Counter) for _ in range(order + 1)]
+    for run, n in grams.items():
+        for o in range(order + 1):
+            counts[o][run[order - o : order]][run[order]] += n
+
+    def cost(run):
+        bits = 0
+        for o in range(order, -1, -1):
+            seen = counts[o].get(run[order - o : order])
+            if seen is None or (o == order and sum(seen.values()) < least):
+                continue
+            total = sum(seen.values()) + len(seen)
+            if run[order] in seen:
+                return bits + round(-math.log2(seen[run[order]] / total) * 1024)
+            bits += round(-math.log2(len(seen) / total) * 1024)
+        return bits + 8 * 1024
+
+    return cost
+
+
+def test_code_lengths_match_brute_force(spark, docs):
+    rng = random.Random(5)
+    alphabets = {"aa": "abc d", "bb": "".join(map(chr, range(0x400, 0x520))), "cc": "abé\n\x7f"}
+    text = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    rows = [(i, text(a, rng.randrange(1, 200)), lang) for i in range(60) for lang, a in alphabets.items()]
+    model = language_id.train(docs(rows))
+    assert model["langs"] == sorted(alphabets)
+    grams = {lang: Counter() for lang in alphabets}
+    bytes_of = lambda t: b"\n\n\n" + bytes(b + 32 if 65 <= b <= 90 else b for b in t.encode())
+    for _, t, lang in rows:
+        b = bytes_of(t)
+        grams[lang].update(tuple(b[i - 3 : i + 1]) for i in range(3, len(b)))
+    costs = {lang: ppm(grams[lang]) for lang in alphabets}
+    probes = [text(a, n) for a in [*alphabets.values(), "ABxyz", "".join(map(chr, range(1, 0x3000, 7)))] for n in (0, 1, 2, 50, 300)]
+    data = [t.encode() for t in probes]
+    offsets = np.cumsum([0, *map(len, data)])
+    got = language_id.code_lengths(model, np.frombuffer(b"".join(data), np.uint8), offsets)
+    for t, row in zip(probes, got):
+        b = bytes_of(t)
+        want = [sum(costs[lang](tuple(b[i - 3 : i + 1])) for i in range(3, len(b))) for lang in model["langs"]]
+        assert row.tolist() == want
+
+
+def test_rare_bytes_of_many_scripts_tell_languages_apart(spark, docs):
+    """Two languages that share most byte values and differ in the rare ones."""
+    rng = random.Random(6)
+    chars = [chr(x) for x in (*range(1, 65), *range(91, 128), *range(0x80, 0x800, 3))]
+    rare = {"aa": [chr(0x1000 * i + 0x3F) for i in range(1, 8)], "bb": [chr(0x1000 * i + 0x3F) for i in (8, 9, 10, 11, 12, 14, 15)]}
+    rows = []
+    for i in range(300):
+        lang = "ab"[i % 2] * 2
+        common = "".join(rng.choice(chars) for _ in range(400))
+        rows.append((i, common + "".join(rng.choice(rare[lang]) for _ in range(4)), lang))
+    model = language_id.train(docs(rows))
+    assert len({int(x) for tree in model["trees"] for x in tree[0][0]}) > 160
+    probes = [(1000 + i, "".join(rng.choice(rare["ab"[i % 2] * 2]) for _ in range(5))) for i in range(100)]
+    told = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs([(i, "x" + t) for i, t in probes]), model, "text", "doc_id").collect()}
+    assert all(told[i] == "ab"[i % 2] * 2 for i, _ in probes)
