@@ -3,8 +3,8 @@
 Each pass orders the vectors of a label lexicographically by the concatenated signs of random
 projections and compares every vector with a bounded window of its neighbours. How many passes a
 label needs is measured on a sample of its own vectors, as vectors that lean one way share signs;
-where all pairs are fewer than the passes would compare, all are compared. Pairs that reach
-the threshold are united across passes; inside every group found, all pairs are then compared in
+a label that fits into a window has one pass, which misses nothing. Pairs that reach the
+threshold are united across passes; inside every group found, all pairs are then compared in
 blocks, which counts the links exactly however many there are. Equal vectors are one vector with
 a multiplicity throughout, and each window hands on a spanning forest of its links, so a group
 of any size costs a few rows per vector.
@@ -30,7 +30,7 @@ ALL_BLOCK = 512
 MISS = 1e-4
 #: To measure passes: vectors sampled from a label, pairs at the threshold made of them, passes tried.
 SAMPLE, PROBES, TRIALS = 8192, 256, 32
-LEAST_PASSES = 4
+LEAST_PASSES, MOST_PASSES = 4, 1 << 12
 
 _ROWS = "vec_id long, label string, dim int, vec binary"
 
@@ -52,15 +52,16 @@ def _keys(m: np.ndarray, planes: np.ndarray) -> np.ndarray:
 
 
 def measured_passes(units: np.ndarray, rows: int, threshold: float, window: int = WINDOW, miss: float = MISS, seed: int = 7) -> int:
-    """:func:`passes_for` a label of so many rows, of which ``units`` are a sample; 0 where all
-    pairs are fewer than the passes would compare.
+    """:func:`passes_for` a label of so many rows, of which ``units`` are a sample; 1 where a window
+    holds them all.
 
     Pairs at the threshold, apart in a direction in which the label's vectors differ, are put into
     the order of some passes; those with no more than a window's share of the sample between them
     would have met. Shares too small for the sample are carried on from larger ones. The chance to
     meet differs from pair to pair, as a beta distribution of the mean and spread found.
     """
-    most = (rows - 1) // (2 * window)
+    if rows <= window + 1:
+        return 1
     dim, rng = units.shape[1], np.random.default_rng([seed, rows])
     one, two, three = rng.integers(len(units), size=(3, PROBES))
     apart = units[two] - units[three] + 1e-9 * rng.standard_normal((PROBES, dim))
@@ -78,9 +79,8 @@ def measured_passes(units: np.ndarray, rows: int, threshold: float, window: int
     seen = max(share, 8 / len(units))
     met = between <= seen * len(units)
     mean = met.mean()
-    chance = mean - met.mean(axis=1).std(ddof=1) / math.sqrt(TRIALS)
-    if chance <= 0:
-        return 0
+    chance = max(mean - met.mean(axis=1).std(ddof=1) / math.sqrt(TRIALS), 1 / met.size)
+    mean = max(mean, chance)
     if share < seen:
         wider = (between <= 16 * seen * len(units)).mean()
         chance *= (share / seen) ** (math.log(wider / mean) / math.log(16))
@@ -94,9 +94,9 @@ def measured_passes(units: np.ndarray, rows: int, threshold: float, window: int
             return -math.inf if chance >= 1 else 0.0
         return math.lgamma(both) + math.lgamma(b + n) - math.lgamma(b) - math.lgamma(both + n)
 
-    low, high = passes_for(rows, threshold, window, miss), most
-    if low > most or missed(most) > math.log(miss):
-        return 0
+    low, high = passes_for(rows, threshold, window, miss), MOST_PASSES
+    if missed(high) > math.log(miss):
+        raise ValueError("vectors of a label lean one way too much for sorted passes; ask for all pairs or a wider window")
     while low < high:
         n = (low + high) // 2
         low, high = (low, n) if missed(n) <= math.log(miss) else (n + 1, high)
@@ -140,12 +140,12 @@ def _units(m: np.ndarray) -> np.ndarray:
 
 
 def _with_passes(unique: DataFrame, threshold: float, window: int, passes: int | None, seed: int, dtype) -> DataFrame:
-    """(label, dim, rows, passes) of every label and dimension; no passes: all pairs."""
+    """(label, dim, rows, passes) of every label and dimension; 0 passes: all pairs."""
     group = ["label", "dim"]
     sizes = saved(unique.groupBy(*group).agg(F.count("*").alias("rows")), "vectors-sizes")
-    if passes:
+    if passes is not None:
         return sizes.withColumn("passes", F.lit(passes))
-    large = sizes.filter(F.col("rows") > 2 * window * LEAST_PASSES)
+    large = sizes.filter(F.col("rows") > window + 1)
     sample = unique.join(large, group).filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col("rows")) < SAMPLE)
 
     def work(table: pa.Table) -> pa.Table:
@@ -161,7 +161,7 @@ def _with_passes(unique: DataFrame, threshold: float, window: int, passes: int |
     sample = sample.select(*group, "rows", "vec_id", "vec").repartition(partitions(unique.sparkSession), *group)
     sample = sample.sortWithinPartitions(*group, "vec_id")
     measured = sample.mapInArrow(in_runs(group, work), "label string, dim int, passes int")
-    found = sizes.join(measured, group, "left").withColumn("passes", F.coalesce("passes", F.lit(0)))
+    found = sizes.join(measured, group, "left").withColumn("passes", F.coalesce("passes", F.lit(1)))
     return saved(found, "vectors-passes")
 
 
@@ -354,13 +354,15 @@ def near_vectors(
     window: int = WINDOW,
     passes: int | None = None,
     seed: int = 7,
+    all_pairs: bool = False,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
     Links join vectors of equal, non-null label and equal dimension with a cosine of at least
     ``threshold`` in double precision. Null, empty, zero and non-finite vectors, and those with null
     components, link with nothing. A row with a null key has no links and is kept. Rows that repeat
-    a key are vectors of their own in ``n_links`` and one node of the components.
+    a key are vectors of their own in ``n_links`` and one node of the components. ``passes`` are
+    measured unless given; ``all_pairs`` compares all vectors of a label instead, in blocks.
     """
     dtype = np.float32 if dict(vectors.dtypes)[vector] == "array<float>" else np.float64
     rows = valid_vectors(vectors, key, vector, label).filter("vec_id IS NOT NULL")
@@ -369,16 +371,17 @@ def near_vectors(
     reps = saved(reps, "vectors-same")
     unique = rows.join(reps, ["label", "dim", "same"]).filter("vec_id = rep")
     unique = saved(unique.dropDuplicates(["label", "dim", "same"]).select("vec_id", "label", "dim", "vec", "n"), "vectors-unique")
-    plan = _with_passes(unique, threshold, window, passes, seed, dtype)
+    plan = _with_passes(unique, threshold, window, 0 if all_pairs else passes, seed, dtype)
     planned = unique.drop("n").join(plan, ["label", "dim"])
     copies = plan.agg(F.sum(F.col("rows") * F.col("passes"))).first()[0] or 0
     n_parts = max(1, min(4 * partitions(rows.sparkSession), copies // (8 * window)))
     order = ["pass", "label", "dim", "key", "vec_id"]
-    projected = _projected(planned.filter("passes > 0"), BITS, seed, dtype)
+    projected = _projected(planned.filter("passes > 0 AND rows > 1"), BITS, seed, dtype)
     projected = projected.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     found = saved(_windows(projected, threshold, window, dtype), "vectors-windows")
     links = found.filter("a IS NOT NULL").select("a", "b").unionAll(_at_borders(found, threshold, window, dtype))
-    links = links.unionAll(_all_pairs(planned.filter("passes = 0 AND rows > 1"), threshold, ALL_BLOCK, dtype))
+    if all_pairs:
+        links = links.unionAll(_all_pairs(planned.filter("rows > 1"), threshold, ALL_BLOCK, dtype))
     copies = rows.join(reps, ["label", "dim", "same"]).select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))
     groups = saved(components(links.unionAll(copies), "vectors"), "vectors-groups")
     members = unique.join(groups, unique["vec_id"] == groups["node"]).drop("node")
