@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from panelspark.llm.common import done_with, saved, set_aside
 
-#: Words of a contract word: ASCII letters and digits, and all beyond ASCII.
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Of texts that are not lower-cased yet.
-_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What parts words: they hold ASCII letters and digits, and all beyond ASCII.
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: In texts that are not lower-cased yet.
+_BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a window and of a shingle.
 WINDOW, SHINGLE = 10, 3
@@ -34,9 +34,14 @@ WINDOW, SHINGLE = 10, 3
 BROADCAST_ROWS = 1_000_000
 
 
+def _split(text: Column, between: str = _BETWEEN) -> Column:
+    """Words of a text; a search for matches would copy the text for every one of them."""
+    return F.array_remove(F.split(text, between, -1), "")
+
+
 def _words(text: Column) -> Column:
     """Words with A-Z lower-cased."""
-    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORDS), F.lit(0))
+    return _split(F.translate(text, _UPPER, _LOWER))
 
 
 def _shingles(rows: DataFrame, widths: list[int], *columns: str) -> DataFrame:
@@ -44,8 +49,7 @@ def _shingles(rows: DataFrame, widths: list[int], *columns: str) -> DataFrame:
 
     Words are lower-cased in full, which equates more than the exact comparison does, never less.
     """
-    split = F.regexp_extract_all(F.lower(F.coalesce("_text", F.lit(""))), F.lit(WORDS), F.lit(0))
-    rows = rows.select(*columns, split.alias("w"))
+    rows = rows.select(*columns, _split(F.lower(F.coalesce("_text", F.lit("")))).alias("w"))
     rows = rows.select(*columns, "w", F.size("w").alias("n"), F.posexplode("w").alias("pos", "first"))
 
     def hashed(width: int) -> Column:
@@ -151,7 +155,7 @@ def contamination(
     both = saved(both.select(F.col("_id").alias("_bid"), F.col("_md5").alias("_bmd5"), "spans", "items"), "leaks-found")
     done_with(verified)
 
-    n_words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(_ANY_CASE)).cast("long").alias("_n")
+    n_words = F.size(_split(F.coalesce(F.col(text), F.lit("")), _BETWEEN_ANY_CASE)).cast("long").alias("_n")
     whole = set_aside(docs, text, F.col(key).alias("_id"), F.md5(F.col(text)).alias("_md5"), n_words)
     out = whole.join(both, F.col("_id").eqNullSafe(F.col("_bid")) & (F.col("_md5") == F.col("_bmd5")), "left")
     none = F.array().cast("array<struct<start:int,length:int>>")
