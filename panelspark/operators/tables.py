@@ -49,8 +49,19 @@ def type_family(kind: T.DataType) -> str:
     return kind.simpleString()
 
 
+def _fitted(column: Column, given: T.DataType, kind: T.DataType, name: str) -> Column:
+    """A cast under which no decimal place is lost without a word (integers raise by themselves)."""
+    cast = column.cast(kind)
+    if given == kind or not isinstance(kind, T.DecimalType) or isinstance(given, T.IntegralType):
+        return cast
+    exact = column.cast("string").cast("decimal(38,18)") if isinstance(given, T.FractionalType) else column
+    lost = F.raise_error(F.concat(F.lit(f"{name}: "), column.cast("string"), F.lit(f" does not fit into {kind.simpleString()}")))
+    return F.when(exact.isNull() | (cast == exact), cast).otherwise(lost.cast(kind))
+
+
 def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
-    """``df`` in the columns of ``target``: names without case, missing ones null."""
+    """``df`` in the columns of ``target``: names without case, missing ones null. A number with
+    more decimal places than a decimal column keeps fails when it is written."""
     check_case_collisions(df.columns)
     given = {name.lower(): name for name in df.columns}
     known = {field.name.lower(): field for field in target.fields}
@@ -62,7 +73,11 @@ def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
             raise ValueError(f"{name!r}: {ours.simpleString()} does not fit into {theirs.simpleString()}")
     return df.select(
         *[
-            (c(given[lower]) if lower in given else F.lit(None)).cast(field.dataType).alias(field.name)
+            (
+                _fitted(c(given[lower]), df.schema[given[lower]].dataType, field.dataType, field.name)
+                if lower in given
+                else F.lit(None).cast(field.dataType)
+            ).alias(field.name)
             for lower, field in known.items()
         ]
     )

@@ -50,7 +50,14 @@ from panelspark.sources import hadoop
 from panelspark.sources.files import list_data_files, opened
 from panelspark.sources.preview import preview_file, preview_frame
 from panelspark.sources.readers import load_directory
-from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_friday, snapshot_path
+from panelspark.sources.snapshots import (
+    last_friday,
+    read_snapshot,
+    register_snapshots,
+    snapshot_friday,
+    snapshot_path,
+    snapshots_of_fridays,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -811,6 +818,36 @@ def snapshot_read(spark, sf_dir):
     return work.result(strict_concat(counts))
 
 
+@query(
+    """
+WITH o AS (SELECT o_orderstatus AS source, CAST(date_trunc('month', o_orderdate) AS DATE) AS d, o_totalprice FROM orders),
+days AS (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS d FROM lineitem WHERE l_quantity = 50 AND l_discount = 0)
+SELECT source, d - CAST((dayofweek(d) + 2) % 7 AS INT) AS date, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM o WHERE d IN (SELECT d FROM days) GROUP BY ALL"""
+)
+def snapshot_range(spark, sf_dir):
+    """Snapshots by source and month, taken on Fridays; those of some days are read at once."""
+    work = Workspace(spark)
+    root, name = work.folder("range"), work.table("snapshots")
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("kind"), snapshot_friday(F.trunc("o_orderdate", "month")).alias("friday"), "o_totalprice"
+    )
+    staged = work.folder("staged")
+    orders.repartition("kind", "friday").write.partitionBy("kind", "friday").parquet(staged)
+    for kind in hadoop.list_folders(staged):
+        source = kind.partition("=")[2]
+        for friday in hadoop.list_folders(f"{staged}/{kind}"):
+            day = friday.partition("=")[2]
+            hadoop.move(f"{staged}/{kind}/{friday}", snapshot_path(root, source, day, "par"))
+    days = read(spark, sf_dir, "lineitem").where("l_quantity = 50 AND l_discount = 0")
+    days = days.select(F.trunc("l_shipdate", "month").alias("day"))
+    found = snapshots_of_fridays(register_snapshots(spark, name, root, "par"), days)
+    totals = found.groupBy("source", "date").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+    return work.result(totals)
+
+
 @query(
     """
 SELECT count(*) AS row_count, 5 AS column_count, 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS columns

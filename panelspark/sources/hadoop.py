@@ -58,6 +58,13 @@ def list_files(directory: str, recursive: bool = False) -> list[str]:
     return found
 
 
+def list_folders(directory: str) -> list[str]:
+    """Names of the folders in a directory; hidden ones left out."""
+    system, place = _on(directory)
+    found = [status.getPath().getName() for status in system.listStatus(place) if status.isDirectory()]
+    return sorted(name for name in found if name[0] not in "._")
+
+
 def delete(path: str) -> None:
     system, place = _on(path)
     system.delete(place, True)

@@ -15,7 +15,9 @@ from panelspark.plans.rates import (
     CorrelationArtefacts, create_correlation_files, rate_tables, rates_coverage, run_rates, save_window_corr,
     extend_window_corr, new_correlations, since, watermarks, window_corr_strict,
 )
-from panelspark.sources.snapshots import last_friday, read_snapshot, snapshot_friday, snapshot_path
+from panelspark.sources.snapshots import (
+    last_friday, read_snapshot, register_snapshots, snapshot_friday, snapshot_path, snapshots_of_fridays,
+)
 
 
 @pytest.fixture(autouse=True)
@@ -250,3 +252,25 @@ def test_new_days_come_from_the_days_before_them(spark, rows, plan):
     kept = spark.table("window_corr").where("rate_table = 'zero_rates'").drop("rate_table", "year")
     want = whole.where("observable = 'Y001p0'")
     assert same(kept.select(want.columns)) == same(want)
+
+
+def test_many_snapshots_are_pruned_by_a_table_of_days(spark, tmp_path, rows, plan):
+    root = str(tmp_path / "snaps")
+
+    def put(source, day, value):
+        spark.sql(f"SELECT {value} AS v").write.parquet(snapshot_path(root, source, day, "par"))
+
+    for number, day in enumerate(["2024-04-19", "2024-04-26", "2024-05-03"]):
+        put("eur x", day, number)
+        put("usd", day, 10 + number)
+    (tmp_path / "snaps" / "usd" / "notes").mkdir()
+    days = spark.sql("SELECT explode(sequence(DATE'2024-05-01', DATE'2024-05-02')) AS day")
+    found = register_snapshots(spark, "snaps", root, "par")
+    assert found.columns == ["v", "source", "date"] and found.count() == 6
+    df = snapshots_of_fridays(found, days)
+    assert "dynamicpruning" in plan(df)
+    assert rows(df, "source", "v") == [("eur x", 1), ("usd", 11)]
+    put("usd", "2024-05-10", 13)
+    assert register_snapshots(spark, "snaps", root, "par").where("date = '2024-05-10'").count() == 1
+    with pytest.raises(FileNotFoundError):
+        register_snapshots(spark, "none", root, "spot")

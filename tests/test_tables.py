@@ -247,3 +247,15 @@ def test_partitions_of_several_columns_and_types_are_replaced_in_one_job(spark,
     got = store.table(name).selectExpr("v", "datediff(d, DATE'2024-01-01')", "CAST(right(s, 1) AS INT)")
     assert rows(got) == sorted(want) and group is not None
     assert store.upsert(name, data.where("v = '5'").selectExpr("'five' AS v", "d", "s"), ["d", "s"]) == 10
+
+
+def test_decimal_places_are_not_lost_without_a_word(spark, store, name, rows):
+    store.create_table(name, {"v": "decimal(10,2)"})
+    assert store.append_to_table(name, frame(spark, [(1.24,), (0.1,), (None,), (-3.0,)], "v double")) == 4
+    for value in (1.239, 0.001, 1e-9):
+        with pytest.raises(Exception, match="does not fit"):
+            store.append_to_table(name, frame(spark, [(value,)], "v double"))
+    assert store.append_to_table(name, spark.sql("SELECT CAST(7.50 AS DECIMAL(12,4)) AS v UNION ALL SELECT NULL")) == 2
+    with pytest.raises(Exception, match="does not fit"):
+        store.append_to_table(name, spark.sql("SELECT CAST(7.505 AS DECIMAL(12,4)) AS v"))
+    assert [str(r[0]) for r in rows(store.table(name))][2:] == ["-3.00", "0.10", "1.24", "7.50"]
