@@ -234,19 +234,31 @@ SQL = {
     "op9_line_dedup": r"""
         WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS tag, text IS NULL AS is_null,
                           string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-        h AS (SELECT *, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM d),
-        s AS (SELECT *, list_filter(range(1, len(h) + 1), lambda i: i = 1 OR (h[i - 1] * 31 + h[i]) % 3 = 0) AS starts FROM h),
-        c AS (SELECT doc_id, tag, unnest(list_transform(range(1, len(starts) + 1),
-                     lambda k: {'k': starts[k], 'len': coalesce(starts[k + 1], len(lines) + 1) - starts[k]})) AS c, lines FROM s),
-        t AS (SELECT doc_id, tag, c.k AS k, c.len AS len,
-                     array_to_string(lines[c.k : c.k + c.len - 1], chr(10)) AS chunk FROM c),
-        m AS (SELECT *, c.len >= 2 AND row_number() OVER (PARTITION BY chunk, len ORDER BY doc_id, tag, k) > 1 AS gone
-              FROM t c),
-        kept AS (SELECT doc_id, tag, sum(len)::BIGINT AS n_lines, coalesce(sum(len) FILTER (gone), 0)::BIGINT AS n_removed,
-                        coalesce(string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT gone), '') AS kept
-                 FROM m GROUP BY doc_id, tag)
+        p AS (SELECT doc_id, tag, lines, list_filter(range(1, len(lines) + 1),
+                     lambda i: regexp_matches(lines[i], '[^\x20\x09-\x0D]')) AS p FROM d),
+        h AS (SELECT *, list_transform(p, lambda i: ('0x' || substr(md5(lines[i]), 1, 8))::BIGINT) AS h FROM p),
+        b AS (SELECT doc_id, tag, lines, list_transform(list_filter(range(1, len(p) + 1), lambda j:
+                     j = 1 OR j = len(p) OR (h[j] * 31 + h[j + 1]) % 3 < 2), lambda j: p[j]) AS b FROM h),
+        c AS (SELECT doc_id, tag, lines, unnest(list_transform(range(1, len(b)), lambda k: {'start': b[k], 'stop': b[k + 1],
+                     'low': coalesce(b[k - 1], b[k]), 'high': coalesce(b[k + 2], b[k + 1])})) AS c FROM b),
+        t AS (SELECT doc_id, tag, c.start AS start, c.stop AS stop, array_to_string(lines[c.start : c.stop], chr(10)) AS chunk,
+                     lines[c.low : c.start - 1] AS l, lines[c.stop + 1 : c.high] AS r FROM c),
+        o AS (SELECT *, rank() OVER (PARTITION BY chunk ORDER BY doc_id NULLS FIRST, tag, start) AS nth FROM t),
+        g AS (SELECT o.*, f.l AS fl, f.r AS fr, least(len(o.l), len(f.l)) AS nl, least(len(o.r), len(f.r)) AS nr
+              FROM o JOIN (SELECT DISTINCT chunk, l, r FROM o WHERE nth = 1) f USING (chunk) WHERE nth > 1),
+        e AS (SELECT doc_id, tag,
+                     start - coalesce(list_min(list_filter(range(1, nl + 1), lambda k: l[len(l) + 1 - k] <> fl[len(fl) + 1 - k])) - 1, nl)
+                         AS start,
+                     stop + coalesce(list_min(list_filter(range(1, nr + 1), lambda k: r[k] <> fr[k])) - 1, nr) AS stop
+              FROM g),
+        gone AS (SELECT DISTINCT doc_id, tag, unnest(range(start, stop + 1)) AS i FROM e),
+        line AS (SELECT doc_id, tag, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM d),
+        kept AS (SELECT line.doc_id, line.tag, count(*) AS n_lines, count(gone.i) AS n_removed,
+                        coalesce(string_agg(line, chr(10) ORDER BY line.i) FILTER (gone.i IS NULL), '') AS kept
+                 FROM line LEFT JOIN gone ON line.doc_id IS NOT DISTINCT FROM gone.doc_id AND line.tag = gone.tag AND line.i = gone.i
+                 GROUP BY line.doc_id, line.tag)
         SELECT d.doc_id, n_lines, n_removed, CASE WHEN is_null THEN NULL ELSE sha256(kept) END AS kept_sha256
-        FROM d JOIN kept USING (doc_id, tag)""",
+        FROM d JOIN kept ON d.doc_id IS NOT DISTINCT FROM kept.doc_id AND d.tag = kept.tag""",
     "op6_embedding_dedup": """
         WITH RECURSIVE v AS (
             SELECT vec_id, label, embedding::DOUBLE[] AS e,

@@ -197,11 +197,34 @@ def test_repeats_spans_and_no_rows(docs):
 # -- lines
 
 
-def chunked(text):
-    lines = (text or "").split("\n")
-    h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-    starts = [i for i in range(len(lines)) if i == 0 or (h[i - 1] * 31 + h[i]) % 3 == 0]
-    return [lines[a:b] for a, b in zip(starts, [*starts[1:], len(lines)])]
+def kept_lines(texts, dense=2):
+    """Lines left of each text, in the order given: the rule line by line."""
+    firsts, out = {}, []
+    for at, text in enumerate(texts):
+        lines = (text or "").split("\n")
+        p = [i for i, x in enumerate(lines) if x.strip(" \t\n\v\f\r")]
+        h = [int(hashlib.md5(lines[i].encode()).hexdigest()[:8], 16) for i in p]
+        ends = (0, len(p) - 1)
+        b = [i for j, i in enumerate(p) if j in ends or (h[j] * 31 + h[j + 1]) % 3 < dense]
+        gone = set()
+        for k in range(len(b) - 1):
+            left = lines[b[max(k - 1, 0)] : b[k]]
+            right = lines[b[k + 1] + 1 : b[min(k + 2, len(b) - 1)] + 1]
+            chunk = tuple(lines[b[k] : b[k + 1] + 1])
+            if chunk not in firsts:
+                firsts[chunk] = left, right
+                continue
+            n = same(left[::-1], firsts[chunk][0][::-1])
+            gone |= set(range(b[k] - n, b[k + 1] + 1 + same(right, firsts[chunk][1])))
+        out.append([x for i, x in enumerate(lines) if i not in gone])
+    return out
+
+
+def same(one, two):
+    n = 0
+    while n < min(len(one), len(two)) and one[n] == two[n]:
+        n += 1
+    return n
 
 
 def test_lines_match_brute_force(docs, found):
@@ -215,18 +238,45 @@ def test_lines_match_brute_force(docs, found):
             lines += rng.choice(blocks) + [f"more {rng.random()}"]
         rows.append((i, "\n".join(lines)))
     rows += [(100, None), (101, ""), (102, "\n\n\n"), (103, "\n\n\n"), (104, "x\n" * 5000), (105, rows[3][1])]
-    seen, want = set(), []
-    for i, text in sorted(rows, key=lambda r: r[0]):
-        kept, gone = [], 0
-        for chunk in chunked(text):
-            if len(chunk) >= 2 and tuple(chunk) in seen:
-                gone += len(chunk)
-            else:
-                kept += chunk
-                seen.add(tuple(chunk))
-        want.append((i, None if text is None else "\n".join(kept), (text or "").count("\n") + 1, gone))
-    got = found(line_dedup.dedup_lines(docs(rows, clash=True)), "doc_id", "text", "_n_lines", "_n_removed")
-    assert got == want and sum(w[3] for w in want) > 50
+    rows += [(106, "head\n\nbody one\n \nbody two\n"), (107, "new\n\nbody one\n \nbody two\nend"), (108, "head\n\nnew")]
+    for dense in (2, 3):
+        want = []
+        for (i, text), kept in zip(rows, kept_lines([t for _, t in rows], dense)):
+            n = (text or "").count("\n") + 1
+            want.append((i, None if text is None else "\n".join(kept), n, n - len(kept)))
+        out = line_dedup.dedup_lines(docs(rows, clash=True), chosen=dense)
+        assert found(out, "doc_id", "text", "_n_lines", "_n_removed") == want and sum(w[3] for w in want) > 50
+
+
+def test_lines_exact_setting_removes_every_repeated_run(docs):
+    rng = random.Random(8)
+    rows = [(i, "\n".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(rng.randrange(12)))) for i in range(120)]
+    runs, want = set(), {}
+    for i, text in rows:
+        lines, gone = text.split("\n"), set()
+        for k in range(len(lines) - 1):
+            if (lines[k], lines[k + 1]) in runs:
+                gone |= {k, k + 1}
+            runs.add((lines[k], lines[k + 1]))
+        want[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    out = line_dedup.dedup_lines(docs(rows), chosen=line_dedup.DIVISOR)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == want and want != dict(rows)
+
+
+@pytest.mark.parametrize("length, least", [(2, 0.0), (3, 0.3), (6, 0.9), (20, 0.97)])
+def test_lines_recall_of_planted_passages(docs, length, least):
+    rows = []
+    for i in range(300):
+        passage = [f"passage {i} {k} {length}" for k in range(length)]
+        for copy in (0, 1000):
+            around = [f"own {i} {copy} {k} {length}" for k in range(6)]
+            rows.append((i + copy, "\n".join(around[:3] + passage + around[3:])))
+    out = line_dedup.dedup_lines(docs(rows)).collect()
+    removed = {r["doc_id"]: r["_n_removed"] for r in out}
+    assert sum(removed[i] for i in range(300)) == 0
+    share = sum(removed[i + 1000] for i in range(300)) / (300 * length)
+    print(f"{length} lines: {share:.3f}")
+    assert least <= share <= 1
 
 
 def test_lines_of_repeated_rows_and_no_rows(docs, found):

@@ -6,7 +6,7 @@ from collections import defaultdict
 import corpus_pipeline
 import pytest
 
-from tests.llm.test_dedup import chunked, jaccard_links, roots, words
+from tests.llm.test_dedup import jaccard_links, kept_lines, roots, words
 from tests.llm.test_mix_pack import reshared
 from tests.llm.test_text_models import SYLLABLES, prose
 
@@ -43,14 +43,8 @@ def test_stages_match_brute_force(spark, docs, raw):
     assert set(left) == {r[0] for r in raw} - {300, 301, 302}
 
     table = run_stage(spark, table, 1)
-    seen, want = set(), {}
-    for i in sorted(left, key=lambda i: (i is not None, i)):
-        kept = []
-        for chunk in chunked(left[i]):
-            if len(chunk) < 2 or tuple(chunk) not in seen:
-                kept += chunk
-                seen.add(tuple(chunk))
-        want[i] = "\n".join(kept)
+    order = sorted(left, key=lambda i: (i is not None, i))
+    want = {i: "\n".join(lines) for i, lines in zip(order, kept_lines([left[i] for i in order]))}
     rows = table.collect()
     assert {r["doc_id"]: r["text"] for r in rows} == want and all(r["n_chars"] == len(r["text"]) for r in rows)
     assert want != left
