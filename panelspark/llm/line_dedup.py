@@ -96,9 +96,8 @@ def dedup_lines(
     )
     seen = chunks.join(repeated.drop("n"), "digest").withColumn("is_first", is_first)
     mark = F.struct("digest", "is_first", "start", "stop", "before", "after")
-    # rows equal in key and text give equal marks
     marks = seen.groupBy("_id", "_tag").agg(F.collect_set(mark).alias("_marks"))
-    marked = _with_lines(mine.dropDuplicates(["_id", "_tag"]).join(_named(marks, "_marks"), _same_text()))
+    marked = _with_lines(mine.join(_named(marks, "_marks"), _same_text()))
     marked = marked.withColumn("m", F.explode("_marks")).select("_id", "_tag", "_lines", "m.*")
     marked = marked.select(
         "_id",
@@ -116,6 +115,7 @@ def dedup_lines(
     first = marked.filter("is_first").select(
         "digest", F.col("chunk").alias("original"), F.col("left").alias("left1"), F.col("right").alias("right1")
     )
+    first = first.dropDuplicates(["digest"])  # rows equal in key and text
     gone = marked.filter("NOT is_first").join(first, "digest").filter("chunk = original")
     gone = gone.withColumn("start", F.col("start") - _equal("left", "left1", "size({}) - k"))
     gone = gone.withColumn("stop", F.col("stop") + _equal("right", "right1", "k - 1"))
