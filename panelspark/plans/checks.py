@@ -623,6 +623,28 @@ def cast_date_formats(spark, sf_dir):
     return apply_transforms(df, [CastDate(name, form) for name, form in formats.items()])
 
 
+@query(
+    """
+WITH t AS (SELECT o_orderkey, o_orderdate AS d FROM orders)
+SELECT o_orderkey, CAST(d AS DATE) AS seconds,
+  CAST(try_strptime(strftime(d, '%G-W%V-%u'), '%G-W%V-%u') AS DATE) AS iso_week,
+  CAST(try_strptime(strftime(d, '%Y %W %w'), '%Y %W %w') AS DATE) AS week FROM t"""
+)
+def cast_date_counted(spark, sf_dir):
+    """Dates from seconds since 1970, and from year, week and weekday."""
+    day, monday = F.to_date("o_orderdate"), F.weekday("o_orderdate")
+    two = lambda number: F.lpad(F.floor(number).cast("string"), 2, "0")
+    seconds = F.datediff(day, F.lit("1970-01-01").cast("date")) * 86400 + F.col("o_orderkey") % 24 * 3600
+    df = read(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        seconds.cast("string").alias("seconds"),
+        F.concat(F.year(F.date_add(day, 3 - monday)), F.lit("-W"), two(F.weekofyear(day)), F.lit("-"), monday + 1).alias("iso_week"),
+        F.concat_ws(" ", F.year(day), two((F.dayofyear(day) + 6 - monday) / 7), (monday + 1) % 7).alias("week"),
+    )
+    formats = {"seconds": "%s", "iso_week": "%G-W%V-%u", "week": "%Y %W %w"}
+    return apply_transforms(df, [CastDate(name, form) for name, form in formats.items()])
+
+
 @query(
     """
 SELECT c_custkey, 'EMEA' AS region, upper(c_mktsegment) AS segment,
