@@ -116,6 +116,8 @@ def _pairs(row: dict, n_ranges: int, hot: np.ndarray) -> dict:
     order = np.argsort(where, kind="stable")
     # runs of one range and one first word, in the order sent
     runs = np.flatnonzero(np.append(True, (np.diff(where[order]) != 0) | (np.diff(first[order]) != 0)))
+    inside = np.arange(len(order)) - np.repeat(runs, np.diff(np.append(runs, len(order))))
+    runs = np.flatnonzero(inside % 255 == 0)  # a length is one byte
     return {"named": named, "first": first, "second": second, "hashes": hashes, "which": which, "range": where, "order": order, "runs": runs}
 
 
@@ -158,7 +160,7 @@ def _packed_pairs(n_ranges: int, hot: np.ndarray):
                     pa.array(some),
                     pa.array(np.full(len(some), row["chunk"])),
                     pa.array([short(of(firsts, run_cuts, r)) for r in some], pa.binary()),
-                    pa.array([of(lengths, run_cuts, r).astype(np.uint32).tobytes() for r in some], pa.binary()),
+                    pa.array([of(lengths, run_cuts, r).astype(np.uint8).tobytes() for r in some], pa.binary()),
                     pa.array([short(of(hashes, cuts, r)) for r in some], pa.binary()),
                     pa.array([np.packbits(of(counts, cuts, r) > 0).tobytes() for r in some], pa.binary()),
                     pa.array([_more(of(counts, cuts, r)) for r in some], pa.binary()),
@@ -237,7 +239,7 @@ def _held(part: pa.Table, hot: np.ndarray) -> dict:
         at, larger = np.frombuffer(more, np.uint32).reshape(2, -1)
         n[at] = larger
         asked.append(hashes[n > 0])
-        firsts.append(np.repeat(unshort(first), np.frombuffer(runs, np.uint32))[n > 0])
+        firsts.append(np.repeat(unshort(first), np.frombuffer(runs, np.uint8))[n > 0])
         counts.append(n[n > 0])
     asked, counts, firsts = map(np.concatenate, (asked, counts, firsts))
     order = np.argsort(asked)
@@ -255,25 +257,19 @@ def _held(part: pa.Table, hot: np.ndarray) -> dict:
     }
 
 
-def _dealt(hot: np.ndarray, asks: bool):
-    """For each range: its row of the model (without a chunk) and, if wanted, what each chunk asks."""
-
+def _rows_of_model(hot: np.ndarray):
     def work(table: pa.Table) -> pa.Table:
-        out = {c.split()[0]: [] for c in _DEALT.split(", ")}
+        out = {c.split()[0]: [] for c in _MODEL.split(", ")}
         for lo, hi in groups(table["range"].to_numpy()):
             part = table.slice(lo, hi - lo)
-            rows = [{"range": part["range"][0].as_py(), **_held(part, hot)}]
-            if asks:
-                rows += part.select(["range", "chunk", "firsts", "hashes"]).to_pylist()
-            for row in rows:
-                for name, values in out.items():
-                    values.append(row.get(name))
+            for name, value in {"range": part["range"][0].as_py(), **_held(part, hot)}.items():
+                out[name].append(value)
         return pa.table({k: pa.array(v, _KINDS.get(k, pa.int64())) for k, v in out.items()})
 
     return work
 
 
-_DEALT = "range long, chunk long, firsts binary, hashes binary, bits binary, size long, sums binary, hot array<long>, hot_sums array<double>, n_words long"
+_MODEL = "range long, bits binary, size long, firsts binary, sums binary, hot array<long>, hot_sums array<double>, n_words long"
 
 
 def _joined(rows: list, first: int, last: int) -> dict:
@@ -463,17 +459,31 @@ def _shipped(model: dict) -> dict:
     return {k: v for k, v in model.items() if k != "filters"}
 
 
+def _fitted(chunks: DataFrame, n_ranges: int, hot: np.ndarray) -> dict:
+    packed = chunks.mapInArrow(_packed_pairs(n_ranges, hot), _PACKED)
+    return _model(_by_range(packed, n_ranges, _rows_of_model(hot), _MODEL, "lm-model"), n_ranges, hot)
+
+
+def _asked_of(chunks: DataFrame, model: dict, slice_bytes: int) -> DataFrame:
+    """Answers to all pairs of all chunks. Questions are sorted by range inside each file, without a
+    shuffle: a slice's job opens every file, but reads only the pages of its ranges."""
+    asks = chunks.mapInArrow(_packed_pairs(model["n_ranges"], model["hot"]), _PACKED).select("range", "chunk", "firsts", "hashes")
+    asks = saved(asks.sortWithinPartitions("range"), "lm-asks", "zstd")
+    answers = _answered(model, asks, slice_bytes)
+    done_with(asks)
+    return _by_chunk(answers, "steps", "sums")
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", most_bytes: int = MOST_BYTES) -> dict:
     """A model of the texts of all rows, for :func:`apply` and :func:`save`. Null texts are empty texts;
     without rows every word has the same probability."""
     chunks = _chunks(docs, F.lit(True), key, text)
     n_ranges = n_ranges_for(chunks, CHUNK, most_bytes)
-    answers, hot = _counted(chunks, n_ranges)
-    packed = chunks.mapInArrow(_packed_pairs(n_ranges, hot), _PACKED)
-    filters = _by_range(packed, n_ranges, _dealt(hot, asks=False), _DEALT, "lm-model")
-    done_with(answers)
+    counts, hot = _counted(chunks, n_ranges)
+    model = _fitted(chunks, n_ranges, hot)
+    done_with(counts)
     done_with(chunks)
-    return _model(filters, n_ranges, hot)
+    return model
 
 
 def save(model: dict, path: str) -> None:
@@ -487,7 +497,7 @@ def save(model: dict, path: str) -> None:
 def load(spark: SparkSession, path: str) -> dict:
     rest = spark.read.parquet(f"{path}/rest").first()
     hot, sums = np.array(rest["hot"], np.int64).view(np.uint64), np.array(rest["hot_sums"], np.float64)
-    filters = spark.read.schema(_DEALT).parquet(f"{path}/filters")
+    filters = spark.read.schema(_MODEL).parquet(f"{path}/filters")
     return {"filters": filters, "n_ranges": rest["n_ranges"], "n_words": rest["n_words"], "hot": hot, "hot_sums": sums}
 
 
@@ -495,13 +505,7 @@ def apply(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text",
     """doc_id, n_tokens, score of every row under a model that need not have seen any of them. The
     score does not depend on ``slice_bytes``, the bytes of the model that are broadcast at a time."""
     chunks = _chunks(docs, F.lit(False), key, text)
-    packed = chunks.mapInArrow(_packed_pairs(model["n_ranges"], model["hot"]), _PACKED)
-    # questions of a range lie near each other for the slices, but no range needs to be in one task
-    asks = packed.select("range", "chunk", "firsts", "hashes").repartition("range", F.pmod("chunk", F.lit(8)))
-    asks = saved(asks.sortWithinPartitions("range"), "lm-asks", "zstd")
-    answers = _answered(model, asks, slice_bytes)
-    done_with(asks)
-    given = chunks.drop("trained").join(_by_chunk(answers, "steps", "sums"), "chunk")
+    given = chunks.drop("trained").join(_asked_of(chunks, model, slice_bytes), "chunk")
     return given.mapInArrow(_scored(_shipped(model)), "doc_id long, n_tokens long, score double")
 
 
@@ -517,19 +521,16 @@ def score(
     wrongly affirms (about 1 % of pairs never seen). Words are told apart by 64 bits of hash.
     Repeated rows count as often as they are there. ``most_bytes`` of text make a hash range: fewer
     bytes, more and smaller filters, which hold the same n-grams. The same as :func:`fit` and
-    :func:`apply`, but pairs are sent once to be counted and asked for.
+    :func:`apply`, with exact counts of single words beside it.
     """
     chunks = _chunks(docs, training, key, text)
     n_ranges = n_ranges_for(chunks, CHUNK, most_bytes)
     counts, hot = _counted(chunks, n_ranges)
-    packed = chunks.mapInArrow(_packed_pairs(n_ranges, hot), _PACKED)
-    dealt = _by_range(packed, n_ranges, _dealt(hot, asks=True), _DEALT, "lm-dealt")
-    model = _model(dealt.filter("chunk IS NULL"), n_ranges, hot)
+    model = _fitted(chunks, n_ranges, hot)
     totals = counts.agg(F.sum("n_words").alias("w"), F.sum("n_tokens").alias("t")).first()
     model |= {"exact_words": totals["w"] or 0, "n_tokens": totals["t"] or 0}
-    answers = _answered(model, dealt.filter("chunk IS NOT NULL").select("range", "chunk", "firsts", "hashes"), slice_bytes)
-    done_with(dealt)
-    given = chunks.drop("trained").join(_by_chunk(counts, "counts"), "chunk").join(_by_chunk(answers, "steps", "sums"), "chunk")
+    asked = _asked_of(chunks, model, slice_bytes)
+    given = chunks.drop("trained").join(_by_chunk(counts, "counts"), "chunk").join(asked, "chunk")
     schema = "doc_id long, n_tokens long, score double, held_out boolean, n_known long, base_score double, train_tokens long"
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return given.mapInArrow(_scored(_shipped(model)), schema).select(*names)
